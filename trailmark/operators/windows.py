@@ -3,19 +3,34 @@
 Windows are ``[start, end)``, aligned to the epoch, and only non-empty
 windows produce rows; the window is exposed as ``window_end`` in epoch ms.
 
-Sliding windows use *pane pre-aggregation*: rows are first counted per
-(key, pane) where a pane is ``gcd(size, slide)`` wide, and only the pane
-counts are expanded into the ``size / slide`` windows that contain them.
-``F.window`` would expand every input row 12x (1 h / 5 min) or 120x
-(10 min / 5 s) before the shuffle; here the first aggregation is partial
-(map-side) and the expansion touches one row per (key, pane).
+Sliding counts (``size / slide`` windows per row: 12 for 1 h / 5 min, 120
+for 10 min / 5 s) are computed with a *sweep over window starts* instead of
+expanding rows into windows:
+
+* a row in pane ``p`` (panes are ``g = gcd(size, slide)`` wide) is counted by
+  the windows starting in ``[p + g - size, p]``, so it contributes ``+1`` at
+  the first such start and ``-1`` one slide after the last one;
+* the deltas are summed per (key, start) - a partial aggregation, so a hot
+  key is combined map-side;
+* a running sum over the starts of a key gives the count of every run of
+  windows between two breakpoints, and each run is expanded into its
+  windows once, directly into output rows.
+
+No aggregation ever touches the expanded rows (the ``F.window`` plan
+aggregates 120 rows per input row).  The running sum is partitioned by
+(key, time block): a block is at least ``size + slide`` long, so a run of
+non-empty windows spans at most two blocks.  Each row's range of window
+starts is clipped to the (at most two) blocks it meets, so every
+(key, block) is self-contained: a hot key is split over its blocks, a
+block holds at most ``2 x block / pane`` breakpoints whatever the row
+count, and the input is scanned once.
 """
 
 from __future__ import annotations
 
 from math import gcd
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmark.functions.time import epoch_micros
@@ -59,12 +74,15 @@ def _pane_window_ends(pane: Column, pane_us: int, size_us: int, slide_us: int) -
 
 
 def window_counts(df: DataFrame, *, keys, ts: str, size, slide=None, unit: str = "s",
-                  count_col: str = "count") -> DataFrame:
+                  count_col: str = "count", method: str = "sweep",
+                  block_factor: int = 16) -> DataFrame:
     """W1-W5 + A1: ``count(*)`` per key and time window.
 
     ``keys`` may be empty (global window, W4): grouping on the window alone
     stays parallel through partial aggregation.  Returns
-    ``keys..., window_end (epoch ms), count``.
+    ``keys..., window_end (epoch ms), count``.  ``method`` picks the sliding
+    plan: ``sweep`` (default, see module doc) or ``pane`` (count per pane,
+    then expand pane counts into windows and aggregate again).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     size_us = duration_micros(size)
@@ -74,6 +92,8 @@ def window_counts(df: DataFrame, *, keys, ts: str, size, slide=None, unit: str =
     if slide_us == size_us:
         out = (base.groupBy(*keys, tumbling_end_micros(F.col("_t"), size_us).alias("_end"))
                .agg(F.count(F.lit(1)).alias(count_col)))
+    elif method == "sweep":
+        out = _sweep_counts(base, keys, size_us, slide_us, count_col, block_factor)
     else:
         pane_us = gcd(size_us, slide_us)
         panes = (base.groupBy(*keys, _floor_to(F.col("_t"), pane_us).alias("_pane"))
@@ -82,8 +102,40 @@ def window_counts(df: DataFrame, *, keys, ts: str, size, slide=None, unit: str =
         out = (panes.select(*keys, F.explode(ends).alias("_end"), "_n")
                .groupBy(*keys, "_end")
                .agg(F.sum("_n").alias(count_col)))
-    return out.select(*keys, micros_to_millis(F.col("_end")).alias(WINDOW_END),
-                      count_col)
+    return out.select(*keys, micros_to_millis(F.col("_end")).alias(WINDOW_END), count_col)
+
+
+def _sweep_counts(base: DataFrame, keys, size_us: int, slide_us: int, count_col: str,
+                  block_factor: int) -> DataFrame:
+    g = gcd(size_us, slide_us)
+    pane = _floor_to(F.col("_t"), g)
+    a = pane + F.lit(g - size_us)
+    lo = a + F.pmod(-a, F.lit(slide_us))                      # first window start
+    hi = _floor_to(pane, slide_us) + F.lit(slide_us)          # one slide past the last
+    # blocks: whole slides, at least size + slide long, so [lo, hi) meets <= 2 blocks
+    block_us = -(-(block_factor * (size_us + slide_us)) // slide_us) * slide_us
+    b_lo = _floor_to(lo, block_us)
+    b_hi = _floor_to(hi - F.lit(1), block_us)
+    split = b_hi != b_lo
+    pt = lambda b, s, d, ok: F.struct(b.alias("b"), s.alias("s"), F.lit(d).alias("d"),  # noqa
+                                      ok.alias("ok"))
+    deltas = (base.where(lo < hi).select(*keys, F.explode(F.array(
+        pt(b_lo, lo, 1, F.lit(True)),
+        pt(b_lo, hi, -1, ~split),                 # the end inside the first block
+        pt(b_hi, b_hi, 1, split),                 # re-open at the second block's start
+        pt(b_hi, hi, -1, split))).alias("_x"))
+        .where(F.col("_x.ok"))
+        .groupBy(*keys, F.col("_x.b").alias("_blk"), F.col("_x.s").alias("_s"))
+        .agg(F.sum("_x.d").alias("_d")))
+    in_blk = Window.partitionBy(*keys, "_blk").orderBy("_s")
+    runs = deltas.select(
+        *keys, "_s",
+        F.sum("_d").over(in_blk.rowsBetween(Window.unboundedPreceding, 0)).alias(count_col),
+        F.coalesce(F.lead("_s").over(in_blk), F.col("_blk") + F.lit(block_us)).alias("_nx"))
+    return (runs.where((F.col(count_col) > 0) & (F.col("_nx") > F.col("_s")))
+            .select(*keys, F.explode(F.sequence(F.col("_s"), F.col("_nx") - F.lit(slide_us),
+                                                F.lit(slide_us))).alias("_st"), count_col)
+            .select(*keys, (F.col("_st") + F.lit(size_us)).alias("_end"), count_col))
 
 
 def window_counts_by_window_fn(df: DataFrame, *, keys, ts: str, size, slide=None,
