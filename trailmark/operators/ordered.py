@@ -1,22 +1,79 @@
-"""Ordered scans per key: running sums and next-row lookups.
+"""Ordered scans per key, split into time blocks so that no task holds a
+whole key.
 
-These are the primitives behind the running unique count (A5), the
-strict-next pattern (C1) and the followed-by pattern (C3).
+A keyed ``Window.partitionBy(key)`` sends every row of a key to one task;
+with one key holding a third of the data that task is the job.  The scans
+used here only look a bounded time ahead (the ``within`` bound of a
+pattern), so rows are partitioned by ``(key, block)`` where a block is a
+time range at least that bound long, and each block also receives a
+*look-ahead* copy of the rows of the next block that fall in the first
+``horizon`` of it.  Inside a block the window functions see every row that
+can complete a match starting there; look-ahead copies never start one.
+Rows are copied at most once, a share of about ``horizon / block``.
+
+For running sums over a whole group (A5) the group is cut into sub-blocks
+and each sub-block starts from the total of the sub-blocks before it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BLOCK_FACTOR = 4
+
 
 def _cols(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def running_sum(df: DataFrame, *, partition, order, value: str, out: str) -> DataFrame:
+def floor_to(t: Column, width: int) -> Column:
+    return t - F.pmod(t, F.lit(width))
+
+
+def block_size(horizon_us: int, factor: int = BLOCK_FACTOR) -> int:
+    return max(int(horizon_us), 1) * max(int(factor), 1)
+
+
+def with_lookahead(rows: DataFrame, *, t: str, horizon_us: int, block_us: int,
+                   copy_if: Column | None = None) -> DataFrame:
+    """Add ``_blk`` (block start) and ``_own``; rows whose time lies in the
+    first ``horizon_us`` of their block (and satisfy ``copy_if``) are also
+    emitted into the previous block with ``_own = false``."""
+    blk = floor_to(F.col(t), block_us)
+    near_start = F.col(t) - blk < F.lit(horizon_us)
+    if copy_if is not None:
+        near_start = near_start & copy_if
+    copies = F.when(near_start, F.array(F.struct(blk.alias("b"), F.lit(True).alias("o")),
+                                        F.struct((blk - F.lit(block_us)).alias("b"),
+                                                 F.lit(False).alias("o")))) \
+        .otherwise(F.array(F.struct(blk.alias("b"), F.lit(True).alias("o"))))
+    return (rows.withColumn("_c", F.explode(copies))
+            .withColumn("_blk", F.col("_c.b")).withColumn("_own", F.col("_c.o")).drop("_c"))
+
+
+def running_sum(df: DataFrame, *, partition, order, value: str, out: str,
+                sub_block: Column | None = None) -> DataFrame:
     """``sum(value)`` over rows ``<=`` the current one in ``order`` per
-    ``partition`` (a growing frame, evaluated incrementally)."""
-    w = (Window.partitionBy(*_cols(partition)).orderBy(*_cols(order))
+    ``partition``.
+
+    With ``sub_block`` (a column that grows with ``order``, e.g. a time
+    bucket) the window runs per (partition, sub_block) and adds the totals
+    of the earlier sub-blocks of the partition, computed from a per
+    sub-block aggregate (small: one row per sub-block).
+    """
+    part = _cols(partition)
+    if sub_block is None:
+        w = (Window.partitionBy(*part).orderBy(*_cols(order))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumn(out, F.sum(value).over(w))
+    rows = df.withColumn("_sb", sub_block)
+    totals = rows.groupBy(*part, "_sb").agg(F.sum(value).alias("_tot"))
+    before = Window.partitionBy(*part).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*part, "_sb", F.coalesce(F.sum("_tot").over(before), F.lit(0))
+                          .alias("_carry"))
+    w = (Window.partitionBy(*part, "_sb").orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out, F.sum(value).over(w))
+    return (rows.join(carry, [*part, "_sb"])
+            .withColumn(out, F.col("_carry") + F.sum(value).over(w))
+            .drop("_sb", "_carry"))

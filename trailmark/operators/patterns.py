@@ -26,6 +26,7 @@ from trailmark.functions.text import (
 )
 from trailmark.functions.time import epoch_micros
 from trailmark.operators.durations import duration_micros
+from trailmark.operators.ordered import BLOCK_FACTOR, block_size, with_lookahead
 
 MATCHED = "matched"
 TIMEOUT = "timeout"
@@ -36,12 +37,16 @@ def _cols(x):
 
 
 def strict_next(df: DataFrame, *, key, ts: str, seq: str, first: Column, second: Column,
-                within, unit: str = "s", carry=None, prefixes=("first_", "second_")) -> DataFrame:
+                within, unit: str = "s", carry=None, prefixes=("first_", "second_"),
+                block_factor: int = BLOCK_FACTOR) -> DataFrame:
     """Pairs (e, next(e)) per key where ``first(e)``, ``second(next(e))``
     and ``t(next) - t(e) < within``.
 
-    ``carry`` names the columns of each event to return (default: all but
-    the key), prefixed by ``prefixes``.  Returns ``key..., first_*, second_*``.
+    Partitioned by (key, time block) with a look-ahead of ``within`` into the
+    next block (see :mod:`trailmark.operators.ordered`): the successor of a
+    block's last row is the first row of the next block when it is close
+    enough to matter.  ``carry`` names the columns of each event to return
+    (default: all but the key), prefixed by ``prefixes``.
     """
     keys = _cols(key)
     carry = [c for c in (carry or df.columns) if c not in keys]
@@ -49,13 +54,15 @@ def strict_next(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
     within_us = duration_micros(within)
     rows = df.select(*keys, *carry, epoch_micros(df, ts, unit).alias("_t"),
                      F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2"))
-    w = Window.partitionBy(*keys).orderBy("_t", "_seq")
+    rows = with_lookahead(rows, t="_t", horizon_us=within_us,
+                          block_us=block_size(within_us, block_factor))
+    w = Window.partitionBy(*keys, "_blk").orderBy("_t", "_seq")
     nxt = {c: F.lead(c).over(w) for c in [*carry, "_t", "_is2"]}
-    paired = rows.select(*keys, "_is1", "_t",
+    paired = rows.select(*keys, "_own", "_is1", "_t",
                          *[F.col(c).alias(p1 + c) for c in carry],
                          *[nxt[c].alias(p2 + c) for c in carry],
                          nxt["_t"].alias("_t2"), nxt["_is2"].alias("_n2"))
-    return (paired.where(F.col("_is1") & F.col("_n2")
+    return (paired.where(F.col("_own") & F.col("_is1") & F.col("_n2")
                          & (F.col("_t2") - F.col("_t") < F.lit(within_us)))
             .select(*keys, *[p1 + c for c in carry], *[p2 + c for c in carry]))
 
@@ -70,17 +77,19 @@ def login_fail_alerts(pairs: DataFrame, *, user: str = "user_id",
 
 def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second: Column,
                 within, unit: str = "s", carry=None, prefixes=("first_", "second_"),
-                status_col: str = "status") -> DataFrame:
+                status_col: str = "status", block_factor: int = BLOCK_FACTOR) -> DataFrame:
     """Every start event with its outcome.
 
     One row per event satisfying ``first``: ``status = 'matched'`` with the
     first later event satisfying ``second`` when it lies within the bound,
     else ``status = 'timeout'`` and NULL ``second_*`` columns.
 
-    The first later match is found in one ordered pass: in *descending*
-    order, the nearest later ``second`` event is the last non-null value of
-    a growing frame ending one row before the current one, which Spark
-    evaluates incrementally (a following-unbounded frame would be quadratic).
+    Partitioned by (key, time block); the ``second`` events in the first
+    ``within`` of the next block are copied in as look-ahead.  The first
+    later match is found in one ordered pass: in *descending* order, the
+    nearest later ``second`` event is the last non-null value of a growing
+    frame ending one row before the current one, which Spark evaluates
+    incrementally (a following-unbounded frame would be quadratic).
     """
     keys = _cols(key)
     carry = [c for c in (carry or df.columns) if c not in keys]
@@ -88,11 +97,15 @@ def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
     within_us = duration_micros(within)
     rows = df.select(*keys, *carry, epoch_micros(df, ts, unit).alias("_t"),
                      F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2"))
+    rows = with_lookahead(rows, t="_t", horizon_us=within_us,
+                          block_us=block_size(within_us, block_factor),
+                          copy_if=F.col("_is2"))
     cand = F.when(F.col("_is2"), F.struct(F.col("_t").alias("_t"),
                                           *[F.col(c).alias(c) for c in carry]))
-    w = (Window.partitionBy(*keys).orderBy(F.col("_t").desc(), F.col("_seq").desc())
+    w = (Window.partitionBy(*keys, "_blk").orderBy(F.col("_t").desc(), F.col("_seq").desc())
          .rowsBetween(Window.unboundedPreceding, -1))
-    nearest = rows.withColumn("_nx", F.last(cand, ignorenulls=True).over(w)).where(F.col("_is1"))
+    nearest = (rows.withColumn("_nx", F.last(cand, ignorenulls=True).over(w))
+               .where(F.col("_own") & F.col("_is1")))
     ok = F.col("_nx").isNotNull() & (F.col("_nx._t") - F.col("_t") < F.lit(within_us))
     return nearest.select(
         *keys, *[F.col(c).alias(p1 + c) for c in carry],

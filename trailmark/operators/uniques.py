@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from trailmark.functions.hashing import DEFAULT_CAP, DEFAULT_SEED, poly_hash
 from trailmark.functions.time import epoch_micros
 from trailmark.operators.durations import duration_micros
+from trailmark.session import materialize
 from trailmark.operators.windows import WINDOW_END, micros_to_millis, tumbling_end_micros
 
 
@@ -46,25 +47,64 @@ def bitmap_unique_count(df: DataFrame, *, user: str, ts: str, size, unit: str =
 
 def running_unique_count(df: DataFrame, *, user: str, ts: str, size, seq: str,
                          unit: str = "s", seed: int = DEFAULT_SEED, cap: int = DEFAULT_CAP,
-                         keep=(), out: str = "uv_count") -> DataFrame:
+                         keep=(), out: str = "uv_count", sub_blocks: int = 60) -> DataFrame:
     """A5: one row per event with the window's distinct count so far.
 
     Events are taken in (time, ``seq``) order inside their window; an event
     raises the count when its bit offset is new to the window (the
     reference's fire-per-element trigger).  Returns
     ``window_end, keep..., uv_count``.
+
+    Plan, free of hot groups: the first occurrence of each (window, offset)
+    is a partial ``min`` aggregate; events are flagged by joining on the
+    full identity (window, offset, time, seq), which is unique per row; the
+    window is cut into ``sub_blocks`` time slices, each slice's running sum
+    starts from the number of first occurrences in earlier slices (a small
+    per-slice aggregate of the first-occurrence table, which is written to
+    the checkpoint folder once because both branches read it).  Events are
+    shuffled once, on (window, slice), which serves both the join and the
+    running sum.
     """
-    from trailmark.operators.ordered import running_sum
     keep = [keep] if isinstance(keep, str) else list(keep)
+    size_us = duration_micros(size)
+    sub_us = max(size_us // max(sub_blocks, 1), 1)
     t = epoch_micros(df, ts, unit)
-    end = micros_to_millis(tumbling_end_micros(t, duration_micros(size)))
-    rows = df.select(end.alias(WINDOW_END), t.alias("_t"), F.col(seq).alias("_seq"),
+    rows = df.select(micros_to_millis(tumbling_end_micros(t, size_us)).alias(WINDOW_END),
+                     t.alias("_t"), F.col(seq).alias("_seq"),
                      bitmap_offset(F.col(user), seed, cap).alias("_h"), *keep)
-    first = Window.partitionBy(WINDOW_END, "_h").orderBy("_t", "_seq")
-    flagged = rows.withColumn("_new", (F.row_number().over(first) == 1).cast("long"))
-    summed = running_sum(flagged, partition=[WINDOW_END], order=["_t", "_seq"],
-                         value="_new", out=out)
-    return summed.select(WINDOW_END, *keep, out)
+    slice_of = lambda c: c - F.pmod(c, F.lit(sub_us))
+    firsts = (rows.groupBy(WINDOW_END, "_h").agg(F.min(F.struct("_t", "_seq")).alias("_f"))
+              .select(WINDOW_END, "_h", F.col("_f._t").alias("_t"), F.col("_f._seq").alias("_seq"),
+                      slice_of(F.col("_f._t")).alias("_sb")))
+    # used by the flagging join and by the slice totals: computed once
+    firsts = materialize(firsts)
+    part = [WINDOW_END, "_sb"]
+    marks = firsts.withColumn("_new", F.lit(1)).repartition(*part)
+    # fresh column names: carry and marks share lineage, a using-join on equal
+    # names would resolve against the wrong side
+    # carry = first occurrences in earlier slices, for *every* slice of each
+    # window (a slice may hold events but no first occurrence); the table has
+    # windows x sub_blocks rows
+    before = Window.partitionBy("_cw").orderBy("_csb").rowsBetween(Window.unboundedPreceding, -1)
+    per_slice = (firsts.groupBy(F.col(WINDOW_END).alias("_cw"), F.col("_sb").alias("_csb"))
+                 .agg(F.count(F.lit(1)).alias("_n")))
+    w_end = F.col("_cw") * F.lit(1000)
+    all_slices = (per_slice.select("_cw").distinct()
+                  .select("_cw", F.explode(F.sequence(slice_of(w_end - F.lit(size_us)),
+                                                      slice_of(w_end - F.lit(1)),
+                                                      F.lit(sub_us))).alias("_csb")))
+    carry = (all_slices.join(per_slice, ["_cw", "_csb"], "left")
+             .select("_cw", "_csb", F.coalesce(F.sum("_n").over(before), F.lit(0))
+                     .alias("_carry")))
+    ev = rows.withColumn("_sb", slice_of(F.col("_t"))).repartition(*part)
+    joined = ev.join(marks, [*part, "_h", "_t", "_seq"], "left")
+    flagged = joined.join(carry, (joined[WINDOW_END] == carry["_cw"])
+                          & (joined["_sb"] == carry["_csb"]), "left")
+    w = (Window.partitionBy(*part).orderBy("_t", "_seq")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    running = (F.coalesce(F.col("_carry"), F.lit(0))
+               + F.sum(F.coalesce(F.col("_new"), F.lit(0))).over(w))
+    return flagged.select(WINDOW_END, *keep, running.cast("long").alias(out))
 
 
 def truncated_average(df: DataFrame, *, key, value: str, out: str = "avg") -> DataFrame:

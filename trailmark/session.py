@@ -66,3 +66,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "trailmark", name)
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return a DataFrame
+    reading it back: a DataFrame used by several branches of a plan is
+    computed once, and its lineage is cut (lost executors re-read files
+    instead of recomputing).  Reliable checkpoint, never a local one."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
