@@ -162,3 +162,31 @@ def test_upsert_sink(spark):
                  .select("window_end", "uv_count").collect())
     assert got == [(1, 5), (2, 9)]
     shutil.rmtree(out, ignore_errors=True)
+
+
+def test_late_rows_drop_only_closed_windows(spark):
+    def line(t, url):
+        import datetime as dt
+        s = dt.datetime.fromtimestamp(t, dt.timezone.utc).strftime("%d/%m/%Y:%H:%M:%S")
+        return f"1.1.1.1 - - {s} +0000 GET {url}"
+    d = tempfile.mkdtemp(prefix="tm-late-")
+    src = logs.read_log_stream(spark, "access", d, maxFilesPerTrigger=1)
+    ev = wm.with_event_time(src, "event_ms", unit="ms", delay="1 seconds", lateness="1 minutes")
+    counts = sw.stream_window_counts(ev, keys="url", size="10 minutes", slide="5 seconds")
+    name = "late" + uuid.uuid4().hex[:6]
+    q = sinks.write_stream(counts, name, fmt="memory", output_mode="update",
+                           checkpoint=tempfile.mkdtemp(prefix="tm-ck-"))
+    try:
+        with open(os.path.join(d, "000"), "w") as f:
+            f.write(line(1000, "/a") + "\n")
+        q.processAllAvailable()
+        with open(os.path.join(d, "001"), "w") as f:
+            f.write(line(950, "/b") + "\n" + line(900, "/c") + "\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    per_url = {r.url: r["n"] for r in spark.table(name).groupBy("url")
+               .agg(F.countDistinct("window_end").alias("n")).collect()}
+    # watermark after the first batch: 1000 s - 61 s = 939 s
+    assert per_url["/a"] == 120 and per_url["/b"] == 120
+    assert per_url["/c"] == 120 - 7  # windows ending 905..935 s were closed
