@@ -95,3 +95,16 @@ def test_truncated_average(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, -3), (2, -4)], "k long, v long")
     got = dict((r.k, r.avg) for r in uniques.truncated_average(df, key="k", value="v").collect())
     assert got == {1: 1.0, 2: -3.0}
+
+
+@pytest.mark.parametrize("size,slide", [("1 hour", "5 minutes"), ("1 hour", "7 minutes"),
+                                        ("30 minutes", "30 minutes")])
+def test_window_aggregate_generic(events, size, slide):
+    got = windows.window_aggregate(events, keys="user_id", ts="ts", size=size, slide=slide,
+                                   aggs={"count": F.count(F.lit(1)),
+                                         "value_sum": F.round(F.sum("value"), 6)})
+    counts = windows.window_counts(events, keys="user_id", ts="ts", size=size, slide=slide)
+    assert _same(got.select("user_id", "window_end", "count"), counts)
+    fn = windows.window_counts_by_window_fn(events, keys="user_id", ts="ts", size=size,
+                                            slide=slide)
+    assert _same(got.select("user_id", "window_end", "count"), fn)

@@ -169,3 +169,28 @@ def keyed_window_sum(df: DataFrame, *, ts: str, size, value: Column | None = Non
             .groupBy("_end").agg(F.sum("_v").alias(out))
             .select(F.lit(label).alias(key_col),
                     micros_to_millis(F.col("_end")).alias(WINDOW_END), out))
+
+
+def window_aggregate(df: DataFrame, *, keys, ts: str, size, slide=None, aggs: dict,
+                     unit: str = "s") -> DataFrame:
+    """The reference's generic ``aggregate(AggregateFunction, WindowFunction)``:
+    any built-in aggregate expressions per key and window.
+
+    ``aggs`` maps output names to aggregate Columns over the input columns
+    (e.g. ``{"avg_ts": F.avg("ts_s")}``).  Each row is assigned to every
+    window containing it (``size / slide`` copies) and the aggregates run
+    partial / final per (key, window); use :func:`window_counts` for counts,
+    which avoids the copies.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    size_us = duration_micros(size)
+    slide_us = duration_micros(slide) if slide is not None else size_us
+    t = epoch_micros(df, ts, unit)
+    first_end = _floor_to(t, slide_us) + F.lit(slide_us)
+    # ends e with e - size <= t < e, on the slide grid offset by size
+    lo = t + F.lit(1)
+    first = lo + F.pmod(F.lit(size_us) - lo, F.lit(slide_us)) if size_us % slide_us else first_end
+    ends = F.sequence(first, t + F.lit(size_us), F.lit(slide_us))
+    rows = df.withColumn("_end", F.explode(ends))
+    return (rows.groupBy(*keys, "_end").agg(*[c.alias(n) for n, c in aggs.items()])
+            .select(*keys, micros_to_millis(F.col("_end")).alias(WINDOW_END), *aggs.keys()))
