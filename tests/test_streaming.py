@@ -190,3 +190,35 @@ def test_late_rows_drop_only_closed_windows(spark):
     # watermark after the first batch: 1000 s - 61 s = 939 s
     assert per_url["/a"] == 120 and per_url["/b"] == 120
     assert per_url["/c"] == 120 - 7  # windows ending 905..935 s were closed
+
+
+def test_stream_page_views_and_bitmap(spark):
+    from trailmark.plans import jobs
+    lines = _behavior_lines(spark)
+    d = _folder(("behavior", lines + ["0,0,0,pv,1800000000"]))
+    views = wm.ascending(logs.read_log_stream(spark, "behavior", d)
+                         .where(F.col("behavior") == "pv"), "ts_s")
+    pv = spark.table(_run(spark, sw.stream_page_views(views, size="1 hour")))
+    bm = spark.table(_run(spark, sw.stream_unique_count(views, user="user_id", size="1 hour",
+                                                        bitmap=True)))
+    parsed = logs.parse_behavior_lines(spark.createDataFrame([(x,) for x in lines],
+                                                             "value string"))
+    want_pv = jobs.page_views(parsed)
+    want_bm = jobs.unique_visitors_bitmap(parsed, running=False)
+    assert pv.exceptAll(want_pv).count() == 0 and want_pv.exceptAll(pv).count() == 0
+    assert bm.exceptAll(want_bm).count() == 0 and want_bm.exceptAll(bm).count() == 0
+
+
+def test_stream_full_outer_reconcile(spark):
+    pays = _folder(("orders", _read("order_log.csv") + ["9,pay,zz1,1558500000"]))
+    recs = _folder(("receipts", _read("receipt_log.csv") + ["zz2,wechat,1558500000"]))
+    p = wm.with_event_time(logs.read_log_stream(spark, "order", pays)
+                           .where(F.col("tx_id") != ""), "ts_s", delay="10 seconds")
+    r = wm.with_event_time(logs.read_log_stream(spark, "receipt", recs), "ts_s",
+                           delay="10 seconds")
+    out = sm.stream_reconcile(p, r, left_key="tx_id", right_key="tx_id",
+                              left_carry=["order_id"], right_carry=["pay_channel"])
+    res = spark.table(_run(spark, out))
+    res = res.where(~F.coalesce(F.col("pay_key"), F.col("receipt_key")).startswith("zz"))
+    counts = {x.status: x["count"] for x in res.groupBy("status").count().collect()}
+    assert counts == {"matched": 5, "unmatched_pay": 35, "unmatched_receipt": 35}
