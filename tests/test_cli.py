@@ -1,0 +1,15 @@
+import os
+
+from conftest import DATA
+from trailmark import cli
+
+
+def test_cli_batch_jobs(spark, tmp_path):
+    out = str(tmp_path / "o")
+    cli.main(["order-timeout", "--input", os.path.join(DATA, "order_log.csv"), "--out", out])
+    assert spark.read.parquet(out).count() == 39
+    df = cli.main(["tx-match", "--input", os.path.join(DATA, "order_log.csv"),
+                   "--receipts", os.path.join(DATA, "receipt_log.csv"), "--out", out + "2"])
+    assert spark.read.parquet(out + "2").count() == 75
+    cli.main(["login-fail", "--input", os.path.join(DATA, "login_log.csv"), "--out", out + "3"])
+    assert spark.read.parquet(out + "3").count() == 2
