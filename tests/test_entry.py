@@ -33,3 +33,16 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(entry_mod.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, df.collect()) == _rows(rel.columns, rel.fetchall())
+
+
+@pytest.mark.parametrize("name", ["hot_items_report", "login_fail_pairs", "scan_access_log",
+                                  "event_time_seconds", "running_unique_visitors"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "Australia/Lord_Howe")
+    try:
+        df = entry_mod.queries()[name](spark, SF)
+        got = _rows(df.columns, df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rel = duck.sql(entry_mod.oracle_sql()[name])
+    assert got == _rows(rel.columns, rel.fetchall())
