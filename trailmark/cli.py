@@ -23,7 +23,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from trailmark.plans import jobs
-from trailmark.session import get_session
+from trailmark.session import get_session, scratch_path
 from trailmark.sources import logs, sinks
 from trailmark.streaming import matching as sm
 from trailmark.streaming import patterns as sp
@@ -127,8 +127,10 @@ def main(argv=None):
         return df
     df, each_batch = _stream(spark, args)
     mode = "update" if args.job in ("page-views", "unique-visitors") else "append"
+    # stream state and progress live in the shared checkpoint folder unless given
+    checkpoint = args.checkpoint or scratch_path(spark, f"stream-{args.job}")
     q = sinks.write_stream(df, label.replace("/", "_").replace(" ", "_"), output_mode=mode,
-                           checkpoint=args.checkpoint, foreach_batch=each_batch,
+                           checkpoint=checkpoint, foreach_batch=each_batch,
                            fmt="parquet" if args.out else "console", path=args.out)
     q.awaitTermination()
 
