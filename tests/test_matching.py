@@ -52,3 +52,16 @@ def test_interval_join_many_pairs_and_wide_band(spark):
     got = sorted((r.pay_t, r.receipt_t) for r in out.collect())
     want = sorted((a, b) for a in range(0, 100, 7) for b in range(0, 100, 3) if -10 <= b - a <= 4)
     assert got == want
+
+
+def test_unmatched_sides_equal_reconcile_split(logs):
+    kw = dict(left_key="tx_id", right_key="tx_id", left_ts="ts_s", right_ts="ts_s",
+              left_carry=["order_id", "ts_s"], right_carry=["pay_channel", "ts_s"],
+              key_out="tx_id")
+    pays = logs["order"].where(F.col("tx_id") != "")
+    rec = matching.reconcile(pays, logs["receipt"], **kw)
+    _, up, ur = matching.split_reconciled(rec)
+    lp = matching.unmatched(pays, logs["receipt"], side="left", **kw)
+    rp = matching.unmatched(pays, logs["receipt"], side="right", **kw)
+    assert lp.exceptAll(up).count() == 0 and up.exceptAll(lp).count() == 0
+    assert rp.exceptAll(ur).count() == 0 and ur.exceptAll(rp).count() == 0

@@ -121,6 +121,35 @@ def reconcile(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
         status.alias(status_col))
 
 
+def unmatched(left: DataFrame, right: DataFrame, *, side: str = "left", left_key: str,
+              right_key: str, left_ts: str, right_ts: str, lower="-5 seconds",
+              upper="5 seconds", unit: str = "s", left_carry=None, right_carry=None,
+              prefixes=("pay_", "receipt_"), key_out: str | None = None,
+              status_col: str = "status") -> DataFrame:
+    """J4 (``side='left'``) or J5 (``side='right'``) alone: the rows of one
+    side without a partner in the band, as an anti join on (key, bucket)
+    with the other side expanded into the (at most two) buckets it can meet.
+    Same columns as :func:`reconcile` (the other side's columns NULL)."""
+    l, r, lcols, rcols, lo, hi, w, band = _sides(
+        left, right, left_key=left_key, right_key=right_key, left_ts=left_ts,
+        right_ts=right_ts, lower=lower, upper=upper, unit=unit, left_carry=left_carry,
+        right_carry=right_carry, prefixes=prefixes)
+    kname = key_out or left_key
+    null = lambda cols, df, p: [F.lit(None).cast(df.schema[c[len(p):]].dataType).alias(c)  # noqa
+                                for c in cols]
+    if side == "left":
+        L = l.withColumn("_b", _floor_div(F.col("_t"), w)).alias("L")
+        R = r.withColumn("_b", F.explode(_buckets_for(F.col("_t"), -hi, -lo, w))).alias("R")
+        return L.join(R, band(L, R), "left_anti").select(
+            F.col("_k").alias(kname), *lcols, *null(rcols, right, prefixes[1]),
+            F.lit(UNMATCHED_LEFT).alias(status_col))
+    L = l.withColumn("_b", F.explode(_buckets_for(F.col("_t"), lo, hi, w))).alias("L")
+    R = r.withColumn("_b", _floor_div(F.col("_t"), w)).alias("R")
+    return R.join(L, band(L, R), "left_anti").select(
+        F.col("_k").alias(kname), *null(lcols, left, prefixes[0]), *rcols,
+        F.lit(UNMATCHED_RIGHT).alias(status_col))
+
+
 def split_reconciled(rec: DataFrame, status_col: str = "status"):
     """(matched, unmatched pays, unmatched receipts)."""
     return (rec.where(F.col(status_col) == MATCHED),

@@ -166,16 +166,23 @@ def tx_reconcile(spark, sf_dir):
     return matching.reconcile(pays, receipts, **_TX)
 
 
+# Each single output of the reconciliation has its own one-join plan; the full
+# result (all three at once) is one full outer join in tx_reconcile.
+
 def tx_matched(spark, sf_dir):
-    return tx_reconcile(spark, sf_dir).where(F.col("status") == matching.MATCHED)
+    pays, receipts = _tx_sides(spark, sf_dir)
+    return matching.interval_join(pays, receipts, **_TX).withColumn(
+        "status", F.lit(matching.MATCHED))
 
 
 def tx_unmatched_pays(spark, sf_dir):
-    return tx_reconcile(spark, sf_dir).where(F.col("status") == matching.UNMATCHED_LEFT)
+    pays, receipts = _tx_sides(spark, sf_dir)
+    return matching.unmatched(pays, receipts, side="left", **_TX)
 
 
 def tx_unmatched_receipts(spark, sf_dir):
-    return tx_reconcile(spark, sf_dir).where(F.col("status") == matching.UNMATCHED_RIGHT)
+    pays, receipts = _tx_sides(spark, sf_dir)
+    return matching.unmatched(pays, receipts, side="right", **_TX)
 
 
 # --- P1 / P2 / E1 / E2 -------------------------------------------------------------
