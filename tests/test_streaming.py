@@ -7,7 +7,6 @@ import shutil
 import tempfile
 import uuid
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
