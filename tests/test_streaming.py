@@ -221,3 +221,37 @@ def test_stream_full_outer_reconcile(spark):
     res = res.where(~F.coalesce(F.col("pay_key"), F.col("receipt_key")).startswith("zz"))
     counts = {x.status: x["count"] for x in res.groupBy("status").count().collect()}
     assert counts == {"matched": 5, "unmatched_pay": 35, "unmatched_receipt": 35}
+
+
+def test_refining_top_n_reranks_late_windows_completely(spark):
+    import datetime as dt
+
+    def line(t, url):
+        s = dt.datetime.fromtimestamp(t, dt.timezone.utc).strftime("%d/%m/%Y:%H:%M:%S")
+        return f"1.1.1.1 - - {s} +0000 GET {url}"
+    d = tempfile.mkdtemp(prefix="tm-ref-")
+    table = tempfile.mkdtemp(prefix="tm-tab-") + "/t"
+    src = logs.read_log_stream(spark, "access", d, maxFilesPerTrigger=1)
+    ev = wm.with_event_time(src, "event_ms", unit="ms", delay="1 seconds", lateness="1 minutes")
+    counts = sw.stream_window_counts(ev, keys="url", size="10 minutes", slide="5 seconds")
+    out_name = "ref" + uuid.uuid4().hex[:6]
+    results = []
+
+    def sink(df, batch_id):
+        results.append((batch_id, [tuple(r) for r in df.collect()]))
+    q = sinks.write_stream(counts, out_name, output_mode="update",
+                           checkpoint=tempfile.mkdtemp(prefix="tm-ck-"),
+                           foreach_batch=sw.refining_top_n_each_batch(
+                               key="url", n=2, table=table, sink=sink))
+    try:
+        with open(os.path.join(d, "000"), "w") as f:
+            f.write("\n".join([line(1000, "/a"), line(1000, "/a"), line(1001, "/b")]) + "\n")
+        q.processAllAvailable()
+        with open(os.path.join(d, "001"), "w") as f:
+            f.write("\n".join([line(990, "/c"), line(990, "/c"), line(991, "/c")]) + "\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    last = dict(((r[0], r[1]), (r[2], r[3])) for r in results[-1][1])
+    # window ending 1005 s: /c (3, late) ranks first, /a (2) second; /b is pushed out
+    assert last[(1005_000, 1)] == ("/c", 3) and last[(1005_000, 2)] == ("/a", 2)
