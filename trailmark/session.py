@@ -15,6 +15,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove reliable-checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # state channel of transformWithState over a socket file, not TCP
     "spark.python.unix.domain.socket.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
