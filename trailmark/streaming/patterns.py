@@ -37,6 +37,7 @@ from trailmark.functions.text import ORDER_PAID_MESSAGE, ORDER_TIMEOUT_MESSAGE
 from trailmark.operators.durations import duration_micros
 from trailmark.streaming.watermarks import EVENT_TIME
 
+MARK_SCHEMA = StructType([StructField("wm", LongType())])
 ROW_SCHEMA = StructType([StructField("t", LongType()), StructField("seq", LongType()),
                          StructField("tag", IntegerType()), StructField("payload", StringType())])
 
@@ -56,6 +57,9 @@ class _OrderedPattern(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buf", ROW_SCHEMA)
         self.pend = handle.getListState("pend", ROW_SCHEMA)
+        # watermark up to which the key was already fed: the other timers of
+        # the key expiring in the same batch return at once (no re-read)
+        self.mark = handle.getValueState("mark", MARK_SCHEMA)
 
     # --- subclass hooks ---------------------------------------------------------
     def feed(self, key, row, pend: list, out: list) -> None:
@@ -87,6 +91,9 @@ class _OrderedPattern(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        if self.mark.exists() and self.mark.get()[0] >= wm:
+            return iter([])
+        self.mark.update((wm,))
         buf = list(self.buf.get()) if self.buf.exists() else []
         pend = list(self.pend.get()) if self.pend.exists() else []
         ready = sorted((r for r in buf if r[0] <= wm), key=lambda r: (r[0], r[1]))
@@ -101,6 +108,8 @@ class _OrderedPattern(StatefulProcessor):
         self.pend.clear()
         if pend:
             self.pend.put(pend)
+        if not keep and not pend:
+            self.mark.clear()  # nothing waits: the key leaves no state behind
         return iter(out)
 
     def close(self) -> None:
