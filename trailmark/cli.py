@@ -1,13 +1,13 @@
 """Run the reference's jobs on text logs.
 
-    python -m trailmark.cli hot-items   --input UserBehavior.csv [--stream] [--out DIR]
-    python -m trailmark.cli hot-urls    --input apache.log
-    python -m trailmark.cli page-views  --input UserBehavior.csv
-    python -m trailmark.cli unique-visitors [--bitmap] --input UserBehavior.csv
-    python -m trailmark.cli login-fail  --input LoginLog.csv
-    python -m trailmark.cli order-timeout --input OrderLog.csv
-    python -m trailmark.cli tx-match    --input OrderLog.csv --receipts ReceiptLog.csv
-    python -m trailmark.cli tx-join     --input OrderLog.csv --receipts ReceiptLog.csv
+    python -m trailmark.cli hot-items   --input behavior.csv [--stream] [--out DIR]
+    python -m trailmark.cli hot-urls    --input access.log
+    python -m trailmark.cli page-views  --input behavior.csv
+    python -m trailmark.cli unique-visitors [--bitmap] --input behavior.csv
+    python -m trailmark.cli login-fail  --input logins.csv
+    python -m trailmark.cli order-timeout --input orders.csv
+    python -m trailmark.cli tx-match    --input orders.csv --receipts receipts.csv
+    python -m trailmark.cli tx-join     --input orders.csv --receipts receipts.csv
 
 Batch mode reads the files whole and prints (or writes ``--out`` as
 parquet).  ``--stream`` treats ``--input`` (and ``--receipts``) as folders
