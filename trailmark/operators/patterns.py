@@ -52,8 +52,10 @@ def strict_next(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
     carry = [c for c in (carry or df.columns) if c not in keys]
     p1, p2 = prefixes
     within_us = duration_micros(within)
+    # an event without a time cannot be placed in the order: it takes no part
     rows = df.select(*keys, *carry, epoch_micros(df, ts, unit).alias("_t"),
-                     F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2"))
+                     F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2")) \
+        .where(F.col("_t").isNotNull())
     rows = with_lookahead(rows, t="_t", horizon_us=within_us,
                           block_us=block_size(within_us, block_factor))
     w = Window.partitionBy(*keys, "_blk").orderBy("_t", "_seq")
@@ -95,8 +97,10 @@ def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
     carry = [c for c in (carry or df.columns) if c not in keys]
     p1, p2 = prefixes
     within_us = duration_micros(within)
+    # an event without a time cannot be placed in the order: it takes no part
     rows = df.select(*keys, *carry, epoch_micros(df, ts, unit).alias("_t"),
-                     F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2"))
+                     F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2")) \
+        .where(F.col("_t").isNotNull())
     rows = with_lookahead(rows, t="_t", horizon_us=within_us,
                           block_us=block_size(within_us, block_factor),
                           copy_if=F.col("_is2"))
