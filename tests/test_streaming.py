@@ -255,3 +255,29 @@ def test_refining_top_n_reranks_late_windows_completely(spark):
     last = dict(((r[0], r[1]), (r[2], r[3])) for r in results[-1][1])
     # window ending 1005 s: /c (3, late) ranks first, /a (2) second; /b is pushed out
     assert last[(1005_000, 1)] == ("/c", 3) and last[(1005_000, 2)] == ("/a", 2)
+
+
+def test_stream_bitmap_count_upserted_per_window(spark):
+    from trailmark.plans import jobs
+    lines = _behavior_lines(spark)
+    half = len(lines) // 2
+    d = tempfile.mkdtemp(prefix="tm-up-in-")
+    out = tempfile.mkdtemp(prefix="tm-up-out-") + "/uv"
+    src = logs.read_log_stream(spark, "behavior", d, maxFilesPerTrigger=1)
+    views = wm.ascending(src.where(F.col("behavior") == "pv"), "ts_s")
+    counts = sw.stream_unique_count(views, user="user_id", size="1 hour", bitmap=True)
+    q = sinks.write_stream(counts, "uvup" + uuid.uuid4().hex[:6], output_mode="update",
+                           checkpoint=tempfile.mkdtemp(prefix="tm-ck-"),
+                           foreach_batch=sinks.upsert_by_window(out))
+    try:
+        for i, chunk in enumerate([lines[:half], lines[half:]]):
+            with open(os.path.join(d, f"{i:03d}"), "w") as f:
+                f.write("\n".join(chunk) + "\n")
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.read.parquet(out).select("window_end", "uv_count")
+    parsed = logs.parse_behavior_lines(spark.createDataFrame([(x,) for x in lines],
+                                                             "value string"))
+    want = jobs.unique_visitors_bitmap(parsed, running=False)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

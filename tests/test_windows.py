@@ -108,3 +108,11 @@ def test_window_aggregate_generic(events, size, slide):
     fn = windows.window_counts_by_window_fn(events, keys="user_id", ts="ts", size=size,
                                             slide=slide)
     assert _same(got.select("user_id", "window_end", "count"), fn)
+
+
+def test_java_timestamp_text(spark):
+    from trailmark.functions.time import java_timestamp_text
+    df = spark.createDataFrame([(0,), (1500,), (1230,), (1001,), (1511661600000,)], "ms long")
+    got = [r.t for r in df.select(java_timestamp_text(F.col("ms")).alias("t")).collect()]
+    assert got == ["1970-01-01 00:00:00.0", "1970-01-01 00:00:01.5", "1970-01-01 00:00:01.23",
+                   "1970-01-01 00:00:01.001", "2017-11-26 02:00:00.0"]
