@@ -117,16 +117,14 @@ def _sweep_counts(base: DataFrame, keys, size_us: int, slide_us: int, count_col:
     b_lo = _floor_to(lo, block_us)
     b_hi = _floor_to(hi - F.lit(1), block_us)
     split = b_hi != b_lo
-    pt = lambda b, s, d, ok: F.struct(b.alias("b"), s.alias("s"), F.lit(d).alias("d"),  # noqa
-                                      ok.alias("ok"))
-    deltas = (base.where(lo < hi).select(*keys, F.explode(F.array(
-        pt(b_lo, lo, 1, F.lit(True)),
-        pt(b_lo, hi, -1, ~split),                 # the end inside the first block
-        pt(b_hi, b_hi, 1, split),                 # re-open at the second block's start
-        pt(b_hi, hi, -1, split))).alias("_x"))
-        .where(F.col("_x.ok"))
-        .groupBy(*keys, F.col("_x.b").alias("_blk"), F.col("_x.s").alias("_s"))
-        .agg(F.sum("_x.d").alias("_d")))
+    pt = lambda b, s, d: F.struct(b.alias("b"), s.alias("s"), F.lit(d).alias("d"))  # noqa
+    # inside one block: +1 at lo, -1 at hi; across two: +1 at lo (closed by the
+    # block end), +1 at the second block's start, -1 at hi
+    points = F.when(split, F.array(pt(b_lo, lo, 1), pt(b_hi, b_hi, 1), pt(b_hi, hi, -1))) \
+        .otherwise(F.array(pt(b_lo, lo, 1), pt(b_lo, hi, -1)))
+    deltas = (base.where(lo < hi).select(*keys, F.explode(points).alias("_x"))
+              .groupBy(*keys, F.col("_x.b").alias("_blk"), F.col("_x.s").alias("_s"))
+              .agg(F.sum("_x.d").alias("_d")))
     in_blk = Window.partitionBy(*keys, "_blk").orderBy("_s")
     runs = deltas.select(
         *keys, "_s",
