@@ -116,3 +116,14 @@ def test_java_timestamp_text(spark):
     got = [r.t for r in df.select(java_timestamp_text(F.col("ms")).alias("t")).collect()]
     assert got == ["1970-01-01 00:00:00.0", "1970-01-01 00:00:01.5", "1970-01-01 00:00:01.23",
                    "1970-01-01 00:00:01.001", "2017-11-26 02:00:00.0"]
+
+
+def test_bad_parameters_rejected(events):
+    from trailmark.operators import patterns
+    with pytest.raises(ValueError):
+        windows.window_counts(events, keys="user_id", ts="ts", size="0 seconds")
+    with pytest.raises(ValueError):
+        topn.top_n(events, key="user_id", n=0, value="value", group="event_type")
+    with pytest.raises(ValueError):
+        patterns.strict_next(events, key="user_id", ts="ts", seq="event_id",
+                             first=F.lit(True), second=F.lit(True), within="0 seconds")

@@ -52,6 +52,8 @@ def strict_next(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
     carry = [c for c in (carry or df.columns) if c not in keys]
     p1, p2 = prefixes
     within_us = duration_micros(within)
+    if within_us <= 0:
+        raise ValueError(f"within must be positive: {within!r}")
     # an event without a time cannot be placed in the order: it takes no part
     rows = df.select(*keys, *carry, epoch_micros(df, ts, unit).alias("_t"),
                      F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2")) \
@@ -97,6 +99,8 @@ def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
     carry = [c for c in (carry or df.columns) if c not in keys]
     p1, p2 = prefixes
     within_us = duration_micros(within)
+    if within_us <= 0:
+        raise ValueError(f"within must be positive: {within!r}")
     # an event without a time cannot be placed in the order: it takes no part
     rows = df.select(*keys, *carry, epoch_micros(df, ts, unit).alias("_t"),
                      F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2")) \

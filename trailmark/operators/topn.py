@@ -28,6 +28,8 @@ def top_n(counts: DataFrame, *, key: str, n: int, value: str = "count",
 
     Exactly ``min(n, keys)`` rows per group (``row_number``, not ``rank``).
     """
+    if n < 1:
+        raise ValueError(f"n must be positive: {n}")
     w = Window.partitionBy(group).orderBy(F.col(value).desc(), F.col(key).asc())
     # filter on the bare row_number so the optimizer can infer the group limit
     return (counts.withColumn("_rn", F.row_number().over(w))

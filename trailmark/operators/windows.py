@@ -85,8 +85,7 @@ def window_counts(df: DataFrame, *, keys, ts: str, size, slide=None, unit: str =
     then expand pane counts into windows and aggregate again).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    size_us = duration_micros(size)
-    slide_us = duration_micros(slide) if slide is not None else size_us
+    size_us, slide_us = _check_sizes(size, slide)
     t = epoch_micros(df, ts, unit)
     base = df.select(*[F.col(k) for k in keys], t.alias("_t"))
     if slide_us == size_us:
@@ -105,6 +104,14 @@ def window_counts(df: DataFrame, *, keys, ts: str, size, slide=None, unit: str =
     return out.select(*keys, micros_to_millis(F.col("_end")).alias(WINDOW_END), count_col)
 
 
+def _check_sizes(size, slide):
+    size_us = duration_micros(size)
+    slide_us = duration_micros(slide) if slide is not None else size_us
+    if size_us <= 0 or slide_us <= 0:
+        raise ValueError(f"window size and slide must be positive: {size!r}, {slide!r}")
+    return size_us, slide_us
+
+
 def _sweep_counts(base: DataFrame, keys, size_us: int, slide_us: int, count_col: str,
                   block_factor: int) -> DataFrame:
     g = gcd(size_us, slide_us)
@@ -181,8 +188,7 @@ def window_aggregate(df: DataFrame, *, keys, ts: str, size, slide=None, aggs: di
     which avoids the copies.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    size_us = duration_micros(size)
-    slide_us = duration_micros(slide) if slide is not None else size_us
+    size_us, slide_us = _check_sizes(size, slide)
     t = epoch_micros(df, ts, unit)
     first_end = _floor_to(t, slide_us) + F.lit(slide_us)
     # ends e with e - size <= t < e, on the slide grid offset by size
