@@ -44,12 +44,11 @@ def with_lookahead(rows: DataFrame, *, t: str, horizon_us: int, block_us: int,
     near_start = F.col(t) - blk < F.lit(horizon_us)
     if copy_if is not None:
         near_start = near_start & copy_if
-    copies = F.when(near_start, F.array(F.struct(blk.alias("b"), F.lit(True).alias("o")),
-                                        F.struct((blk - F.lit(block_us)).alias("b"),
-                                                 F.lit(False).alias("o")))) \
-        .otherwise(F.array(F.struct(blk.alias("b"), F.lit(True).alias("o"))))
-    return (rows.withColumn("_c", F.explode(copies))
-            .withColumn("_blk", F.col("_c.b")).withColumn("_own", F.col("_c.o")).drop("_c"))
+    # position 0: the row's own block; position 1: the copy one block earlier
+    blocks = F.when(near_start, F.array(blk, blk - F.lit(block_us))).otherwise(F.array(blk))
+    cols = [c for c in rows.columns]
+    return (rows.select(*cols, F.posexplode(blocks).alias("_pos", "_blk"))
+            .withColumn("_own", F.col("_pos") == 0).drop("_pos"))
 
 
 def running_sum(df: DataFrame, *, partition, order, value: str, out: str,
