@@ -281,3 +281,26 @@ def test_stream_bitmap_count_upserted_per_window(spark):
                                                              "value string"))
     want = jobs.unique_visitors_bitmap(parsed, running=False)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_strict_next_orders_rows_across_batches(spark):
+    d = tempfile.mkdtemp(prefix="tm-ooo-")
+    src = logs.read_log_stream(spark, "login", d, maxFilesPerTrigger=1)
+    ev = wm.bounded_out_of_order(src, "ts_s", "5 seconds")
+    out = sp.stream_strict_next(ev, key="user_id", first=F.col("event_type") == "fail",
+                                second=F.col("event_type") == "fail", within="2 seconds")
+    name = "ooo" + uuid.uuid4().hex[:6]
+    q = sinks.write_stream(out, name, fmt="memory", checkpoint=tempfile.mkdtemp(prefix="tm-ck-"))
+    batches = [["7,ip,fail,100", "7,ip,fail,104"],
+               ["7,ip,fail,103"],            # 4 s behind, inside the 5 s bound: not late
+               ["7,ip,fail,90"],             # behind the watermark (99 s): late, dropped
+               ["8,ip,success,1000"]]        # sentinel of another key: flushes
+    try:
+        for i, rows in enumerate(batches):
+            with open(os.path.join(d, f"{i:03d}"), "w") as f:
+                f.write("\n".join(rows) + "\n")
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.first_t // 1000, r.second_t // 1000) for r in spark.table(name).collect())
+    assert got == [(103, 104)]
