@@ -49,8 +49,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins.  Only when it is unset (tests, laptops) a
-    fresh local folder is created and registered.
+    The cluster's setting wins.  Only when it is unset and the master is
+    local (tests, laptops) a fresh local folder is created and registered;
+    on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -58,6 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not shared by the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         path = tempfile.mkdtemp(prefix="trailmark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
