@@ -28,17 +28,16 @@ def _sides(left, right, left_key, right_key, left_carry, right_carry, prefixes,
 
 def _band(L, R, prefixes, lower, upper):
     lp, rp = prefixes
-    lo, hi = duration_micros(lower) // 1_000_000, duration_micros(upper) // 1_000_000
+    lo, hi = duration_micros(lower), duration_micros(upper)
     return F.expr(
-        f"{lp}key = {rp}key AND {rp}time >= {lp}time + INTERVAL {lo} SECONDS "
-        f"AND {rp}time <= {lp}time + INTERVAL {hi} SECONDS")
+        f"{lp}key = {rp}key AND {rp}time >= {lp}time + INTERVAL {lo} MICROSECONDS "
+        f"AND {rp}time <= {lp}time + INTERVAL {hi} MICROSECONDS")
 
 
 def stream_interval_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
                          lower="-5 seconds", upper="5 seconds", left_carry=(), right_carry=(),
                          prefixes=("pay_", "receipt_"), event_time: str = EVENT_TIME) -> DataFrame:
-    """All pairs of equal key with ``t_r - t_l`` in ``[lower, upper]``
-    (bounds in whole seconds)."""
+    """All pairs of equal key with ``t_r - t_l`` in ``[lower, upper]``."""
     L, R = _sides(left, right, left_key, right_key, left_carry, right_carry, prefixes, event_time)
     return L.join(R, _band(L, R, prefixes, lower, upper), "inner")
 
