@@ -10,23 +10,18 @@ time range at least that bound long, and each block also receives a
 ``horizon`` of it.  Inside a block the window functions see every row that
 can complete a match starting there; look-ahead copies never start one.
 Rows are copied at most once, a share of about ``horizon / block``.
-
-For running sums over a whole group (A5) the group is cut into sub-blocks
-and each sub-block starts from the total of the sub-blocks before it.
+(The running distinct count, whose look-back is the whole window, uses
+time slices with carried totals instead: see ``uniques.running_unique_count``.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_FACTOR = 4
 
 
-def _cols(x):
-    return [x] if isinstance(x, str) else list(x)
-
-
 def floor_to(t: Column, width: int) -> Column:
     return t - F.pmod(t, F.lit(width))
 
@@ -46,33 +41,5 @@ def with_lookahead(rows: DataFrame, *, t: str, horizon_us: int, block_us: int,
         near_start = near_start & copy_if
     # position 0: the row's own block; position 1: the copy one block earlier
     blocks = F.when(near_start, F.array(blk, blk - F.lit(block_us))).otherwise(F.array(blk))
-    cols = [c for c in rows.columns]
-    return (rows.select(*cols, F.posexplode(blocks).alias("_pos", "_blk"))
+    return (rows.select(*rows.columns, F.posexplode(blocks).alias("_pos", "_blk"))
             .withColumn("_own", F.col("_pos") == 0).drop("_pos"))
-
-
-def running_sum(df: DataFrame, *, partition, order, value: str, out: str,
-                sub_block: Column | None = None) -> DataFrame:
-    """``sum(value)`` over rows ``<=`` the current one in ``order`` per
-    ``partition``.
-
-    With ``sub_block`` (a column that grows with ``order``, e.g. a time
-    bucket) the window runs per (partition, sub_block) and adds the totals
-    of the earlier sub-blocks of the partition, computed from a per
-    sub-block aggregate (small: one row per sub-block).
-    """
-    part = _cols(partition)
-    if sub_block is None:
-        w = (Window.partitionBy(*part).orderBy(*_cols(order))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(out, F.sum(value).over(w))
-    rows = df.withColumn("_sb", sub_block)
-    totals = rows.groupBy(*part, "_sb").agg(F.sum(value).alias("_tot"))
-    before = Window.partitionBy(*part).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*part, "_sb", F.coalesce(F.sum("_tot").over(before), F.lit(0))
-                          .alias("_carry"))
-    w = (Window.partitionBy(*part, "_sb").orderBy(*_cols(order))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (rows.join(carry, [*part, "_sb"])
-            .withColumn(out, F.col("_carry") + F.sum(value).over(w))
-            .drop("_sb", "_carry"))
