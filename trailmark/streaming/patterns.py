@@ -218,7 +218,15 @@ def _out_schema(df: DataFrame, keys, fields) -> StructType:
     return StructType([df.schema[k] for k in keys] + fields)
 
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _run(tagged: DataFrame, keys, processor, fields, output_mode="append") -> DataFrame:
+    # transformWithState needs the RocksDB state store; a new query takes the
+    # session's setting (a restarted one keeps what its checkpoint recorded)
+    conf = tagged.sparkSession.conf
+    if conf.get("spark.sql.streaming.stateStore.providerClass", "") != _ROCKSDB:
+        conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     schema = _out_schema(tagged, keys, fields)
     processor.names = tuple(schema.fieldNames())
     return (tagged.groupBy(*keys)
