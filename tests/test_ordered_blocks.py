@@ -44,7 +44,7 @@ def _model_followed(rows, within):
     return sorted(got, key=lambda x: (x[0], x[1]))
 
 
-@pytest.mark.parametrize("block_factor", [1, 2, 4])
+@pytest.mark.parametrize("block_factor", [0.25, 0.5, 1, 2, 4])
 @pytest.mark.parametrize("within", [3, 10])
 def test_strict_next_blocks(spark, block_factor, within):
     rows = _events()
@@ -56,7 +56,7 @@ def test_strict_next_blocks(spark, block_factor, within):
     assert got == _model_strict(rows, within)
 
 
-@pytest.mark.parametrize("block_factor", [1, 2, 4])
+@pytest.mark.parametrize("block_factor", [0.25, 0.5, 1, 2, 4])
 @pytest.mark.parametrize("within", [3, 10])
 def test_followed_by_blocks(spark, block_factor, within):
     rows = _events(seed=11)

@@ -26,20 +26,30 @@ def floor_to(t: Column, width: int) -> Column:
     return t - F.pmod(t, F.lit(width))
 
 
-def block_size(horizon_us: int, factor: int = BLOCK_FACTOR) -> int:
-    return max(int(horizon_us), 1) * max(int(factor), 1)
+def block_size(horizon_us: int, factor: float = BLOCK_FACTOR) -> int:
+    """Block length ``factor x horizon`` (at least 1 us).  A factor below 1
+    gives shorter blocks - smaller groups for a key that is dense in a short
+    span - at the price of more look-ahead copies (about ``1 / factor`` per
+    copied row)."""
+    return max(int(max(horizon_us, 1) * factor), 1)
 
 
 def with_lookahead(rows: DataFrame, *, t: str, horizon_us: int, block_us: int,
                    copy_if: Column | None = None) -> DataFrame:
-    """Add ``_blk`` (block start) and ``_own``; rows whose time lies in the
-    first ``horizon_us`` of their block (and satisfy ``copy_if``) are also
-    emitted into the previous block with ``_own = false``."""
+    """Add ``_blk`` (block start) and ``_own``.  A row (satisfying
+    ``copy_if``) is also emitted, with ``_own = false``, into every earlier
+    block whose end lies less than ``horizon_us`` before the row: there it
+    is the look-ahead of that block's last rows."""
     blk = floor_to(F.col(t), block_us)
-    near_start = F.col(t) - blk < F.lit(horizon_us)
+    offset = F.col(t) - blk                       # time since the own block's start
+    # copies into blocks j = 1, 2, ... back while offset + (j - 1) * block < horizon
+    n_copies = F.when(offset < F.lit(horizon_us),
+                      F.floor((F.lit(horizon_us) - offset - F.lit(1)) / F.lit(block_us)) + 1) \
+        .otherwise(F.lit(0)).cast("int")
     if copy_if is not None:
-        near_start = near_start & copy_if
-    # position 0: the row's own block; position 1: the copy one block earlier
-    blocks = F.when(near_start, F.array(blk, blk - F.lit(block_us))).otherwise(F.array(blk))
-    return (rows.select(*rows.columns, F.posexplode(blocks).alias("_pos", "_blk"))
-            .withColumn("_own", F.col("_pos") == 0).drop("_pos"))
+        n_copies = F.when(copy_if, n_copies).otherwise(F.lit(0))
+    # position 0: the own block; position j: the copy j blocks earlier
+    back = F.sequence(F.lit(0), n_copies)
+    return (rows.select(*rows.columns, F.posexplode(back).alias("_pos", "_j"))
+            .withColumn("_blk", blk - F.col("_j").cast("long") * F.lit(block_us))
+            .withColumn("_own", F.col("_pos") == 0).drop("_pos", "_j"))

@@ -38,7 +38,7 @@ def _cols(x):
 
 def strict_next(df: DataFrame, *, key, ts: str, seq: str, first: Column, second: Column,
                 within, unit: str = "s", carry=None, prefixes=("first_", "second_"),
-                block_factor: int = BLOCK_FACTOR) -> DataFrame:
+                block_factor: float = BLOCK_FACTOR) -> DataFrame:
     """Pairs (e, next(e)) per key where ``first(e)``, ``second(next(e))``
     and ``t(next) - t(e) < within``.
 
@@ -81,7 +81,7 @@ def login_fail_alerts(pairs: DataFrame, *, user: str = "user_id",
 
 def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second: Column,
                 within, unit: str = "s", carry=None, prefixes=("first_", "second_"),
-                status_col: str = "status", block_factor: int = BLOCK_FACTOR) -> DataFrame:
+                status_col: str = "status", block_factor: float = BLOCK_FACTOR) -> DataFrame:
     """Every start event with its outcome.
 
     One row per event satisfying ``first``: ``status = 'matched'`` with the
