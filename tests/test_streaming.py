@@ -304,3 +304,37 @@ def test_stream_strict_next_orders_rows_across_batches(spark):
         q.stop()
     got = sorted((r.first_t // 1000, r.second_t // 1000) for r in spark.table(name).collect())
     assert got == [(103, 104)]
+
+
+def test_stream_running_unique_per_event_equals_batch(spark):
+    from trailmark.operators import uniques
+    lines = _behavior_lines(spark)
+    third = len(lines) // 3
+    d = tempfile.mkdtemp(prefix="tm-run-")
+    seen = tempfile.mkdtemp(prefix="tm-seen-") + "/seen"
+    src = logs.read_log_stream(spark, "behavior", d, maxFilesPerTrigger=1)
+    views = src.where(F.col("behavior") == "pv")
+    table = "run" + uuid.uuid4().hex[:6]
+
+    def sink(df, batch_id):
+        df.write.mode("append").saveAsTable(table)
+    q = sinks.write_stream(views, "q" + table, checkpoint=tempfile.mkdtemp(prefix="tm-ck-"),
+                           foreach_batch=sw.running_unique_each_batch(
+                               seen_table=seen, user="user_id", ts="ts_s", seq="item_id",
+                               keep=["item_id"], sink=sink))
+    try:
+        for i, chunk in enumerate([lines[:third], lines[third:2 * third], lines[2 * third:]]):
+            with open(os.path.join(d, f"{i:03d}"), "w") as f:
+                f.write("\n".join(chunk) + "\n")
+            q.processAllAvailable()
+        got = spark.table(table)
+        parsed = logs.parse_behavior_lines(spark.createDataFrame([(x,) for x in lines],
+                                                                 "value string"))
+        want = uniques.running_unique_count(parsed.where(F.col("behavior") == "pv"),
+                                            user="user_id", ts="ts_s", size="1 hour",
+                                            seq="item_id", keep=["item_id"])
+        assert got.count() == want.count()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        q.stop()
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

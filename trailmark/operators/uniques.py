@@ -65,37 +65,66 @@ def running_unique_count(df: DataFrame, *, user: str, ts: str, size, seq: str,
     shuffled once, on (window, slice), which serves both the join and the
     running sum.
     """
-    keep = [keep] if isinstance(keep, str) else list(keep)
     size_us = duration_micros(size)
-    sub_us = max(size_us // max(sub_blocks, 1), 1)
+    rows = event_offsets(df, user=user, ts=ts, size_us=size_us, seq=seq, unit=unit, seed=seed,
+                         cap=cap, keep=keep)
+    firsts = materialize(first_occurrences(rows))
+    return running_from_firsts(rows, firsts, size_us=size_us, keep=keep, out=out,
+                               sub_blocks=sub_blocks)
+
+
+def event_offsets(df: DataFrame, *, user: str, ts: str, size_us: int, seq, unit: str = "s",
+                  seed: int = DEFAULT_SEED, cap: int = DEFAULT_CAP, keep=()) -> DataFrame:
+    """Events as (window_end, _t, _seq, _h bit offset, keep...)."""
+    keep = [keep] if isinstance(keep, str) else list(keep)
     t = epoch_micros(df, ts, unit)
-    rows = df.select(micros_to_millis(tumbling_end_micros(t, size_us)).alias(WINDOW_END),
-                     t.alias("_t"), F.col(seq).alias("_seq"),
+    order = F.col(seq) if isinstance(seq, str) else seq
+    return df.select(micros_to_millis(tumbling_end_micros(t, size_us)).alias(WINDOW_END),
+                     t.alias("_t"), order.alias("_seq"),
                      bitmap_offset(F.col(user), seed, cap).alias("_h"), *keep)
+
+
+def first_occurrences(rows: DataFrame) -> DataFrame:
+    """(window_end, _h, _t, _seq) of the first event of each offset per window."""
+    return (rows.groupBy(WINDOW_END, "_h").agg(F.min(F.struct("_t", "_seq")).alias("_f"))
+            .select(WINDOW_END, "_h", F.col("_f._t").alias("_t"), F.col("_f._seq").alias("_seq")))
+
+
+def running_from_firsts(rows: DataFrame, firsts: DataFrame, *, size_us: int, keep=(),
+                        out: str = "uv_count", sub_blocks: int = 60,
+                        prior: DataFrame | None = None) -> DataFrame:
+    """Per event of ``rows``: ``prior`` count of its window (a
+    ``window_end, prior`` table; 0 when absent) plus the ``firsts`` of the
+    window up to the event in (time, seq) order.  ``firsts`` must be
+    materialized (it is read twice)."""
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    sub_us = max(size_us // max(sub_blocks, 1), 1)
     slice_of = lambda c: c - F.pmod(c, F.lit(sub_us))
-    firsts = (rows.groupBy(WINDOW_END, "_h").agg(F.min(F.struct("_t", "_seq")).alias("_f"))
-              .select(WINDOW_END, "_h", F.col("_f._t").alias("_t"), F.col("_f._seq").alias("_seq"),
-                      slice_of(F.col("_f._t")).alias("_sb")))
-    # used by the flagging join and by the slice totals: computed once
-    firsts = materialize(firsts)
     part = [WINDOW_END, "_sb"]
-    marks = firsts.withColumn("_new", F.lit(1)).repartition(*part)
-    # fresh column names: carry and marks share lineage, a using-join on equal
-    # names would resolve against the wrong side
-    # carry = first occurrences in earlier slices, for *every* slice of each
-    # window (a slice may hold events but no first occurrence); the table has
-    # windows x sub_blocks rows
+    marks = (firsts.withColumn("_sb", slice_of(F.col("_t"))).withColumn("_new", F.lit(1))
+             .repartition(*part))
+    # carry = prior + first occurrences in earlier slices, for *every* slice of
+    # each window with events (a slice may hold events but no first
+    # occurrence): windows x sub_blocks rows.  Fresh column names: the carry
+    # and the marks share lineage, and a using-join on equal names would
+    # resolve against the wrong side.
     before = Window.partitionBy("_cw").orderBy("_csb").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = (firsts.groupBy(F.col(WINDOW_END).alias("_cw"), F.col("_sb").alias("_csb"))
+    per_slice = (firsts.groupBy(F.col(WINDOW_END).alias("_cw"),
+                                slice_of(F.col("_t")).alias("_csb"))
                  .agg(F.count(F.lit(1)).alias("_n")))
     w_end = F.col("_cw") * F.lit(1000)
-    all_slices = (per_slice.select("_cw").distinct()
-                  .select("_cw", F.explode(F.sequence(slice_of(w_end - F.lit(size_us)),
-                                                      slice_of(w_end - F.lit(1)),
-                                                      F.lit(sub_us))).alias("_csb")))
+    windows = rows.select(F.col(WINDOW_END).alias("_cw")).distinct() if prior is not None \
+        else per_slice.select("_cw").distinct()
+    all_slices = windows.select("_cw", F.explode(F.sequence(
+        slice_of(w_end - F.lit(size_us)), slice_of(w_end - F.lit(1)), F.lit(sub_us))).alias("_csb"))
     carry = (all_slices.join(per_slice, ["_cw", "_csb"], "left")
              .select("_cw", "_csb", F.coalesce(F.sum("_n").over(before), F.lit(0))
                      .alias("_carry")))
+    if prior is not None:
+        p = prior.select(F.col(WINDOW_END).alias("_pw"), F.col("prior").alias("_prior"))
+        carry = (carry.join(p, carry["_cw"] == p["_pw"], "left")
+                 .select("_cw", "_csb", (F.col("_carry") + F.coalesce(F.col("_prior"), F.lit(0)))
+                         .alias("_carry")))
     ev = rows.withColumn("_sb", slice_of(F.col("_t"))).repartition(*part)
     joined = ev.join(marks, [*part, "_h", "_t", "_seq"], "left")
     flagged = joined.join(carry, (joined[WINDOW_END] == carry["_cw"])

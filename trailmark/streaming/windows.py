@@ -121,3 +121,58 @@ def refining_top_n_each_batch(*, key: str, n: int, table: str, report: str | Non
                                       value=count_col)
         sink(best, batch_id)
     return run
+
+
+def running_unique_each_batch(*, seen_table: str, user: str, ts: str, size="1 hour",
+                              seq=None, unit: str = "s", seed: int = DEFAULT_SEED,
+                              cap: int = DEFAULT_CAP, keep=(), out: str = "uv_count",
+                              sink: Callable[[DataFrame, int], None],
+                              sub_blocks: int = 60) -> Callable[[DataFrame, int], None]:
+    """A5 on a stream, one row per event (the bitmap job's output), as a
+    ``foreachBatch`` function over the raw events.
+
+    The per-window bitmap becomes a table at ``seen_table`` of the bit
+    offsets already seen per window (partitioned by window).  Each
+    micro-batch: first occurrences in the batch (partial ``min``), minus the
+    offsets seen in earlier batches (anti join on the touched windows); the
+    count before the batch is the number of seen offsets per window; each
+    event gets that count plus the batch's new offsets up to it, in
+    (time, ``seq``) order - the batch operator with a carried prior.  Rows
+    are tagged with the batch id and earlier-batch rows only are read, so a
+    replayed batch is counted once.  Events of a batch come after those of
+    earlier batches (arrival order across batches, as the reference).
+    """
+    from pyspark.errors import AnalysisException
+
+    from trailmark.operators.durations import duration_micros
+    from trailmark.operators.uniques import (
+        event_offsets,
+        first_occurrences,
+        running_from_firsts,
+    )
+    from trailmark.session import materialize
+
+    size_us = duration_micros(size)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        order = seq if seq is not None else F.monotonically_increasing_id()
+        rows = materialize(event_offsets(batch, user=user, ts=ts, size_us=size_us, seq=order,
+                                         unit=unit, seed=seed, cap=cap, keep=keep))
+        firsts = first_occurrences(rows)
+        try:
+            touched = rows.select("window_end").distinct()
+            seen = (spark.read.parquet(seen_table).where(F.col("batch_id") < batch_id)
+                    .join(touched, "window_end", "left_semi").select("window_end", "_h"))
+            new = firsts.join(seen, ["window_end", "_h"], "left_anti")
+            prior = seen.groupBy("window_end").agg(F.count_distinct("_h").alias("prior"))
+        except AnalysisException:  # first batch: nothing seen yet
+            new = firsts
+            prior = spark.createDataFrame([], "window_end long, prior long")
+        new = materialize(new)
+        result = running_from_firsts(rows, new, size_us=size_us, keep=keep, out=out,
+                                     sub_blocks=sub_blocks, prior=prior)
+        sink(result, batch_id)
+        (new.select("window_end", "_h", F.lit(batch_id).cast("long").alias("batch_id"))
+         .write.mode("append").partitionBy("window_end").parquet(seen_table))
+    return run
