@@ -127,3 +127,13 @@ def test_bad_parameters_rejected(events):
     with pytest.raises(ValueError):
         patterns.strict_next(events, key="user_id", ts="ts", seq="event_id",
                              first=F.lit(True), second=F.lit(True), within="0 seconds")
+
+
+def test_arithmetic_hash_equals_text_hash(spark):
+    from trailmark.functions.hashing import poly_hash_of_long
+    vals = [0, 7, 10, 99, 100, 123456789, 10**18, 9223372036854775807, -1, -4567,
+            -9223372036854775808]
+    df = spark.createDataFrame([(v,) for v in vals], "x long").union(
+        spark.range(0, 50000).select((F.col("id") * 104729 + 3).alias("x")))
+    bad = df.where(poly_hash(F.col("x").cast("string")) != poly_hash_of_long(F.col("x")))
+    assert bad.count() == 0

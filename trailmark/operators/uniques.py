@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trailmark.functions.hashing import DEFAULT_CAP, DEFAULT_SEED, poly_hash
+from trailmark.functions.hashing import DEFAULT_CAP, DEFAULT_SEED, poly_hash, poly_hash_of_long
 from trailmark.functions.time import epoch_micros
 from trailmark.operators.durations import duration_micros
 from trailmark.session import materialize
@@ -30,18 +31,30 @@ def unique_count(df: DataFrame, *, user: str, ts: str, size, unit: str = "s",
             .groupBy(WINDOW_END).agg(F.count_distinct("_u").alias(out)))
 
 
-def bitmap_offset(user: Column, seed: int = DEFAULT_SEED, cap: int = DEFAULT_CAP) -> Column:
-    """Bit offset of a user id in the reference's per-window bitmap."""
+def bitmap_offset(user: Column, seed: int = DEFAULT_SEED, cap: int = DEFAULT_CAP,
+                  integral: bool = False) -> Column:
+    """Bit offset of a user id in the reference's per-window bitmap: the hash
+    of its decimal text.  ``integral=True`` (a BIGINT / INT id) computes it
+    in plain arithmetic, which stays in generated code."""
+    if integral:
+        return poly_hash_of_long(user, seed, cap)
     return poly_hash(user.cast("string"), seed, cap)
 
 
+def user_offset(df: DataFrame, user: str, seed: int = DEFAULT_SEED,
+                cap: int = DEFAULT_CAP) -> Column:
+    """:func:`bitmap_offset` of ``df[user]``, arithmetic for integral ids."""
+    integral = isinstance(df.schema[user].dataType, (T.LongType, T.IntegerType, T.ShortType))
+    return bitmap_offset(F.col(user), seed, cap, integral=integral)
+
+
 def bitmap_unique_count(df: DataFrame, *, user: str, ts: str, size, unit: str = "s",
                         seed: int = DEFAULT_SEED, cap: int = DEFAULT_CAP,
                         out: str = "uv_count") -> DataFrame:
     """A4: distinct *bit offsets* per window - the count the reference reads
     back from its bitmap.  Hash collisions undercount exactly as the bitmap
     does (ids 0..99 999 are collision-free; 0..9 999 999 lose 0.3 %)."""
-    return (_windowed(df, ts, size, unit, bitmap_offset(F.col(user), seed, cap).alias("_h"))
+    return (_windowed(df, ts, size, unit, user_offset(df, user, seed, cap).alias("_h"))
             .groupBy(WINDOW_END).agg(F.count_distinct("_h").alias(out)))
 
 
@@ -81,7 +94,7 @@ def event_offsets(df: DataFrame, *, user: str, ts: str, size_us: int, seq, unit:
     order = F.col(seq) if isinstance(seq, str) else seq
     return df.select(micros_to_millis(tumbling_end_micros(t, size_us)).alias(WINDOW_END),
                      t.alias("_t"), order.alias("_seq"),
-                     bitmap_offset(F.col(user), seed, cap).alias("_h"), *keep)
+                     user_offset(df, user, seed, cap).alias("_h"), *keep)
 
 
 def first_occurrences(rows: DataFrame) -> DataFrame:

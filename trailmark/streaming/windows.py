@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from trailmark.functions.hashing import DEFAULT_CAP, DEFAULT_SEED
 from trailmark.operators import topn
 from trailmark.operators.durations import spark_interval
-from trailmark.operators.uniques import bitmap_offset
+from trailmark.operators.uniques import user_offset
 from trailmark.streaming.watermarks import EVENT_TIME, window_end_millis
 
 
@@ -57,7 +57,7 @@ def stream_unique_count(events: DataFrame, *, user: str, size="1 hour", bitmap:
     window's count so far (the bitmap job's running count, one row per
     window and trigger instead of per event).
     """
-    ident = bitmap_offset(F.col(user), seed, cap) if bitmap else F.col(user)
+    ident = user_offset(events, user, seed, cap) if bitmap else F.col(user)
     w = F.window(event_time, spark_interval(size))
     dedup = (events.select(w.alias("window"), ident.alias("_u"))
              .dropDuplicates(["window", "_u"]))
