@@ -105,6 +105,8 @@ def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
     rows = df.select(*keys, *carry, epoch_micros(df, ts, unit).alias("_t"),
                      F.col(seq).alias("_seq"), first.alias("_is1"), second.alias("_is2")) \
         .where(F.col("_t").isNotNull())
+    # other events are skipped by followed-by: they never reach the shuffle
+    rows = rows.where(F.col("_is1") | F.col("_is2"))
     rows = with_lookahead(rows, t="_t", horizon_us=within_us,
                           block_us=block_size(within_us, block_factor),
                           copy_if=F.col("_is2"))
