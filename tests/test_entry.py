@@ -3,7 +3,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
-from tools.check_oracle import _rows
+from tools.check_oracle import _rows, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SF)
     rel = duck.sql(entry_mod.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    assert type_mismatches(df.dtypes, rel.columns, rel.types) == []
     assert _rows(df.columns, df.collect()) == _rows(rel.columns, rel.fetchall())
 
 
