@@ -22,6 +22,7 @@ import argparse
 
 from pyspark.sql import functions as F
 
+from trailmark.functions.text import login_fail_message
 from trailmark.plans import jobs
 from trailmark.session import get_session, scratch_path
 from trailmark.sources import logs, sinks
@@ -85,9 +86,13 @@ def _stream(spark, args):
         return sw.stream_unique_count(src, user="user_id", bitmap=args.bitmap), None
     if job == "login-fail":
         src = wm.bounded_out_of_order(read("login", args.input), "ts_s", "5 seconds")
-        return sp.stream_strict_next(src, key="user_id", first=F.col("event_type") == "fail",
-                                     second=F.col("event_type") == "fail",
-                                     within="2 seconds"), None
+        pairs = sp.stream_strict_next(src, key="user_id", first=F.col("event_type") == "fail",
+                                      second=F.col("event_type") == "fail", within="2 seconds")
+        # Warning(userId, firstFailTime s, lastFailTime s, message)
+        return pairs.select("user_id",
+                            (F.col("first_t") / 1000).cast("long").alias("first_fail_time"),
+                            (F.col("second_t") / 1000).cast("long").alias("last_fail_time"),
+                            login_fail_message(F.col("user_id")).alias("warn_message")), None
     if job == "order-timeout":
         src = wm.ascending(read("order", args.input), "ts_s")
         out = sp.stream_followed_by(src, key="order_id", first=F.col("event_type") == "create",
