@@ -137,3 +137,20 @@ def test_arithmetic_hash_equals_text_hash(spark):
         spark.range(0, 50000).select((F.col("id") * 104729 + 3).alias("x")))
     bad = df.where(poly_hash(F.col("x").cast("string")) != poly_hash_of_long(F.col("x")))
     assert bad.count() == 0
+
+
+def test_hot_urls_job_report(spark):
+    from conftest import lines_df
+    from trailmark.plans import jobs
+    from trailmark.sources import logs
+    rows = ["1.1.1.1 - - 17/05/2015:10:05:01 +0000 GET /a",
+            "1.1.1.2 - - 17/05/2015:10:05:02 +0000 GET /b",
+            "1.1.1.3 - - 17/05/2015:10:05:03 +0000 GET /a",
+            "1.1.1.4 - - 17/05/2015:10:05:03 +0000 GET /c"]
+    access = logs.parse_access_lines(lines_df(spark, rows))
+    reports = {r.window_end: r.report for r in jobs.hot_urls(access, n=2).collect()}
+    # window [10:05:00 - 10 min + 5 s, 10:05:05) holds all four rows
+    rep = reports[1431857105000]
+    assert rep == ("时间: 2015-05-17 10:05:05.0\nNO1: URL=/a count=2\nNO2: URL=/b count=1\n"
+                   + "+" * 36)
+    assert len(reports) == 120  # all rows share one 5 s pane: 120 windows
