@@ -1,6 +1,6 @@
 """Scalar column functions (time, hashing, text)."""
 
-from trailmark.functions.hashing import poly_hash
+from trailmark.functions.hashing import poly_hash, poly_hash_of_long
 from trailmark.functions.time import (
     as_event_timestamp,
     epoch_micros,
@@ -10,5 +10,5 @@ from trailmark.functions.time import (
     parse_log_time,
 )
 
-__all__ = ["poly_hash", "as_event_timestamp", "epoch_micros", "event_time_millis",
+__all__ = ["poly_hash", "poly_hash_of_long", "as_event_timestamp", "epoch_micros", "event_time_millis",
            "event_time_seconds", "java_timestamp_text", "parse_log_time"]
