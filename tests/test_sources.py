@@ -54,3 +54,13 @@ def test_read_log_text_files(spark):
     df = logs.read_log(spark, "receipt", os.path.join(DATA, "receipt_log.csv"))
     first = df.orderBy("seq").first()
     assert (first.tx_id, first.pay_channel, first.ts_s) == ("ewr342as4", "wechat", 1558430845)
+
+
+def test_seq_follows_file_names_and_lines(spark, tmp_path):
+    # a short file named first and a long one second: Spark packs splits by size,
+    # the seq still orders by file, then by line
+    (tmp_path / "a.csv").write_text("1,fail-a,x,1\n")
+    (tmp_path / "b.csv").write_text("".join(f"2,e{i},x,{i}\n" for i in range(200)))
+    df = logs.read_log(spark, "login", str(tmp_path))
+    ordered = [r.ip for r in df.orderBy("seq").collect()]
+    assert ordered == ["fail-a"] + [f"e{i}" for i in range(200)]

@@ -39,43 +39,45 @@ def _str(field: Column) -> Column:
     return F.trim(field)
 
 
-def parse_behavior_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_behavior_lines(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """``userId,itemId,categoryId,behavior,timestamp(s)``."""
     p = _fields(F.col(value), ",", 5)
     return lines.select(_long(p[0]).alias("user_id"), _long(p[1]).alias("item_id"),
                         _long(p[2]).alias("category_id"), _str(p[3]).alias("behavior"),
-                        _long(p[4]).alias("ts_s"))
+                        _long(p[4]).alias("ts_s"), *keep)
 
 
-def parse_access_lines(lines: DataFrame, value: str = "value", zone: str = "UTC") -> DataFrame:
+def parse_access_lines(lines: DataFrame, value: str = "value", zone: str = "UTC",
+                       keep=()) -> DataFrame:
     """S3: space-separated access log; fields 0 ip, 1 user, 3 time
     (``dd/MM/yyyy:HH:mm:ss`` in ``zone``), 5 method, 6 url."""
     p = _fields(F.col(value), " ", 7)
     t = parse_log_time(p[3], zone=zone)
     t = F.coalesce(t, F.raise_error(F.concat(F.lit("bad time: "), p[3])))
     return lines.select(_str(p[0]).alias("ip"), _str(p[1]).alias("user_id"),
-                        t.alias("event_ms"), _str(p[5]).alias("method"), _str(p[6]).alias("url"))
+                        t.alias("event_ms"), _str(p[5]).alias("method"), _str(p[6]).alias("url"),
+                        *keep)
 
 
-def parse_login_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_login_lines(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """``userId,ip,eventType,eventTime(s)``."""
     p = _fields(F.col(value), ",", 4)
     return lines.select(_long(p[0]).alias("user_id"), _str(p[1]).alias("ip"),
-                        _str(p[2]).alias("event_type"), _long(p[3]).alias("ts_s"))
+                        _str(p[2]).alias("event_type"), _long(p[3]).alias("ts_s"), *keep)
 
 
-def parse_order_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_order_lines(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """``orderId,eventType,txId,eventTime(s)``; txId is ``""`` on create."""
     p = _fields(F.col(value), ",", 4)
     return lines.select(_long(p[0]).alias("order_id"), _str(p[1]).alias("event_type"),
-                        _str(p[2]).alias("tx_id"), _long(p[3]).alias("ts_s"))
+                        _str(p[2]).alias("tx_id"), _long(p[3]).alias("ts_s"), *keep)
 
 
-def parse_receipt_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_receipt_lines(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """``txId,payChannel,eventTime(s)``."""
     p = _fields(F.col(value), ",", 3)
     return lines.select(_str(p[0]).alias("tx_id"), _str(p[1]).alias("pay_channel"),
-                        _long(p[2]).alias("ts_s"))
+                        _long(p[2]).alias("ts_s"), *keep)
 
 
 _PARSERS = {
@@ -90,19 +92,25 @@ _PARSERS = {
 def with_line_seq(lines: DataFrame, out: str = "seq") -> DataFrame:
     """Arrival order of lines, used to break ties of equal timestamps.
 
-    ``monotonically_increasing_id`` grows with file and line order inside a
-    read (partition index in the high bits), so for a sorted set of input
-    files it is the arrival order; it is not dense.
+    A struct (file path, start of the file split, position in the read):
+    files in name order, lines in file order even when a file is split or
+    several files are packed into one task (Spark packs splits by size, so
+    the position alone would not follow the files).  Must be applied to the
+    DataFrame returned by the text reader, before any shuffle.
     """
-    return lines.withColumn(out, F.monotonically_increasing_id())
+    return lines.withColumn(out, F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("offset"),
+        F.monotonically_increasing_id().alias("pos")))
 
 
 def read_log(spark: SparkSession, kind: str, path, *, seq: str | None = "seq") -> DataFrame:
     """Batch read of a text log of ``kind`` (behavior, access, login, order,
     receipt); adds the arrival ``seq`` column unless ``seq=None``."""
     lines = spark.read.text(path)
-    parsed = _PARSERS[kind](lines)
-    return with_line_seq(parsed, seq) if seq else parsed
+    if not seq:
+        return _PARSERS[kind](lines)
+    return _PARSERS[kind](with_line_seq(lines, seq), keep=[seq])
 
 
 def read_log_stream(spark: SparkSession, kind: str, path, **options) -> DataFrame:
