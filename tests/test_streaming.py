@@ -338,3 +338,13 @@ def test_stream_running_unique_per_event_equals_batch(spark):
     finally:
         q.stop()
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_stream_job_plans(spark):
+    from trailmark.plans import streams
+    d = _folder(("login", _read("login_log.csv") + ["1,0.0.0.0,success,1558500000"]))
+    df, each = streams.login_fail(spark, d)
+    assert each is None
+    got = sorted(tuple(r) for r in spark.table(_run(spark, df)).collect())
+    assert got == [(1035, 1558430842, 1558430843, "1035连续登陆失败两次"),
+                   (1035, 1558430843, 1558430844, "1035连续登陆失败两次")]

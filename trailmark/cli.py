@@ -20,16 +20,10 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
 
-from trailmark.functions.text import login_fail_message
-from trailmark.plans import jobs
+from trailmark.plans import jobs, streams
 from trailmark.session import get_session, scratch_path
 from trailmark.sources import logs, sinks
-from trailmark.streaming import matching as sm
-from trailmark.streaming import patterns as sp
-from trailmark.streaming import watermarks as wm
-from trailmark.streaming import windows as sw
 
 # The labels the reference prints its outputs under.
 LABELS = {
@@ -63,50 +57,25 @@ def _batch(spark, args):
 
 
 def _stream(spark, args):
-    read = lambda kind, path: logs.read_log_stream(spark, kind, path)
     job = args.job
-    if job in ("hot-items", "hot-urls"):
-        if job == "hot-items":
-            src = wm.ascending(read("behavior", args.input).where(F.col("behavior") == "pv"),
-                               "ts_s")
-            key, size, slide, n, style = "item_id", "1 hour", "5 minutes", args.n or 3, "items"
-        else:
-            src = wm.with_event_time(read("access", args.input), "event_ms", unit="ms",
-                                     delay="1 second", lateness="1 minute")
-            key, size, slide, n, style = "url", "10 minutes", "5 seconds", args.n or 5, "urls"
-        counts = sw.stream_window_counts(src, keys=key, size=size, slide=slide)
-
-        def show(df, batch_id):
-            df.show(truncate=False)
-        return counts, sw.top_n_each_batch(counts, key=key, n=n, report=style, sink=show)
-    if job in ("page-views", "unique-visitors"):
-        src = wm.ascending(read("behavior", args.input).where(F.col("behavior") == "pv"), "ts_s")
-        if job == "page-views":
-            return sw.stream_page_views(src), None
-        return sw.stream_unique_count(src, user="user_id", bitmap=args.bitmap), None
+
+    def show(df, batch_id):
+        df.show(truncate=False)
+    if job == "hot-items":
+        return streams.hot_items(spark, args.input, n=args.n or 3, sink=show)
+    if job == "hot-urls":
+        return streams.hot_urls(spark, args.input, n=args.n or 5, sink=show)
+    if job == "page-views":
+        return streams.page_views(spark, args.input)
+    if job == "unique-visitors":
+        return streams.unique_visitors(spark, args.input, bitmap=args.bitmap)
     if job == "login-fail":
-        src = wm.bounded_out_of_order(read("login", args.input), "ts_s", "5 seconds")
-        pairs = sp.stream_strict_next(src, key="user_id", first=F.col("event_type") == "fail",
-                                      second=F.col("event_type") == "fail", within="2 seconds")
-        # Warning(userId, firstFailTime s, lastFailTime s, message)
-        return pairs.select("user_id",
-                            (F.col("first_t") / 1000).cast("long").alias("first_fail_time"),
-                            (F.col("second_t") / 1000).cast("long").alias("last_fail_time"),
-                            login_fail_message(F.col("user_id")).alias("warn_message")), None
+        return streams.login_fail(spark, args.input)
     if job == "order-timeout":
-        src = wm.ascending(read("order", args.input), "ts_s")
-        out = sp.stream_followed_by(src, key="order_id", first=F.col("event_type") == "create",
-                                    second=F.col("event_type") == "pay",
-                                    within=args.within or "15 minutes")
-        return sp.stream_order_results(out), None
-    pays = wm.ascending(read("order", args.input).where(F.col("tx_id") != ""), "ts_s")
-    recs = wm.ascending(read("receipt", args.receipts), "ts_s")
+        return streams.order_timeout(spark, args.input, within=args.within or "15 minutes")
     if job == "tx-match":
-        return sp.stream_reconcile_one_to_one(pays, recs, key="tx_id",
-                                              pay_carry=["order_id"],
-                                              receipt_carry=["pay_channel"]), None
-    return sm.stream_interval_join(pays, recs, left_key="tx_id", right_key="tx_id",
-                                   left_carry=["order_id"], right_carry=["pay_channel"]), None
+        return streams.tx_match(spark, args.input, args.receipts)
+    return streams.tx_interval_join(spark, args.input, args.receipts)
 
 
 def main(argv=None):
