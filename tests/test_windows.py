@@ -154,3 +154,19 @@ def test_hot_urls_job_report(spark):
     assert rep == ("时间: 2015-05-17 10:05:05.0\nNO1: URL=/a count=2\nNO2: URL=/b count=1\n"
                    + "+" * 36)
     assert len(reports) == 120  # all rows share one 5 s pane: 120 windows
+
+
+def test_window_aggregate_accepts_a_user_aggregate(events):
+    """The reference's AggregateFunction slot: a grouped-aggregate pandas UDF."""
+    import pandas as pd
+
+    @F.pandas_udf("double")
+    def mean_value(v: pd.Series) -> float:
+        return float(v.mean())
+
+    got = windows.window_aggregate(events, keys="user_id", ts="ts", size="1 hour",
+                                   slide="30 minutes",
+                                   aggs={"m": F.round(mean_value("value"), 6)})
+    want = windows.window_aggregate(events, keys="user_id", ts="ts", size="1 hour",
+                                    slide="30 minutes", aggs={"m": F.round(F.avg("value"), 6)})
+    assert _same(got, want)
