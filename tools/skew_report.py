@@ -39,8 +39,10 @@ def main():
         return m / total
 
     print(f"rows {total}; hot key share {share(hot, ['user_id']):.3f}")
-    for name, within in [("strict-next (1 h)", "1 hour"), ("followed-by (24 h)", "24 hours")]:
-        b = block_size(duration_micros(within))
+    for name, within, factor in [("strict-next (1 h)", "1 hour", 4),
+                                 ("followed-by (24 h)", "24 hours", 4),
+                                 ("followed-by (24 h), factor .25", "24 hours", 0.25)]:
+        b = block_size(duration_micros(within), factor)
         df = hot.withColumn("_blk", floor_to(t, b))
         print(f"{name:28s} by key {share(hot, ['user_id']):.3f}  "
               f"by (key, block) {share(df, ['user_id', '_blk']):.4f}")
