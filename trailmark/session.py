@@ -63,7 +63,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
             # a machine-local folder is not shared by the executors of a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         path = tempfile.mkdtemp(prefix="trailmark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
