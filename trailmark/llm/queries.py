@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, pii, simhash, token_counts, topk, toxicity, urls
+from . import bpe, embedding_dedup, licenses, packing, pii, simhash, token_counts, topk, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,10 +56,19 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op2_packing, op3_simhash, op4_toxicity, op5_pii, op6_topk, op7_urls, op9_token_counts)}
+    op1_bpe, op2_packing, op3_simhash, op4_toxicity, op5_pii, op6_topk, op7_urls, op8_licenses,
+    op9_token_counts, op10_embedding_dedup)}
 ORACLE_SQL: dict[str, str] = {}
