@@ -14,7 +14,7 @@ anti join that finds unmatched rows, so no step emits all pairs of a key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions.time import epoch_micros
@@ -84,41 +84,22 @@ def reconcile(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     interval join: with unique keys per side (true of the reference's logs)
     it equals the reference's one-to-one matching.
 
-    One full outer join on (key, bucket): left rows sit in their own bucket,
-    right rows are copied into the (at most two) left buckets they can meet.
-    Every pair appears once and every unmatched left row once; a right row
-    is unmatched when none of its copies met a partner, decided by a window
-    over that row's output rows (partitioned by the right row's id, so a
-    partition holds the row's own matches and copies).  Each input is scanned and shuffled once.
+    The union of a left outer interval join (matched pairs and unmatched
+    left rows) and the anti join of :func:`unmatched` (unmatched right rows).
+    In both the hot side is the outer one, so AQE can split it, and rows with
+    a NULL key or time come out unmatched.  Each input is read for both.
     """
-    l, r, lcols, rcols, lo, hi, w, band = _sides(
-        left, right, left_key=left_key, right_key=right_key, left_ts=left_ts,
-        right_ts=right_ts, lower=lower, upper=upper, unit=unit, left_carry=left_carry,
-        right_carry=right_carry, prefixes=prefixes)
-    kname = key_out or left_key
-    lb = (l.withColumn("_b", _floor_div(F.col("_t"), w))
-          .withColumn("_lid", F.monotonically_increasing_id()))
-    rx = (r.withColumn("_rid", F.monotonically_increasing_id())
-          .withColumn("_b", F.explode(_buckets_for(F.col("_t"), -hi, -lo, w))))
+    args = dict(left_key=left_key, right_key=right_key, left_ts=left_ts, right_ts=right_ts, lower=lower,
+                upper=upper, unit=unit, left_carry=left_carry, right_carry=right_carry, prefixes=prefixes)
+    l, r, lcols, rcols, lo, hi, w, band = _sides(left, right, **args)
+    lb = l.withColumn("_b", _floor_div(F.col("_t"), w))
+    rx = r.withColumn("_met", F.lit(True)).withColumn("_b", F.explode(_buckets_for(F.col("_t"), -hi, -lo, w)))
     L, R = lb.alias("L"), rx.alias("R")
-    j = L.join(R, band(L, R), "full_outer")
-    has_left = F.col("L._k").isNotNull()
-    has_right = F.col("R._k").isNotNull()
-    # one partition per right row (its matches and copies); left-only rows
-    # alone; never a NULL key shared by many rows
-    ident = F.when(has_right, F.struct(F.lit(1).alias("s"), F.col("R._rid").alias("i"))) \
-        .otherwise(F.struct(F.lit(0).alias("s"), F.col("L._lid").alias("i")))
-    same_row = Window.partitionBy("_id")
-    flagged = j.withColumn("_id", ident).select(
-        "*", F.max(has_left.cast("int")).over(same_row).alias("_any_left"),
-        F.row_number().over(same_row.orderBy(F.col("R._b"))).alias("_copy"))
-    keep = has_left | ((F.col("_any_left") == 0) & (F.col("_copy") == 1))
-    status = (F.when(has_left & has_right, F.lit(MATCHED))
-              .when(has_left, F.lit(UNMATCHED_LEFT)).otherwise(F.lit(UNMATCHED_RIGHT)))
-    return flagged.where(keep).select(
-        F.coalesce(F.col("L._k"), F.col("R._k")).alias(kname),
-        *[F.col("L." + c).alias(c) for c in lcols], *[F.col("R." + c).alias(c) for c in rcols],
-        status.alias(status_col))
+    status = F.when(F.col("R._met"), F.lit(MATCHED)).otherwise(F.lit(UNMATCHED_LEFT))
+    joined = L.join(R, band(L, R), "left_outer").select(
+        F.col("L._k").alias(key_out or left_key), *[F.col("L." + c) for c in lcols],
+        *[F.col("R." + c) for c in rcols], status.alias(status_col))
+    return joined.unionByName(unmatched(left, right, side="right", key_out=key_out, status_col=status_col, **args))
 
 
 def unmatched(left: DataFrame, right: DataFrame, *, side: str = "left", left_key: str,

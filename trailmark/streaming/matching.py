@@ -48,8 +48,10 @@ def stream_reconcile(left: DataFrame, right: DataFrame, *, left_key: str, right_
     """Full outer interval join with a ``status`` column."""
     lp, rp = prefixes
     L, R = _sides(left, right, left_key, right_key, left_carry, right_carry, prefixes, event_time)
+    # a marker per side, not the key, tells whose row is there: keys may be NULL
+    L, R = L.withColumn("_left", F.lit(True)), R.withColumn("_right", F.lit(True))
     j = L.join(R, _band(L, R, prefixes, lower, upper), "full_outer")
-    status = (F.when(F.col(lp + "key").isNull(), F.lit(UNMATCHED_RIGHT))
-              .when(F.col(rp + "key").isNull(), F.lit(UNMATCHED_LEFT))
+    status = (F.when(F.col("_left").isNull(), F.lit(UNMATCHED_RIGHT))
+              .when(F.col("_right").isNull(), F.lit(UNMATCHED_LEFT))
               .otherwise(F.lit(MATCHED)))
-    return j.withColumn("status", status)
+    return j.withColumn("status", status).drop("_left", "_right")
