@@ -31,26 +31,38 @@ def test_view_filter_reaches_scan(spark):
     assert "EqualTo(event_type,view)" in _plan(spark, "hot_items_counts")
 
 
-@pytest.mark.parametrize("name", ["login_fail_pairs", "order_results"])
-def test_patterns_partition_by_key_and_block(spark, name):
-    plan = _plan(spark, name)
+def test_strict_next_partitions_by_key_and_block(spark):
+    plan = _plan(spark, "login_fail_pairs")
     assert _shuffles(plan) == 1
     assert re.search(r"Exchange hashpartitioning\(user_id#\d+L, _blk#\d+L", plan)
 
 
+def test_followed_by_shuffles_events_once(spark):
+    plan = _plan(spark, "order_results")
+    # the events with the told rows, the partial summary, and the summary by key
+    assert "Generate" not in plan and _shuffles(plan) == 3
+    assert len(re.findall(r"Exchange hashpartitioning\(user_id#\d+L, _blk#\d+L", plan)) == 2
+
+
+def test_running_count_shuffles_events_once(spark):
+    plan = _plan(spark, "running_unique_visitors")
+    # REPARTITION_BY_COL: the only exchange that holds events, and no join reads them
+    assert plan.count("REPARTITION_BY_COL") == 1 and "Join" not in plan
+
+
 def test_topn_has_partial_group_limit(spark):
     plan = _plan(spark, "hot_items_topn")
     assert "WindowGroupLimit" in plan
 
 
-def test_reconcile_scans_each_side_once(spark):
+def test_reconcile_is_an_outer_and_an_anti_join(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = _plan(spark, "tx_reconcile")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("FileScan parquet") == 2
-    assert "FullOuter" in plan and _shuffles(plan) == 3
+    assert "LeftOuter" in plan and "LeftAnti" in plan and "FullOuter" not in plan
+    assert "Window" not in plan and _shuffles(plan) == 4
 
 
 def test_distinct_count_shuffles_on_window_and_user_first(spark):

@@ -26,8 +26,9 @@ from trailmark.functions.text import (
 )
 from trailmark.functions.time import epoch_micros
 from trailmark.operators.durations import duration_micros
-from trailmark.operators.ordered import BLOCK_FACTOR, block_size, with_lookahead
+from trailmark.operators.ordered import BLOCK_FACTOR, block_size, floor_to, with_lookahead
 
+FOLLOWED_FACTOR = 0.25
 MATCHED = "matched"
 TIMEOUT = "timeout"
 
@@ -81,19 +82,22 @@ def login_fail_alerts(pairs: DataFrame, *, user: str = "user_id",
 
 def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second: Column,
                 within, unit: str = "s", carry=None, prefixes=("first_", "second_"),
-                status_col: str = "status", block_factor: float = BLOCK_FACTOR) -> DataFrame:
+                status_col: str = "status", block_factor: float = FOLLOWED_FACTOR) -> DataFrame:
     """Every start event with its outcome.
 
     One row per event satisfying ``first``: ``status = 'matched'`` with the
     first later event satisfying ``second`` when it lies within the bound,
     else ``status = 'timeout'`` and NULL ``second_*`` columns.
 
-    Partitioned by (key, time block); the ``second`` events in the first
-    ``within`` of the next block are copied in as look-ahead.  The first
-    later match is found in one ordered pass: in *descending* order, the
-    nearest later ``second`` event is the last non-null value of a growing
-    frame ending one row before the current one, which Spark evaluates
-    incrementally (a following-unbounded frame would be quadratic).
+    Partitioned by (key, time block), with blocks shorter than the bound.  A
+    partial aggregate finds the first ``second`` event of every block; over
+    that small summary each block is told the first one of the next block
+    that has any.  A start searches its own block and then that one: nothing
+    is copied ahead, however long the bound is.  The search is one ordered
+    pass: in *descending* order, the nearest later ``second`` event is the
+    last non-null value of a growing frame ending one row before the current
+    one, which Spark evaluates incrementally (a following-unbounded frame
+    would be quadratic).
     """
     keys = _cols(key)
     carry = [c for c in (carry or df.columns) if c not in keys]
@@ -107,15 +111,21 @@ def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
         .where(F.col("_t").isNotNull())
     # other events are skipped by followed-by: they never reach the shuffle
     rows = rows.where(F.col("_is1") | F.col("_is2"))
-    rows = with_lookahead(rows, t="_t", horizon_us=within_us,
-                          block_us=block_size(within_us, block_factor),
-                          copy_if=F.col("_is2"))
-    cand = F.when(F.col("_is2"), F.struct(F.col("_t").alias("_t"),
-                                          *[F.col(c).alias(c) for c in carry]))
-    w = (Window.partitionBy(*keys, "_blk").orderBy(F.col("_t").desc(), F.col("_seq").desc())
+    rows = rows.withColumn("_blk", floor_to(F.col("_t"), block_size(within_us, block_factor)))
+    found = F.struct(F.col("_t").alias("_t"), *[F.col(c).alias(c) for c in carry])
+    earliest = F.min_by(F.when(F.col("_is2"), found), F.when(F.col("_is2"), F.struct("_t", "_seq")))
+    later = Window.partitionBy(*keys).orderBy(F.col("_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (rows.groupBy(*keys, "_blk").agg(earliest.alias("_cand"))
+             .withColumn("_cand", F.last("_cand", ignorenulls=True).over(later))
+             .where(F.col("_cand").isNotNull()))
+    # the told event stands behind all of its block: its row sorts first
+    rows = (rows.withColumn("_cand", F.when(F.col("_is2"), found)).withColumn("_told", F.lit(False))
+            .unionByName(ahead.withColumn("_told", F.lit(True)), allowMissingColumns=True)
+            .repartition(*keys, "_blk"))
+    w = (Window.partitionBy(*keys, "_blk").orderBy(F.col("_told").desc(), F.col("_t").desc(), F.col("_seq").desc())
          .rowsBetween(Window.unboundedPreceding, -1))
-    nearest = (rows.withColumn("_nx", F.last(cand, ignorenulls=True).over(w))
-               .where(F.col("_own") & F.col("_is1")))
+    nearest = (rows.withColumn("_nx", F.last("_cand", ignorenulls=True).over(w))
+               .where(~F.col("_told") & F.col("_is1")))
     ok = F.col("_nx").isNotNull() & (F.col("_nx._t") - F.col("_t") < F.lit(within_us))
     return nearest.select(
         *keys, *[F.col(c).alias(p1 + c) for c in carry],

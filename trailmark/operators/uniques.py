@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 from trailmark.functions.hashing import DEFAULT_CAP, DEFAULT_SEED, poly_hash, poly_hash_of_long
 from trailmark.functions.time import epoch_micros
 from trailmark.operators.durations import duration_micros
-from trailmark.session import materialize
 from trailmark.operators.windows import WINDOW_END, micros_to_millis, tumbling_end_micros
 
+ROWS_PER_SLICE, LEAST_SLICES = 1_000_000, 60
+_MARK, _CARRY, _EVENT = 0, 1, 2  # in this order inside a slice
+
 
 def _windowed(df: DataFrame, ts: str, size, unit: str, *cols: Column) -> DataFrame:
     end = micros_to_millis(tumbling_end_micros(epoch_micros(df, ts, unit), duration_micros(size)))
@@ -60,7 +62,7 @@ def bitmap_unique_count(df: DataFrame, *, user: str, ts: str, size, unit: str =
 
 def running_unique_count(df: DataFrame, *, user: str, ts: str, size, seq: str,
                          unit: str = "s", seed: int = DEFAULT_SEED, cap: int = DEFAULT_CAP,
-                         keep=(), out: str = "uv_count", sub_blocks: int = 60) -> DataFrame:
+                         keep=(), out: str = "uv_count", sub_blocks: int | None = None) -> DataFrame:
     """A5: one row per event with the window's distinct count so far.
 
     Events are taken in (time, ``seq``) order inside their window; an event
@@ -68,22 +70,21 @@ def running_unique_count(df: DataFrame, *, user: str, ts: str, size, seq: str,
     reference's fire-per-element trigger).  Returns
     ``window_end, keep..., uv_count``.
 
-    Plan, free of hot groups: the first occurrence of each (window, offset)
-    is a partial ``min`` aggregate; events are flagged by joining on the
-    full identity (window, offset, time, seq), which is unique per row; the
-    window is cut into ``sub_blocks`` time slices, each slice's running sum
-    starts from the number of first occurrences in earlier slices (a small
-    per-slice aggregate of the first-occurrence table, which is written to
-    the checkpoint folder once because both branches read it).  Events are
-    shuffled once, on (window, slice), which serves both the join and the
-    running sum.
+    Plan, free of hot groups: every window is cut into ``sub_blocks`` time
+    slices (default: so many that the fullest window has about
+    ``ROWS_PER_SLICE`` events in each, by a count of the windows).  A partial
+    ``min`` gives the first slice of each (window, offset); the events, one
+    mark row per (window, offset) in its first slice and one carry row per
+    slice (the offsets first seen in earlier slices) are shuffled together
+    once, on (window, slice).  There the event behind a mark is the first of
+    its offset, and a running sum from the carry is the count.  Nothing is
+    joined back to the events, so nothing depends on row ids being the same
+    in two readings.
     """
     size_us = duration_micros(size)
     rows = event_offsets(df, user=user, ts=ts, size_us=size_us, seq=seq, unit=unit, seed=seed,
                          cap=cap, keep=keep)
-    firsts = materialize(first_occurrences(rows))
-    return running_from_firsts(rows, firsts, size_us=size_us, keep=keep, out=out,
-                               sub_blocks=sub_blocks)
+    return running_with_prior(rows, None, size_us=size_us, keep=keep, out=out, sub_blocks=sub_blocks)[0]
 
 
 def event_offsets(df: DataFrame, *, user: str, ts: str, size_us: int, seq, unit: str = "s",
@@ -97,56 +98,47 @@ def event_offsets(df: DataFrame, *, user: str, ts: str, size_us: int, seq, unit:
                      user_offset(df, user, seed, cap).alias("_h"), *keep)
 
 
-def first_occurrences(rows: DataFrame) -> DataFrame:
-    """(window_end, _h, _t, _seq) of the first event of each offset per window."""
-    return (rows.groupBy(WINDOW_END, "_h").agg(F.min(F.struct("_t", "_seq")).alias("_f"))
-            .select(WINDOW_END, "_h", F.col("_f._t").alias("_t"), F.col("_f._seq").alias("_seq")))
-
-
-def running_from_firsts(rows: DataFrame, firsts: DataFrame, *, size_us: int, keep=(),
-                        out: str = "uv_count", sub_blocks: int = 60,
-                        prior: DataFrame | None = None) -> DataFrame:
-    """Per event of ``rows``: ``prior`` count of its window (a
-    ``window_end, prior`` table; 0 when absent) plus the ``firsts`` of the
-    window up to the event in (time, seq) order.  ``firsts`` must be
-    materialized (it is read twice)."""
+def running_with_prior(rows: DataFrame, seen: DataFrame | None, *, size_us: int, keep=(),
+                       out: str = "uv_count", sub_blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The running counts of ``rows`` (as :func:`event_offsets` makes them)
+    on top of the offsets ``seen`` before (``window_end, _h``, distinct), and
+    the offsets (``window_end, _h``) that are new."""
     keep = [keep] if isinstance(keep, str) else list(keep)
-    sub_us = max(size_us // max(sub_blocks, 1), 1)
-    slice_of = lambda c: c - F.pmod(c, F.lit(sub_us))
-    part = [WINDOW_END, "_sb"]
-    marks = (firsts.withColumn("_sb", slice_of(F.col("_t"))).withColumn("_new", F.lit(1))
-             .repartition(*part))
-    # carry = prior + first occurrences in earlier slices, for *every* slice of
-    # each window with events (a slice may hold events but no first
-    # occurrence): windows x sub_blocks rows.  Fresh column names: the carry
-    # and the marks share lineage, and a using-join on equal names would
-    # resolve against the wrong side.
-    before = Window.partitionBy("_cw").orderBy("_csb").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = (firsts.groupBy(F.col(WINDOW_END).alias("_cw"),
-                                slice_of(F.col("_t")).alias("_csb"))
-                 .agg(F.count(F.lit(1)).alias("_n")))
-    w_end = F.col("_cw") * F.lit(1000)
-    windows = rows.select(F.col(WINDOW_END).alias("_cw")).distinct() if prior is not None \
-        else per_slice.select("_cw").distinct()
-    all_slices = windows.select("_cw", F.explode(F.sequence(
-        slice_of(w_end - F.lit(size_us)), slice_of(w_end - F.lit(1)), F.lit(sub_us))).alias("_csb"))
-    carry = (all_slices.join(per_slice, ["_cw", "_csb"], "left")
-             .select("_cw", "_csb", F.coalesce(F.sum("_n").over(before), F.lit(0))
-                     .alias("_carry")))
-    if prior is not None:
-        p = prior.select(F.col(WINDOW_END).alias("_pw"), F.col("prior").alias("_prior"))
-        carry = (carry.join(p, carry["_cw"] == p["_pw"], "left")
-                 .select("_cw", "_csb", (F.col("_carry") + F.coalesce(F.col("_prior"), F.lit(0)))
-                         .alias("_carry")))
-    ev = rows.withColumn("_sb", slice_of(F.col("_t"))).repartition(*part)
-    joined = ev.join(marks, [*part, "_h", "_t", "_seq"], "left")
-    flagged = joined.join(carry, (joined[WINDOW_END] == carry["_cw"])
-                          & (joined["_sb"] == carry["_csb"]), "left")
-    w = (Window.partitionBy(*part).orderBy("_t", "_seq")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = (F.coalesce(F.col("_carry"), F.lit(0))
-               + F.sum(F.coalesce(F.col("_new"), F.lit(0))).over(w))
-    return flagged.select(WINDOW_END, *keep, running.cast("long").alias(out))
+    if sub_blocks is None:
+        fullest = rows.groupBy(WINDOW_END).count().agg(F.max("count")).first()[0] or 0
+        sub_blocks = max(LEAST_SLICES, -(-fullest // ROWS_PER_SLICE))
+    width = max(size_us // sub_blocks, 1)
+    slice_of = lambda c: c - F.pmod(c, F.lit(width))
+    events = rows.withColumn("_slice", slice_of(F.col("_t")))
+    firsts = events.groupBy(WINDOW_END, "_h").agg(F.min("_slice").alias("_slice"))
+    # windows with events, their slices, and the offsets first seen in each
+    end = F.col(WINDOW_END) * F.lit(1000)
+    every = (firsts.select(WINDOW_END).distinct().select(WINDOW_END, F.explode(F.sequence(
+        slice_of(end - F.lit(size_us)), slice_of(end - F.lit(1)), F.lit(width))).alias("_slice"), F.lit(0).alias("_n")))
+    if seen is not None:
+        firsts = firsts.join(seen.select(WINDOW_END, "_h"), [WINDOW_END, "_h"], "left_anti")
+        prior = (seen.groupBy(WINDOW_END).agg(F.count(F.lit(1)).alias("_n"))
+                 .select(WINDOW_END, F.lit(-(1 << 62)).alias("_slice"), "_n"))  # before any slice
+        every = every.unionByName(prior)
+    counts = firsts.groupBy(WINDOW_END, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(WINDOW_END).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (every.unionByName(counts).groupBy(WINDOW_END, "_slice").agg(F.sum("_n").alias("_n"))
+             .select(WINDOW_END, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_add")))
+    marks = firsts.select(WINDOW_END, "_slice", "_h", F.lit(_MARK).alias("_kind"))
+    carries = carry.select(WINDOW_END, "_slice", F.lit(_CARRY).alias("_kind"), "_add")
+    together = (events.withColumn("_kind", F.lit(_EVENT))
+                .unionByName(marks, allowMissingColumns=True)
+                .unionByName(carries, allowMissingColumns=True)
+                .repartition(WINDOW_END, "_slice"))
+    same = Window.partitionBy(WINDOW_END, "_slice", "_h").orderBy("_kind", "_t", "_seq")
+    new = (F.col("_kind") == _EVENT) & (F.lag("_kind").over(same) == _MARK)
+    flagged = (together.withColumn("_add", F.when(new, F.lit(1)).otherwise(F.coalesce("_add", F.lit(0))).cast("long"))
+               .where(F.col("_kind") != _MARK))
+    running = (Window.partitionBy(WINDOW_END, "_slice").orderBy("_kind", "_t", "_seq")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    result = (flagged.withColumn(out, F.sum("_add").over(running)).where(F.col("_kind") == _EVENT)
+              .select(WINDOW_END, *keep, F.col(out).cast("long").alias(out)))
+    return result, firsts.select(WINDOW_END, "_h")
 
 
 def truncated_average(df: DataFrame, *, key, value: str, out: str = "avg") -> DataFrame:
