@@ -4,22 +4,27 @@
     python -m trailmark.cli hot-urls    --input access.log
     python -m trailmark.cli page-views  --input behavior.csv
     python -m trailmark.cli unique-visitors [--bitmap] --input behavior.csv
-    python -m trailmark.cli login-fail  --input logins.csv
-    python -m trailmark.cli order-timeout --input orders.csv
+    python -m trailmark.cli login-fail  --input logins.csv [--within "2 seconds"]
+    python -m trailmark.cli order-timeout --input orders.csv [--within "15 minutes"]
     python -m trailmark.cli tx-match    --input orders.csv --receipts receipts.csv
     python -m trailmark.cli tx-join     --input orders.csv --receipts receipts.csv
 
-Batch mode reads the files whole and prints (or writes ``--out`` as
-parquet).  ``--stream`` treats ``--input`` (and ``--receipts``) as folders
-watched for new files and prints each micro-batch under the job's label,
-with the reference's watermarks (ascending, or 1 s / 5 s out of order, and
-1 min allowed lateness for URLs).
+Batch mode reads the files whole; ``--stream`` treats ``--input`` (and
+``--receipts``) as folders watched for new files, with the reference's
+watermarks (ascending, or 1 s / 5 s out of order, and 1 min allowed lateness
+for URLs).  Every result row is written to ``--out`` as Parquet or, without
+it, printed by the executors under the job's label; ``--preview N`` shows
+the first N rows (of each micro-batch) on the driver instead.  Jobs with
+several outputs carry an ``output`` column, the label of each row, and
+``--out`` is partitioned by it.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trailmark.plans import jobs, streams
 from trailmark.session import get_session, scratch_path
@@ -29,7 +34,13 @@ from trailmark.sources import logs, sinks
 LABELS = {
     "hot-items": "processedData", "hot-urls": "urlResutl", "page-views": "page view",
     "unique-visitors": "uv", "unique-visitors-bitmap": "uv with bloom job", "login-fail": "结果",
-    "order-timeout": "payed/timeout", "tx-match": "matched/unmatched", "tx-join": "joined",
+    "order-timeout": "order", "tx-match": "tx", "tx-join": "joined",
+}
+# The labels of jobs with several outputs, by the value that tells them apart
+OUTPUTS = {
+    "order-timeout": ("result_msg", {"payed successfully": "payed", "timeout": "timeout"}),
+    "tx-match": ("status", {"matched": "matched ", "unmatched_pay": "pay unmatched",
+                            "unmatched_receipt": "receipt unmatched"}),
 }
 
 
@@ -46,39 +57,62 @@ def _batch(spark, args):
         b = read("behavior", args.input)
         return jobs.unique_visitors_bitmap(b) if args.bitmap else jobs.unique_visitors(b)
     if job == "login-fail":
-        return jobs.login_fail(read("login", args.input))
+        return jobs.login_fail(read("login", args.input), within=args.within or "2 seconds")
     if job == "order-timeout":
         return jobs.order_timeout(read("order", args.input), within=args.within or "15 minutes")
     if job == "tx-match":
         return jobs.tx_match(read("order", args.input), read("receipt", args.receipts))
-    if job == "tx-join":
-        return jobs.tx_interval_join(read("order", args.input), read("receipt", args.receipts))
-    raise SystemExit(f"unknown job {job}")
+    return jobs.tx_interval_join(read("order", args.input), read("receipt", args.receipts))
 
 
-def _stream(spark, args):
+def _stream(spark, args, sink, state):
+    """The stream, its ``foreachBatch`` function if it has its own, and its
+    output mode.  ``state`` is a path for tables kept between batches."""
     job = args.job
-
-    def show(df, batch_id):
-        df.show(truncate=False)
     if job == "hot-items":
-        return streams.hot_items(spark, args.input, n=args.n or 3, sink=show)
+        return *streams.hot_items(spark, args.input, n=args.n or 3, sink=sink), "append"
     if job == "hot-urls":
-        return streams.hot_urls(spark, args.input, n=args.n or 5, sink=show)
+        return *streams.hot_urls(spark, args.input, n=args.n or 5, sink=sink, table=state), "update"
     if job == "page-views":
-        return streams.page_views(spark, args.input)
+        return *streams.page_views(spark, args.input), "update"
+    if job == "unique-visitors" and args.bitmap:
+        return *streams.running_unique_visitors(spark, args.input, table=state, sink=sink), "append"
     if job == "unique-visitors":
-        return streams.unique_visitors(spark, args.input, bitmap=args.bitmap)
+        return *streams.unique_visitors(spark, args.input), "update"
     if job == "login-fail":
-        return streams.login_fail(spark, args.input)
+        return *streams.login_fail(spark, args.input, within=args.within or "2 seconds"), "append"
     if job == "order-timeout":
-        return streams.order_timeout(spark, args.input, within=args.within or "15 minutes")
+        return *streams.order_timeout(spark, args.input, within=args.within or "15 minutes"), "append"
     if job == "tx-match":
-        return streams.tx_match(spark, args.input, args.receipts)
-    return streams.tx_interval_join(spark, args.input, args.receipts)
+        return *streams.tx_match(spark, args.input, args.receipts), "append"
+    return *streams.tx_interval_join(spark, args.input, args.receipts), "append"
 
 
-def main(argv=None):
+def _labelled(df: DataFrame, job: str) -> DataFrame:
+    """With the column ``output`` for a job that has several outputs."""
+    if job not in OUTPUTS:
+        return df
+    column, labels = OUTPUTS[job]
+    names = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    return df.withColumn("output", F.try_element_at(names, F.col(column)))
+
+
+def _show(df: DataFrame, args, label: str) -> None:
+    if args.preview:
+        df.show(args.preview, truncate=False)
+    elif args.job in OUTPUTS:
+        for name in OUTPUTS[args.job][1].values():
+            sinks.print_rows(df.where(F.col("output") == name).drop("output"), name)
+    else:
+        sinks.print_rows(df, label)
+
+
+def _write(df: DataFrame, args) -> None:
+    parts = ["output"] if args.job in OUTPUTS else []
+    df.write.mode("overwrite").partitionBy(*parts).parquet(args.out)
+
+
+def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="trailmark")
     ap.add_argument("job", choices=sorted(k for k in LABELS if k != "unique-visitors-bitmap"))
     ap.add_argument("--input", required=True)
@@ -87,26 +121,60 @@ def main(argv=None):
     ap.add_argument("--within")
     ap.add_argument("--bitmap", action="store_true")
     ap.add_argument("--stream", action="store_true")
+    ap.add_argument("--available-now", action="store_true", help="with --stream: stop when all files there are read")
     ap.add_argument("--out")
     ap.add_argument("--checkpoint")
+    ap.add_argument("--preview", type=int, metavar="N")
+    return ap
+
+
+def _checked(argv):
+    ap = parser()
     args = ap.parse_args(argv)
+    for given, jobs_of in ((args.within, ("login-fail", "order-timeout")), (args.bitmap, ("unique-visitors",)),
+                           (args.n, ("hot-items", "hot-urls")), (args.receipts, ("tx-match", "tx-join"))):
+        if given and args.job not in jobs_of:
+            ap.error(f"an option of {', '.join(jobs_of)} does not apply to {args.job}")
+    if args.job in ("tx-match", "tx-join") and not args.receipts:
+        ap.error(f"{args.job} needs --receipts")
+    if (args.checkpoint or args.available_now) and not args.stream:
+        ap.error("--checkpoint and --available-now belong to --stream")
+    if args.preview and args.out:
+        ap.error("--preview and --out exclude each other")
+    return args
+
+
+def main(argv=None):
+    args = _checked(argv)
     spark = get_session()
     label = LABELS["unique-visitors-bitmap" if args.bitmap else args.job]
     if not args.stream:
-        df = _batch(spark, args)
+        df = _labelled(_batch(spark, args), args.job)
         if args.out:
-            df.write.mode("overwrite").parquet(args.out)
+            _write(df, args)
         else:
-            df.show(1000, truncate=False)
+            _show(df, args, label)
         return df
-    df, each_batch = _stream(spark, args)
-    mode = "update" if args.job in ("page-views", "unique-visitors") else "append"
     # stream state and progress live in the shared checkpoint folder unless given
     checkpoint = args.checkpoint or scratch_path(spark, f"stream-{args.job}")
-    q = sinks.write_stream(df, label.replace("/", "_").replace(" ", "_"), output_mode=mode,
-                           checkpoint=checkpoint, foreach_batch=each_batch,
-                           fmt="parquet" if args.out else "console", path=args.out)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = _labelled(batch, args.job)
+        if not args.out:
+            _show(batch, args, label)
+        elif keeps_newest:
+            sinks.upsert_by_window(args.out)(batch, batch_id)
+        else:
+            sinks.append_batches(args.out)(batch, batch_id)
+
+    df, each_batch, mode = _stream(spark, args, sink, f"{checkpoint}/state")
+    # a window that is refined replaces what was reported of it before
+    keeps_newest = mode == "update"
+    q = sinks.write_stream(df, label.replace(" ", "_"), output_mode=mode, checkpoint=f"{checkpoint}/query",
+                           foreach_batch=each_batch or sink,
+                           trigger={"availableNow": True} if args.available_now else None)
     q.awaitTermination()
+    return None
 
 
 if __name__ == "__main__":

@@ -206,7 +206,8 @@ def window_aggregate(df: DataFrame, *, keys, ts: str, size, slide=None, aggs: di
     # ends e with e - size <= t < e, on the slide grid offset by size
     lo = t + F.lit(1)
     first = lo + F.pmod(F.lit(size_us) - lo, F.lit(slide_us)) if size_us % slide_us else first_end
-    ends = F.sequence(first, t + F.lit(size_us), F.lit(slide_us))
+    # with a slide above the size a row may lie in no window
+    ends = F.when(first <= t + F.lit(size_us), F.sequence(first, t + F.lit(size_us), F.lit(slide_us)))
     rows = df.withColumn("_end", F.explode(ends))
     return (rows.groupBy(*keys, "_end").agg(*[c.alias(n) for n, c in aggs.items()])
             .select(*keys, micros_to_millis(F.col("_end")).alias(WINDOW_END), *aggs.keys()))

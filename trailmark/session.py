@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Defaults applied only when the caller's session has not set them.
+# Defaults of a session built here, where the environment has not set them.
+_LOCAL_DEFAULTS = {"spark.ui.enabled": "false"}
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
     # remove reliable-checkpoint files once their DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # state channel of transformWithState over a socket file, not TCP
@@ -26,26 +30,39 @@ _DEFAULTS = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "trailmark", extra: dict | None = None) -> SparkSession:
-    """Return the active session or build one with the library defaults.
+    """Return the running session as it is, or build one with the library
+    defaults for whatever the environment has not set.
 
     On a cluster pass nothing: the submitting environment owns master,
     memory and partition counts.  Tests pass ``local[N]`` and a small
-    ``shuffle_partitions``.
+    ``shuffle_partitions``; settings given here apply only to a session
+    that this call builds.
     """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        SparkContext._ensure_initialized()
+        present = SparkConf()  # what spark-submit and spark-defaults.conf have set
+        asked = dict(extra or {})
+        if master:
+            asked["spark.master"] = master
+        if shuffle_partitions:
+            asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        where = asked.get("spark.master") or present.get("spark.master", "local[*]")
+        defaults = _DEFAULTS | (_LOCAL_DEFAULTS if _is_local(where) else {})
+        builder = SparkSession.builder.appName(app_name)
+        settings = {k: v for k, v in defaults.items() if not present.contains(k)} | asked
+        for k, v in settings.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
     checkpoint_dir(spark)
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """One process on this machine; ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -59,7 +76,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
+        if not _is_local(sc.master):
             # a machine-local folder is not shared by the executors of a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         path = tempfile.mkdtemp(prefix="trailmark-ckpt-")
@@ -80,3 +97,33 @@ def materialize(df):
     instead of recomputing).  Reliable checkpoint, never a local one."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table or partition that the library itself has written."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return [x.getPath().getName() for x in listed]
+
+
+@contextmanager
+def written_once(df) -> Iterator:
+    """``df`` as a table in the shared folder for the time of the block, for
+    work of one micro-batch: nothing of it is left behind."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"batch-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        delete_path(spark, path)

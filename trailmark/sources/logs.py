@@ -2,8 +2,8 @@
 line parsers they share.
 
 Parsing follows the reference exactly: split on ``,`` (or a space for the
-access log) without quoting, ``trim`` each field, integral fields must
-parse - a bad or short line fails the job, there is no error routing.
+access log) without quoting and without trailing empty fields, trim spaces
+and control characters of each field, integral fields must parse - a bad or short line fails the job, there is no error routing.
 Extra fields are ignored.  Empty fields stay empty strings (the CSV reader
 would turn the empty ``tx_id`` of ``create`` rows into NULL).
 """
@@ -22,21 +22,26 @@ ORDER_FIELDS = ["order_id", "event_type", "tx_id", "ts_s"]
 RECEIPT_FIELDS = ["tx_id", "pay_channel", "ts_s"]
 
 
+# Fixed value: what the reference trims, all characters up to the space
+_TRIMMED = "".join(map(chr, range(33)))
+
+
 def _fields(value: Column, sep: str, needed: int) -> Column:
-    parts = F.split(value, sep, -1)
+    # trailing empty fields do not count, as in the reference's split
+    parts = F.split(F.regexp_replace(value, f"{sep}+$", ""), sep, -1)
     return F.when(F.size(parts) >= needed, parts).otherwise(
         F.raise_error(F.concat(F.lit(f"log line has fewer than {needed} fields: "), value)))
 
 
 def _long(field: Column) -> Column:
-    v = F.trim(field)
-    # ANSI casts already fail on bad numbers; the coalesce keeps that when ANSI is off
-    return F.coalesce(v.cast("long"),
-                      F.raise_error(F.concat(F.lit("not an integer: "), v)))
+    v = _str(field)
+    # digits only, whatever the ANSI mode makes of a cast; too large a number fails too
+    number = F.when(v.rlike("^[+-]?[0-9]+$"), v.try_cast("long"))
+    return F.coalesce(number, F.raise_error(F.concat(F.lit("not an integer: "), v)))
 
 
 def _str(field: Column) -> Column:
-    return F.trim(field)
+    return F.btrim(field, F.lit(_TRIMMED))
 
 
 def parse_behavior_lines(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
@@ -113,6 +118,14 @@ def read_log(spark: SparkSession, kind: str, path, *, seq: str | None = "seq") -
     return _PARSERS[kind](with_line_seq(lines, seq), keep=[seq])
 
 
-def read_log_stream(spark: SparkSession, kind: str, path, **options) -> DataFrame:
-    """Streaming read of a folder of text logs of ``kind``."""
-    return _PARSERS[kind](spark.readStream.options(**options).text(path))
+def read_log_stream(spark: SparkSession, kind: str, path, *, seq: str | None = None, **options) -> DataFrame:
+    """Streaming read of a folder of text logs of ``kind``.  ``seq`` names a
+    column to add with the arrival order as text that sorts: the file's time
+    and name (files are taken in time order), then the place of the line."""
+    lines = spark.readStream.options(**options).text(path)
+    if not seq:
+        return _PARSERS[kind](lines)
+    digits = lambda c: F.lpad(c.cast("string"), 20, "0")
+    arrival = F.concat_ws("/", digits(F.unix_millis("_metadata.file_modification_time")), "_metadata.file_path",
+                          digits(F.col("_metadata.file_block_start")), digits(F.monotonically_increasing_id()))
+    return _PARSERS[kind](lines.withColumn(seq, arrival), keep=[seq])

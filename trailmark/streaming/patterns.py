@@ -38,7 +38,7 @@ from trailmark.operators.durations import duration_micros
 from trailmark.streaming.watermarks import EVENT_TIME
 
 MARK_SCHEMA = StructType([StructField("wm", LongType())])
-ROW_SCHEMA = StructType([StructField("t", LongType()), StructField("seq", LongType()),
+ROW_SCHEMA = StructType([StructField("t", LongType()), StructField("seq", StringType()),
                          StructField("tag", IntegerType()), StructField("payload", StringType())])
 
 TAG_OTHER, TAG_FIRST, TAG_SECOND = 0, 1, 2
@@ -79,7 +79,7 @@ class _OrderedPattern(StatefulProcessor):
             t = int(r["t"])
             if wm >= 0 and t <= wm:
                 continue  # late
-            fresh.append((t, int(r["seq"]), int(r["tag"]), r["payload"]))
+            fresh.append((t, r["seq"], int(r["tag"]), r["payload"]))
             self.handle.registerTimer(t)
             d = self.deadline(fresh[-1])
             if d is not None:
@@ -118,17 +118,24 @@ class _OrderedPattern(StatefulProcessor):
 
 class StrictNextProcessor(_OrderedPattern):
     """``first`` immediately followed by ``second`` within the bound.
-    ``pend`` holds the previous row of the key (one entry)."""
+    ``pend`` holds the previous row of the key while it may still be a
+    ``first``: at most one entry, dropped at its deadline."""
 
     def __init__(self, within):
         self.bound_ms = duration_micros(within) // 1000
 
+    def deadline(self, row):
+        return row[0] + self.bound_ms if row[2] & TAG_FIRST else None
+
     def feed(self, key, row, pend, out):
         if pend:
             prev = pend[0]
-            if prev[2] & TAG_FIRST and row[2] & TAG_SECOND and row[0] - prev[0] < self.bound_ms:
+            if row[2] & TAG_SECOND and row[0] - prev[0] < self.bound_ms:
                 out.append(self.row(*key, prev[0], prev[3], row[0], row[3]))
-        pend[:] = [row]
+        pend[:] = [row] if row[2] & TAG_FIRST else []
+
+    def expire(self, key, watermark, pend, out):
+        pend[:] = [p for p in pend if p[0] + self.bound_ms > watermark]
 
 
 class FollowedByProcessor(_OrderedPattern):
@@ -202,14 +209,18 @@ class ReconcileProcessor(_OrderedPattern):
 
 
 def _tagged(df: DataFrame, *, key, seq, tag, carry, event_time: str) -> DataFrame:
-    """``seq`` breaks ties of equal event times: a column name or Column
-    (a Kafka offset, an event id), or None - then equal times keep the
-    order in which the processor received them."""
+    """``seq`` breaks ties of equal event times: a column name or Column,
+    either a number (a Kafka offset, an event id) or text that sorts (the
+    arrival of a log line), or None - then equal times keep the order in
+    which the processor received them."""
     keys = [key] if isinstance(key, str) else list(key)
     payload = F.to_json(F.struct(*[F.col(c) for c in carry])) if carry else F.lit(None)
-    order = F.lit(0) if seq is None else (F.col(seq) if isinstance(seq, str) else seq)
+    order = F.lit("") if seq is None else (F.col(seq) if isinstance(seq, str) else seq)
+    if seq is not None and not isinstance(df.select(order.alias("seq")).schema["seq"].dataType, StringType):
+        # numbers as text of one length, moved up so that all are positive
+        order = F.lpad((order.cast("decimal(20,0)") + F.lit(1 << 63)).cast("string"), 20, "0")
     return df.select(*keys, F.col(event_time),
-                     F.unix_millis(F.col(event_time)).alias("t"), order.cast("long")
+                     F.unix_millis(F.col(event_time)).alias("t"), order
                      .alias("seq"), tag.cast("int").alias("tag"), payload.cast("string")
                      .alias("payload"))
 

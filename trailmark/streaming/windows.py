@@ -9,14 +9,16 @@ whole history of a key and has no streaming form.)
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import gcd
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions.hashing import DEFAULT_CAP, DEFAULT_SEED
 from trailmark.operators import topn
-from trailmark.operators.durations import spark_interval
+from trailmark.operators.durations import duration_micros, spark_interval
 from trailmark.operators.uniques import user_offset
+from trailmark.session import child_names, delete_path, path_exists, written_once
 from trailmark.streaming.watermarks import EVENT_TIME, window_end_millis
 
 
@@ -25,17 +27,31 @@ def _keys(keys):
 
 
 def stream_window_counts(events: DataFrame, *, keys, size, slide=None,
-                         event_time: str = EVENT_TIME, count_col: str = "count") -> DataFrame:
+                         event_time: str = EVENT_TIME, count_col: str = "count",
+                         panes: bool = False) -> DataFrame:
     """Count per key and (sliding or tumbling) window of a watermarked stream.
 
     Output ``keys..., window_end, count``; in append mode each window is
     emitted once, after the watermark passes its end; in update mode every
     trigger re-emits the windows that changed.
+
+    ``panes=True`` (append mode only, where Spark chains aggregations)
+    counts each row once, in its pane of ``gcd(size, slide)``, and adds up
+    the panes of a window, instead of counting every row in all
+    ``size / slide`` windows that hold it.
     """
     keys = _keys(keys)
     slide = slide if slide is not None else size
+    pane_us = gcd(duration_micros(size), duration_micros(slide))
+    if panes and pane_us < duration_micros(size):
+        pane = F.window(event_time, spark_interval(f"{pane_us} us"))
+        events = (events.groupBy(pane.alias("pane"), *keys).agg(F.count(F.lit(1)).alias("_n"))
+                  .select(F.window_time("pane").alias(event_time), *keys, "_n"))
+        counted = F.sum("_n")
+    else:
+        counted = F.count(F.lit(1))
     w = F.window(event_time, spark_interval(size), spark_interval(slide))
-    return (events.groupBy(w.alias("window"), *keys).agg(F.count(F.lit(1)).alias(count_col))
+    return (events.groupBy(w.alias("window"), *keys).agg(counted.alias(count_col))
             .select(*keys, window_end_millis("window").alias("window_end"), count_col))
 
 
@@ -85,7 +101,8 @@ def top_n_each_batch(counts: DataFrame, *, key: str, n: int, report: str | None
 def refining_top_n_each_batch(*, key: str, n: int, table: str, report: str | None = None,
                               sink: Callable[[DataFrame, int], None],
                               window_col: str = "window_end",
-                              count_col: str = "count") -> Callable[[DataFrame, int], None]:
+                              count_col: str = "count",
+                              keep=None) -> Callable[[DataFrame, int], None]:
     """T2 under allowed lateness (E5), as a ``foreachBatch`` function for
     window counts in **update** mode.
 
@@ -93,41 +110,53 @@ def refining_top_n_each_batch(*, key: str, n: int, table: str, report: str | Non
     ranking a micro-batch alone would rank only the late keys (the
     reference's quirk).  Here the latest count of every key is kept in a
     parquet table at ``table`` partitioned by window; each trigger merges its
-    changes into the windows it touched (read with partition pruning,
-    replaced by dynamic partition overwrite) and re-ranks exactly those
-    windows completely.  The merged rows are written to the checkpoint
-    folder before the overwrite, since they are read from the same table.
+    changes into the windows it touched (read by a literal range of the
+    partition column, replaced by dynamic partition overwrite) and re-ranks
+    exactly those windows completely.  The merged rows are written to the
+    shared folder before the overwrite, since they are read from the same
+    table.  Windows that end more than ``keep`` before the newest one
+    (at least size + delay + lateness) cannot change any more and leave the
+    table.
     """
-    from pyspark.errors import AnalysisException
-
-    from trailmark.session import materialize
-
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changed = batch.select(window_col, key, count_col)
-        touched = changed.select(window_col).distinct()
-        try:
-            old = spark.read.parquet(table).join(touched, window_col, "left_semi")
-            merged = (old.join(changed, [window_col, key], "left_anti")
-                      .select(window_col, key, count_col).unionByName(changed))
-        except AnalysisException:  # first trigger: no table yet
+        with written_once(batch.select(window_col, key, count_col)) as changed:
+            first, newest = changed.select(F.min(window_col), F.max(window_col)).first()
+            if newest is None:
+                return
             merged = changed
-        merged = materialize(merged)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(window_col).parquet(table))
-        best = topn.top_n(merged, key=key, n=n, group=window_col, value=count_col)
-        if report:
-            best = topn.ranked_report(best, key=key, style=report, group=window_col,
-                                      value=count_col)
-        sink(best, batch_id)
+            if path_exists(spark, table):  # the first trigger has no table yet
+                touched = changed.select(window_col).distinct()
+                old = (spark.read.parquet(table).where(F.col(window_col).between(first, newest))
+                       .join(touched, window_col, "left_semi"))
+                merged = (old.join(changed, [window_col, key], "left_anti")
+                          .select(window_col, key, count_col).unionByName(changed))
+            with written_once(merged) as merged:
+                (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(window_col).parquet(table))
+                best = topn.top_n(merged, key=key, n=n, group=window_col, value=count_col)
+                if report:
+                    best = topn.ranked_report(best, key=key, style=report, group=window_col,
+                                              value=count_col)
+                sink(best, batch_id)
+            if keep is not None:
+                _expire(spark, table, window_col, newest - duration_micros(keep) // 1000)
     return run
 
 
+def _expire(spark, table: str, window_col: str, before: int) -> None:
+    """Delete the partitions of windows that end before ``before`` (ms)."""
+    for name in child_names(spark, table):
+        column, _, value = name.partition("=")
+        if column == window_col and value.lstrip("-").isdigit() and int(value) < before:
+            delete_path(spark, f"{table}/{name}")
+
+
 def running_unique_each_batch(*, seen_table: str, user: str, ts: str, size="1 hour",
                               seq=None, unit: str = "s", seed: int = DEFAULT_SEED,
                               cap: int = DEFAULT_CAP, keep=(), out: str = "uv_count",
                               sink: Callable[[DataFrame, int], None],
-                              sub_blocks: int = 60) -> Callable[[DataFrame, int], None]:
+                              forget=None) -> Callable[[DataFrame, int], None]:
     """A5 on a stream, one row per event (the bitmap job's output), as a
     ``foreachBatch`` function over the raw events.
 
@@ -141,38 +170,32 @@ def running_unique_each_batch(*, seen_table: str, user: str, ts: str, size="1 ho
     are tagged with the batch id and earlier-batch rows only are read, so a
     replayed batch is counted once.  Events of a batch come after those of
     earlier batches (arrival order across batches, as the reference).
+    Windows that end more than ``forget`` before the newest one leave the
+    table.
     """
-    from pyspark.errors import AnalysisException
-
-    from trailmark.operators.durations import duration_micros
-    from trailmark.operators.uniques import (
-        event_offsets,
-        first_occurrences,
-        running_from_firsts,
-    )
-    from trailmark.session import materialize
+    from trailmark.operators.uniques import event_offsets, running_with_prior
 
     size_us = duration_micros(size)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         order = seq if seq is not None else F.monotonically_increasing_id()
-        rows = materialize(event_offsets(batch, user=user, ts=ts, size_us=size_us, seq=order,
-                                         unit=unit, seed=seed, cap=cap, keep=keep))
-        firsts = first_occurrences(rows)
-        try:
-            touched = rows.select("window_end").distinct()
-            seen = (spark.read.parquet(seen_table).where(F.col("batch_id") < batch_id)
-                    .join(touched, "window_end", "left_semi").select("window_end", "_h"))
-            new = firsts.join(seen, ["window_end", "_h"], "left_anti")
-            prior = seen.groupBy("window_end").agg(F.count_distinct("_h").alias("prior"))
-        except AnalysisException:  # first batch: nothing seen yet
-            new = firsts
-            prior = spark.createDataFrame([], "window_end long, prior long")
-        new = materialize(new)
-        result = running_from_firsts(rows, new, size_us=size_us, keep=keep, out=out,
-                                     sub_blocks=sub_blocks, prior=prior)
-        sink(result, batch_id)
-        (new.select("window_end", "_h", F.lit(batch_id).cast("long").alias("batch_id"))
-         .write.mode("append").partitionBy("window_end").parquet(seen_table))
+        with written_once(event_offsets(batch, user=user, ts=ts, size_us=size_us, seq=order,
+                                        unit=unit, seed=seed, cap=cap, keep=keep)) as rows:
+            first, newest = rows.select(F.min("window_end"), F.max("window_end")).first()
+            if newest is None:
+                return
+            seen = None
+            if path_exists(spark, seen_table):  # the first batch has seen nothing yet
+                # a literal range of the partition column prunes the windows read
+                seen = (spark.read.schema("_h long, batch_id long, window_end long").parquet(seen_table)
+                        .where(F.col("window_end").between(first, newest) & (F.col("batch_id") < batch_id))
+                        .join(rows.select("window_end").distinct(), "window_end", "left_semi")
+                        .select("window_end", "_h").distinct())
+            result, new = running_with_prior(rows, seen, size_us=size_us, keep=keep, out=out)
+            sink(result, batch_id)
+            (new.select("_h", F.lit(batch_id).cast("long").alias("batch_id"), "window_end")
+             .write.mode("append").partitionBy("window_end").parquet(seen_table))
+        if forget is not None:
+            _expire(spark, seen_table, "window_end", newest - duration_micros(forget) // 1000)
     return run
