@@ -10,6 +10,7 @@ would turn the empty ``tx_id`` of ``create`` rows into NULL).
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,7 +126,20 @@ def read_log_stream(spark: SparkSession, kind: str, path, *, seq: str | None = N
     lines = spark.readStream.options(**options).text(path)
     if not seq:
         return _PARSERS[kind](lines)
-    digits = lambda c: F.lpad(c.cast("string"), 20, "0")
-    arrival = F.concat_ws("/", digits(F.unix_millis("_metadata.file_modification_time")), "_metadata.file_path",
-                          digits(F.col("_metadata.file_block_start")), digits(F.monotonically_increasing_id()))
-    return _PARSERS[kind](lines.withColumn(seq, arrival), keep=[seq])
+    placed = lines.select("value", F.unix_millis("_metadata.file_modification_time").alias("at"),
+                          F.col("_metadata.file_path").alias("file"),
+                          F.col("_metadata.file_block_start").alias("start"))
+    # row ids are refused on streams: lines are numbered where they are read
+    placed = placed.mapInArrow(_numbered, "value string, at long, file string, start long, line long")
+    digits = lambda c: F.lpad(F.col(c).cast("string"), 20, "0")
+    arrival = F.concat_ws("/", digits("at"), "file", digits("start"), digits("line"))
+    return _PARSERS[kind](placed.withColumn(seq, arrival), keep=[seq])
+
+
+def _numbered(batches):
+    """Arrow batches of one task with the number of each row."""
+    line = 0
+    for batch in batches:
+        numbers = pa.array(range(line, line + batch.num_rows), pa.int64())
+        line += batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, numbers], names=[*batch.schema.names, "line"])

@@ -218,7 +218,7 @@ def _tagged(df: DataFrame, *, key, seq, tag, carry, event_time: str) -> DataFram
     order = F.lit("") if seq is None else (F.col(seq) if isinstance(seq, str) else seq)
     if seq is not None and not isinstance(df.select(order.alias("seq")).schema["seq"].dataType, StringType):
         # numbers as text of one length, moved up so that all are positive
-        order = F.lpad((order.cast("decimal(20,0)") + F.lit(1 << 63)).cast("string"), 20, "0")
+        order = F.lpad((order.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
     return df.select(*keys, F.col(event_time),
                      F.unix_millis(F.col(event_time)).alias("t"), order
                      .alias("seq"), tag.cast("int").alias("tag"), payload.cast("string")
