@@ -38,9 +38,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without personal data, and their new lengths."""
-    clean = docs.withColumn("text", pii.redacted("text"))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Texts without personal data; the lengths of changed texts are counted anew."""
+    clean = docs.withColumn("clean", pii.redacted("text"))
+    length = F.when(F.col("clean") == F.col("text"), F.col("n_chars")).otherwise(F.length("clean"))
+    return (clean.withColumn("n_chars", F.coalesce(length, "n_chars").cast("long"))
+            .withColumn("text", F.col("clean")).select(*docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
