@@ -45,7 +45,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 def _pointers(edges: DataFrame, level: int) -> DataFrame:
     """Columns ``node`` and ``to``: four steps along the smallest priority."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select(F.inline(ends))
     order = lambda c: F.struct(F.xxhash64(F.lit(level), F.col(c)).alias("h"), F.col(c).alias("n"))
     once = (both.groupBy(F.col("a").alias("node")).agg(F.min(order("b")).alias("best"))
             .select("node", F.least("best", order("node"))["n"].alias("to")))
