@@ -1,5 +1,8 @@
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import DATA
 from trailmark import cli
 
@@ -10,6 +13,73 @@ def test_cli_batch_jobs(spark, tmp_path):
     assert spark.read.parquet(out).count() == 39
     df = cli.main(["tx-match", "--input", os.path.join(DATA, "order_log.csv"),
                    "--receipts", os.path.join(DATA, "receipt_log.csv"), "--out", out + "2"])
-    assert spark.read.parquet(out + "2").count() == 75
+    assert df.count() == spark.read.parquet(out + "2").count() == 75
     cli.main(["login-fail", "--input", os.path.join(DATA, "login_log.csv"), "--out", out + "3"])
     assert spark.read.parquet(out + "3").count() == 2
+
+
+@pytest.mark.parametrize("argv", [
+    ["page-views", "--within", "1 s"], ["hot-items", "--bitmap"], ["login-fail", "--n", "3"], ["tx-match"],
+    ["hot-urls", "--receipts", "r"], ["tx-join", "--n", "1"], ["page-views", "--checkpoint", "c"],
+    ["page-views", "--preview", "3", "--out", "o"]])
+def test_options_that_do_not_apply_are_refused(argv):
+    with pytest.raises(SystemExit):
+        cli.main([argv[0], "--input", "x", *argv[1:]])
+
+
+T0 = 1558430400  # a full hour
+
+
+def _logs(folder, n=1500):
+    """Logs with more than a thousand result rows for every job."""
+    lines = {
+        "behavior": [f"{i},{i},1,pv,{T0 + i * 3600 * (i % 2)}" for i in range(n)],
+        "access": [f"1.1.1.1 - - {20 + i // 1440:02d}/05/2019:{i // 60 % 24:02d}:{i % 60:02d}:00 +0000 GET /{i}"
+                   for i in range(n)],
+        "login": [f"{i},1.1.1.1,fail,{T0 + s}" for i in range(n) for s in (0, 1)],
+        "order": [x for i in range(n) for x in (f"{i},create,,{T0}", f"{i},pay,tx{i},{T0 + 1}") if i % 3 or "create" in x],
+        "receipt": [f"tx{i},wechat,{T0 + 2}" for i in range(0, n, 2)],
+    }
+    end = {"behavior": f"0,0,1,pv,{T0 * 2}", "access": "1.1.1.1 - - 01/01/2030:00:00:00 +0000 GET /end",
+           "login": f"-1,x,success,{T0 * 2}", "order": f"-1,pay,end,{T0 * 2}", "receipt": f"end2,x,{T0 * 2}"}
+    for kind, rows in lines.items():
+        os.makedirs(folder / kind)
+        (folder / kind / "0.csv").write_text("\n".join([*rows, end[kind]]) + "\n")
+    return {k: str(folder / k) for k in lines}
+
+
+JOBS = [
+    ("hot-items", "behavior", []), ("hot-urls", "access", []), ("page-views", "behavior", []),
+    ("unique-visitors", "behavior", []), ("unique-visitors", "behavior", ["--bitmap"]), ("login-fail", "login", []),
+    ("order-timeout", "order", []), ("tx-match", "order", ["receipt"]), ("tx-join", "order", ["receipt"])]
+
+
+@pytest.mark.parametrize("job, kind, more", JOBS)
+def test_every_row_is_written(spark, tmp_path, job, kind, more):
+    logs = _logs(tmp_path)
+    argv = [job, "--input", logs[kind], *(["--receipts", logs["receipt"]] if more == ["receipt"] else more)]
+    batch = cli.main([*argv, "--out", str(tmp_path / "b")])
+    n = spark.read.parquet(str(tmp_path / "b")).count()
+    assert n == batch.count() and n > (700 if job in ("page-views", "unique-visitors", "tx-join") and not more == ["--bitmap"]
+                                       else 1000)
+    cli.main([*argv, "--stream", "--available-now", "--checkpoint", str(tmp_path / "c"), "--out", str(tmp_path / "s")])
+    streamed = spark.read.parquet(str(tmp_path / "s"))
+    # the end row moves the watermark behind all others and stays open itself;
+    # the interval join has no other result that waits
+    key = next(c for c in ("window_end", "first_fail_time", "pay_t", "first_t", "pay_time", "tx_id")
+               if c in streamed.columns)
+    rows = streamed if streamed.schema[key].dataType.simpleString() != "bigint" else streamed.where(
+        F.coalesce(key, F.lit(0)) < 1_800_000_000_000)
+    waiting = {"hot-items": 12, "hot-urls": 120, "page-views": 1, "unique-visitors": 1, "login-fail": 0,
+               "order-timeout": 0, "tx-match": 2, "tx-join": 0}[job]
+    assert abs(rows.count() - n) <= waiting and rows.count() > 700
+
+
+def test_rows_are_printed_by_the_executors(spark, tmp_path, monkeypatch):
+    from trailmark.sources import sinks
+    seen = []
+    monkeypatch.setattr(sinks, "print_rows", lambda df, label: seen.append((label, df.count())))
+    logs = _logs(tmp_path)
+    cli.main(["tx-match", "--input", logs["order"], "--receipts", logs["receipt"]])
+    assert [s[0] for s in seen] == ["matched ", "pay unmatched", "receipt unmatched"]
+    assert sum(s[1] for s in seen) > 1000

@@ -15,18 +15,20 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    # corpus queries that SQL cannot express are tested in tests/llm
+    core = {k for k in entry_mod.queries() if not k.startswith("op") and k != "pipeline"}
+    assert core <= set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
 
 
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ["events", "orders", "lineitem"]:
+    for t in ["events", "orders", "lineitem", "documents", "embeddings", "pages", "labels"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SF)
     rel = duck.sql(entry_mod.oracle_sql()[name])

@@ -104,6 +104,22 @@ def truncated_average(spark, sf_dir):
                                      key="user_id", value="ts_s", out="avg_ts_s")
 
 
+def _spread(spark, sf_dir, size, slide):
+    aggs = {"n": F.count(F.lit(1)), "first_event_id": F.min("event_id"), "last_event_id": F.max("event_id")}
+    return windows.window_aggregate(events(spark, sf_dir), keys="event_type", ts="ts", size=size, slide=slide,
+                                    aggs=aggs)
+
+
+def window_aggregate_sliding(spark, sf_dir):
+    """Any aggregates per key and sliding window, 1 h every 15 min."""
+    return _spread(spark, sf_dir, "1 hour", "15 minutes")
+
+
+def window_aggregate_gaps(spark, sf_dir):
+    """The same with a slide above the size: most rows lie in no window."""
+    return _spread(spark, sf_dir, "10 minutes", "30 minutes")
+
+
 # --- J-F login failures: error followed directly by error, < 1 h -------------------
 
 def login_fail_pairs(spark, sf_dir):
@@ -220,11 +236,12 @@ def event_time_millis(spark, sf_dir):
 
 
 # --- S1, S3-S6: log lines rendered from events, parsed back -----------------------
-# Fields are padded with spaces around the separators where the reference
-# trims them, so the parsers' trimming is exercised on every row.
+# Fields are padded with spaces and tabs around the separators (the access
+# log, whose separator is the space, with tabs), and trailing empty fields
+# follow, so the parsers' trimming is exercised on every row of every kind.
 
-def _lines(df: DataFrame, *cols, sep: str = ", ") -> DataFrame:
-    return df.select(F.concat_ws(sep, *[c.cast("string") for c in cols]).alias("value"))
+def _lines(df: DataFrame, *cols, sep: str = "\t, ", end: str = " \t,,") -> DataFrame:
+    return df.select(F.concat(F.concat_ws(sep, *[c.cast("string") for c in cols]), F.lit(end)).alias("value"))
 
 
 def scan_behavior_log(spark, sf_dir):
@@ -236,12 +253,12 @@ def scan_behavior_log(spark, sf_dir):
 
 def scan_access_log(spark, sf_dir):
     ev = events(spark, sf_dir)
-    lines = ev.select(F.concat_ws(
-        " ", F.concat(F.lit("192.168.0."), F.col("user_id").cast("string")),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")), F.lit("-"),
+    lines = _lines(
+        ev, F.concat(F.lit("192.168.0."), F.col("user_id").cast("string"), F.lit("\t")),
+        F.concat(F.lit("\tu"), F.col("user_id").cast("string")), F.lit("-"),
         F.date_format("ts", "dd/MM/yyyy:HH:mm:ss"), F.lit("+0000"), F.upper("event_type"),
-        F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), F.col("event_id").cast("string"))
-    ).alias("value"))
+        F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), F.col("event_id").cast("string"), F.lit("\t")),
+        sep=" ", end="  ")
     return logs.parse_access_lines(lines)
 
 
@@ -256,8 +273,7 @@ def scan_login_log(spark, sf_dir):
 def scan_order_log(spark, sf_dir):
     ev = events(spark, sf_dir)
     kind = F.when(F.col("event_type") == "purchase", F.lit("pay")).otherwise(F.lit("create"))
-    lines = ev.select(F.concat_ws(",", F.col("user_id").cast("string"), kind, _tx_ids(ev),
-                                  _seconds(ev).cast("string")).alias("value"))
+    lines = _lines(ev, F.col("user_id"), kind, _tx_ids(ev), _seconds(ev))
     return logs.parse_order_lines(lines)
 
 
@@ -281,6 +297,8 @@ QUERIES = {
     "unique_visitors_bitmap": unique_visitors_bitmap,
     "running_unique_visitors": running_unique_visitors,
     "truncated_average": truncated_average,
+    "window_aggregate_sliding": window_aggregate_sliding,
+    "window_aggregate_gaps": window_aggregate_gaps,
     "login_fail_pairs": login_fail_pairs,
     "order_paid": order_paid,
     "order_timeout": order_timeout,

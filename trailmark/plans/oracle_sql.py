@@ -159,4 +159,15 @@ ORACLE_SQL = {
       SELECT 'tx' || event_id AS tx_id,
              CASE WHEN value < 25 THEN 'wechat' ELSE 'alipay' END AS pay_channel,
              {_S} AS ts_s FROM events""",
+    "window_aggregate_sliding": """
+        WITH w AS (SELECT event_type, event_id, unnest(generate_series(
+                epoch_us(ts::timestamp) // 900000000 * 900000 + 900000,
+                epoch_us(ts::timestamp) // 900000000 * 900000 + 3600000, 900000)) AS window_end FROM events)
+        SELECT event_type, window_end, count(*) AS n, min(event_id) AS first_event_id, max(event_id) AS last_event_id
+        FROM w GROUP BY ALL""",
+    "window_aggregate_gaps": """
+        WITH w AS (SELECT event_type, event_id, epoch_us(ts::timestamp) AS t,
+                          epoch_us(ts::timestamp) // 1800000000 * 1800000000 AS s FROM events)
+        SELECT event_type, s // 1000 + 600000 AS window_end, count(*) AS n, min(event_id) AS first_event_id,
+               max(event_id) AS last_event_id FROM w WHERE t < s + 600000000 GROUP BY ALL""",
 }

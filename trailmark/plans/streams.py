@@ -34,7 +34,7 @@ def _read(spark: SparkSession, kind: str, path: str) -> DataFrame:
 
 def _views(spark, path):
     """All rows drive the watermark; views are picked behind it."""
-    return wm.ascending(_read(spark, "behavior", path), "ts_s").where(F.col("behavior") == "pv")
+    return wm.where_behind(wm.ascending(_read(spark, "behavior", path), "ts_s"), F.col("behavior") == "pv")
 
 
 def hot_items(spark, path, *, n: int = 3, sink: Sink, report: bool = True):
@@ -102,7 +102,7 @@ def order_timeout(spark, path, *, within="15 minutes"):
 
 
 def _pays_receipts(spark, orders_path, receipts_path):
-    pays = wm.ascending(_read(spark, "order", orders_path), "ts_s").where(F.col("tx_id") != "")
+    pays = wm.where_behind(wm.ascending(_read(spark, "order", orders_path), "ts_s"), F.col("tx_id") != "")
     return pays, wm.ascending(_read(spark, "receipt", receipts_path), "ts_s")
 
 

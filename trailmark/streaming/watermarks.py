@@ -15,7 +15,7 @@ to each other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions.time import as_event_timestamp
@@ -45,6 +45,13 @@ def bounded_out_of_order(df: DataFrame, ts: str, bound, *, unit: str = "s",
     return with_event_time(df, ts, unit=unit, delay=bound, out=out)
 
 
+def where_behind(df: DataFrame, condition: Column, *, event_time: str = EVENT_TIME) -> DataFrame:
+    """Rows of ``df`` that satisfy ``condition``, while all rows drive the
+    watermark.  The condition is made to depend on the event time: a plain
+    filter would be moved in front of the watermark by the optimizer."""
+    return df.where(F.when(F.col(event_time).isNotNull(), condition))
+
+
 def window_end_millis(window_col: str = "window") -> F.Column:
     """W5 on a stream: the window struct's end as epoch ms."""
     return F.unix_millis(F.col(f"{window_col}.end"))
