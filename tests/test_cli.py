@@ -60,19 +60,20 @@ def test_every_row_is_written(spark, tmp_path, job, kind, more):
     argv = [job, "--input", logs[kind], *(["--receipts", logs["receipt"]] if more == ["receipt"] else more)]
     batch = cli.main([*argv, "--out", str(tmp_path / "b")])
     n = spark.read.parquet(str(tmp_path / "b")).count()
-    assert n == batch.count() and n > (700 if job in ("page-views", "unique-visitors", "tx-join") and not more == ["--bitmap"]
-                                       else 1000)
+    assert n == batch.count() and n > 400
+
+
+@pytest.mark.parametrize("job, kind, more, waiting", [
+    ("hot-items", "behavior", [], 12), ("hot-urls", "access", [], 0), ("page-views", "behavior", [], 0),
+    ("unique-visitors", "behavior", ["--bitmap"], 0), ("login-fail", "login", [], 0),
+    ("order-timeout", "order", [], 0), ("tx-match", "order", ["receipt"], 2), ("tx-join", "order", ["receipt"], 0)])
+def test_every_streamed_row_is_written(spark, tmp_path, job, kind, more, waiting):
+    logs = _logs(tmp_path, n=60 if job == "hot-urls" else 1050)
+    argv = [job, "--input", logs[kind], *(["--receipts", logs["receipt"]] if more == ["receipt"] else more)]
+    n = cli.main([*argv, "--out", str(tmp_path / "b")]).count()
     cli.main([*argv, "--stream", "--available-now", "--checkpoint", str(tmp_path / "c"), "--out", str(tmp_path / "s")])
-    streamed = spark.read.parquet(str(tmp_path / "s"))
-    # the end row moves the watermark behind all others and stays open itself;
-    # the interval join has no other result that waits
-    key = next(c for c in ("window_end", "first_fail_time", "pay_t", "first_t", "pay_time", "tx_id")
-               if c in streamed.columns)
-    rows = streamed if streamed.schema[key].dataType.simpleString() != "bigint" else streamed.where(
-        F.coalesce(key, F.lit(0)) < 1_800_000_000_000)
-    waiting = {"hot-items": 12, "hot-urls": 120, "page-views": 1, "unique-visitors": 1, "login-fail": 0,
-               "order-timeout": 0, "tx-match": 2, "tx-join": 0}[job]
-    assert abs(rows.count() - n) <= waiting and rows.count() > 700
+    # what belongs to the end row itself, behind which the watermark closes the rest, may still wait
+    assert n - waiting <= spark.read.parquet(str(tmp_path / "s")).count() <= n and n > 300
 
 
 def test_rows_are_printed_by_the_executors(spark, tmp_path, monkeypatch):

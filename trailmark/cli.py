@@ -168,8 +168,8 @@ def main(argv=None):
             sinks.append_batches(args.out)(batch, batch_id)
 
     df, each_batch, mode = _stream(spark, args, sink, f"{checkpoint}/state")
-    # a window that is refined replaces what was reported of it before
-    keeps_newest = mode == "update"
+    # a newer count replaces the one before; reports are kept each time they are made
+    keeps_newest = mode == "update" and each_batch is None
     q = sinks.write_stream(df, label.replace(" ", "_"), output_mode=mode, checkpoint=f"{checkpoint}/query",
                            foreach_batch=each_batch or sink,
                            trigger={"availableNow": True} if args.available_now else None)

@@ -102,50 +102,55 @@ def refining_top_n_each_batch(*, key: str, n: int, table: str, report: str | Non
                               sink: Callable[[DataFrame, int], None],
                               window_col: str = "window_end",
                               count_col: str = "count",
-                              keep=None) -> Callable[[DataFrame, int], None]:
+                              keep=None, part="10 minutes") -> Callable[[DataFrame, int], None]:
     """T2 under allowed lateness (E5), as a ``foreachBatch`` function for
     window counts in **update** mode.
 
     Update mode re-emits only the (window, key) counts a trigger changed, so
     ranking a micro-batch alone would rank only the late keys (the
     reference's quirk).  Here the latest count of every key is kept in a
-    parquet table at ``table`` partitioned by window; each trigger merges its
-    changes into the windows it touched (read by a literal range of the
-    partition column, replaced by dynamic partition overwrite) and re-ranks
-    exactly those windows completely.  The merged rows are written to the
-    shared folder before the overwrite, since they are read from the same
-    table.  Windows that end more than ``keep`` before the newest one
-    (at least size + delay + lateness) cannot change any more and leave the
-    table.
+    parquet table at ``table``, partitioned by ``part`` (stretches of window
+    ends).  Each trigger reads the stretches it touched (a literal range of
+    the partition column), merges its changes, replaces those stretches by
+    dynamic partition overwrite and re-ranks exactly the windows it touched,
+    completely.  The merged rows are written to the shared folder before the
+    overwrite, since they are read from the same table.  Stretches that end
+    more than ``keep`` before the newest window (at least size + delay +
+    lateness) cannot change any more and leave the table.
     """
+    part_ms = duration_micros(part) // 1000
+    part_of = ((F.col(window_col) - F.pmod(F.col(window_col), F.lit(part_ms))).cast("long")).alias("part")
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with written_once(batch.select(window_col, key, count_col)) as changed:
             first, newest = changed.select(F.min(window_col), F.max(window_col)).first()
             if newest is None:
                 return
-            merged = changed
+            merged = changed.select("*", part_of)
             if path_exists(spark, table):  # the first trigger has no table yet
-                touched = changed.select(window_col).distinct()
-                old = (spark.read.parquet(table).where(F.col(window_col).between(first, newest))
-                       .join(touched, window_col, "left_semi"))
+                parts = F.broadcast(merged.select("part").distinct()) if newest - first < 1000 * part_ms \
+                    else merged.select("part").distinct()
+                old = (spark.read.parquet(table).where(F.col("part").between(first - part_ms, newest))
+                       .join(parts, "part", "left_semi"))
                 merged = (old.join(changed, [window_col, key], "left_anti")
-                          .select(window_col, key, count_col).unionByName(changed))
+                          .select(*merged.columns).unionByName(merged))
             with written_once(merged) as merged:
                 (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(window_col).parquet(table))
-                best = topn.top_n(merged, key=key, n=n, group=window_col, value=count_col)
+                 .partitionBy("part").parquet(table))
+                touched = merged.join(changed.select(window_col).distinct(), window_col, "left_semi")
+                best = topn.top_n(touched, key=key, n=n, group=window_col, value=count_col)
                 if report:
                     best = topn.ranked_report(best, key=key, style=report, group=window_col,
                                               value=count_col)
                 sink(best, batch_id)
             if keep is not None:
-                _expire(spark, table, window_col, newest - duration_micros(keep) // 1000)
+                _expire(spark, table, "part", newest - duration_micros(keep) // 1000 - part_ms)
     return run
 
 
 def _expire(spark, table: str, window_col: str, before: int) -> None:
-    """Delete the partitions of windows that end before ``before`` (ms)."""
+    """Delete the partitions whose value lies before ``before`` (ms)."""
     for name in child_names(spark, table):
         column, _, value = name.partition("=")
         if column == window_col and value.lstrip("-").isdigit() and int(value) < before:
