@@ -65,3 +65,17 @@ def test_unmatched_sides_equal_reconcile_split(logs):
     rp = matching.unmatched(pays, logs["receipt"], side="right", **kw)
     assert lp.exceptAll(up).count() == 0 and up.exceptAll(lp).count() == 0
     assert rp.exceptAll(ur).count() == 0 and ur.exceptAll(rp).count() == 0
+
+
+def test_reconcile_with_null_keys_and_times(spark):
+    pays = spark.createDataFrame([("a", 10, 1), (None, 10, 2), ("b", None, 3), ("c", 10, 4)], "k string, t long, i long")
+    receipts = spark.createDataFrame([("a", 12, 5), (None, 10, 6), ("b", None, 7), ("d", 10, 8)], "k string, t long, i long")
+    args = dict(left_key="k", right_key="k", left_ts="t", right_ts="t", left_carry=["i"], right_carry=["i"])
+    got = matching.reconcile(pays, receipts, **args)
+    assert {(r.status, r.pay_i, r.receipt_i) for r in got.collect()} == {
+        ("matched", 1, 5), *(("unmatched_pay", i, None) for i in (2, 3, 4)),
+        *(("unmatched_receipt", None, i) for i in (6, 7, 8))}
+    whole = (matching.interval_join(pays, receipts, **args).count()
+             + matching.unmatched(pays, receipts, side="left", **args).count()
+             + matching.unmatched(pays, receipts, side="right", **args).count())
+    assert whole == got.count() == 7

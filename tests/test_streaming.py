@@ -348,3 +348,42 @@ def test_stream_job_plans(spark):
     got = sorted(tuple(r) for r in spark.table(_run(spark, df)).collect())
     assert got == [(1035, 1558430842, 1558430843, "1035连续登陆失败两次"),
                    (1035, 1558430843, 1558430844, "1035连续登陆失败两次")]
+
+
+def _split_run(spark, make, folders_and_parts):
+    """Run a stream whose files arrive one part per trigger."""
+    name = "q" + uuid.uuid4().hex[:8]
+    q = sinks.write_stream(make(), name, fmt="memory", checkpoint=tempfile.mkdtemp(prefix="tm-ck-"))
+    try:
+        for i in range(max(len(parts) for _, parts in folders_and_parts)):
+            for folder, parts in folders_and_parts:
+                if i < len(parts):
+                    with open(os.path.join(folder, f"{i:03d}"), "w") as f:
+                        f.write("\n".join(parts[i]) + "\n")
+            q.processAllAvailable()
+        left = q.lastProgress["stateOperators"][-1]["numRowsTotal"] if q.lastProgress["stateOperators"] else 0
+    finally:
+        q.stop()
+    return spark.table(name), left
+
+
+def test_equal_seconds_over_triggers(spark):
+    """A row at the newest time of the trigger before is not late."""
+    from trailmark.plans import streams
+    orders, receipts = tempfile.mkdtemp(prefix="tm-o-"), tempfile.mkdtemp(prefix="tm-r-")
+    parts = [["1,create,,1000"], ["1,pay,tx1,1000"], ["9,pay,zz,9999999"]]
+    got, _ = _split_run(spark, lambda: streams.order_timeout(spark, orders)[0], [(orders, parts)])
+    assert [(r.order_id, r.result_msg) for r in got.collect()] == [(1, "payed successfully")]
+    orders = tempfile.mkdtemp(prefix="tm-o-")
+    got, _ = _split_run(spark, lambda: streams.tx_match(spark, orders, receipts)[0],
+                        [(orders, parts), (receipts, [["x,w,1"], ["tx1,w,1000"], ["yy,w,9999999"]])])
+    assert ("tx1", "matched") in {(r.tx_id, r.status) for r in got.collect()}
+
+
+def test_strict_next_state_is_released(spark):
+    from trailmark.plans import streams
+    d = tempfile.mkdtemp(prefix="tm-l-")
+    parts = [[f"{u},x,{'fail' if u % 2 else 'success'},1000" for u in range(300)], ["-1,x,success,900000"],
+             ["-1,x,success,1800000"]]
+    got, left = _split_run(spark, lambda: streams.login_fail(spark, d)[0], [(d, parts)])
+    assert got.count() == 0 and left <= 4  # the last row only: its buffer, timer and mark
