@@ -40,13 +40,13 @@ from pyspark.sql import functions as F
 from .rows import map_texts, slices
 
 SHORT_WORD = 64
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 CACHE_CHARS = 64
 
 # The Unicode white space that the vocabulary file's \s stands for
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
-_BITS, _LOW = 20, (1 << 20) - 1  # ids fit in so many bits
-_NO_RANK = 1 << 60
+_BITS, _LOW = 16, (1 << 16) - 1  # ids fit in so many bits
+_NO_RANK = 1 << 40
 assert sys.byteorder == "little"  # array.array below reads ids as they are packed
 
 
@@ -76,9 +76,13 @@ class WordBpe:
             raise ValueError(f"{path}: not a word-end BPE vocabulary")
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         vocab: dict[str, int] = model["vocab"]
+        if max(vocab.values()) > _LOW:
+            raise ValueError(f"{path}: more than {_LOW + 1} ids")
         pairs = (p if isinstance(p, list) else p.split(" ") for p in model["merges"])
-        self.merges = {vocab[a] << _BITS | vocab[b]: rank << _BITS | vocab[a + b]
-                       for rank, (a, b) in enumerate(pairs)}
+        # by the left part's id: right part's id -> rank, with the merged id in the low bits
+        self.merges: list[dict[int, int]] = [{} for _ in range(max(vocab.values()) + 1)]
+        for rank, (a, b) in enumerate(pairs):
+            self.merges[vocab[a]][vocab[b]] = rank << _BITS | vocab[a + b]
         symbols = byte_symbols()
         self.byte_ids = [vocab[s] for s in symbols]
         self.last_ids = [vocab[s + model["end_of_word_suffix"]] for s in symbols]
@@ -100,15 +104,15 @@ class WordBpe:
         ids[-1] = self.last_ids[word[-1]]
         # boundary i stands between part i and part i + 1; its rank carries
         # the id of the merged part in the low bits
-        ranks = [merges.get(a << _BITS | b, _NO_RANK) for a, b in zip(ids, ids[1:])]
+        ranks = [merges[a].get(b, _NO_RANK) for a, b in zip(ids, ids[1:])]
         while ranks and (least := min(ranks)) != _NO_RANK:
             i = ranks.index(least)
             ids[i] = here = least & _LOW
             del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = merges.get(here << _BITS | ids[i + 1], _NO_RANK)
+                ranks[i] = merges[here].get(ids[i + 1], _NO_RANK)
             if i:
-                ranks[i - 1] = merges.get(ids[i - 1] << _BITS | here, _NO_RANK)
+                ranks[i - 1] = merges[ids[i - 1]].get(here, _NO_RANK)
         return ids
 
     def merge_long(self, word: bytes) -> list[int]:
@@ -119,7 +123,7 @@ class WordBpe:
         ids[-1] = self.last_ids[word[-1]]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1)
-                if (r := merges.get(ids[i] << _BITS | ids[i + 1])) is not None]
+                if (r := merges[ids[i]].get(ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i, left, right = heapq.heappop(heap)
@@ -131,7 +135,7 @@ class WordBpe:
             if after[i] < n:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (r := merges.get(ids[a] << _BITS | ids[b])) is not None:
+                if a >= 0 and b < n and (r := merges[ids[a]].get(ids[b])) is not None:
                     heapq.heappush(heap, (r, a, ids[a], ids[b]))
         return [i for i in ids if i >= 0]
 
@@ -165,19 +169,16 @@ class WordBpe:
                 elif part:
                     # lower case goes character by character: no final sigma
                     folded = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                    found += map(self.word, self.words_of(folded.lower()))
+                    folded = folded.lower()
+                    found += map(self.word, (folded,) if folded.isalpha() else self.words_of(folded))
             ids = b"".join(found)
         self.remember(chunk, ids)
         return ids
 
     def encode_bytes(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        chunks = _SPACE.split(text)
-        found = []
-        for c in chunks:
-            ids = self.young.get(c)
-            found.append(self.chunk(c) if ids is None else ids)
-        return b"".join(found)
+        known, chunk = self.young.get, self.chunk
+        return b"".join([known(c) or chunk(c) for c in _SPACE.split(text)])
 
     def encode(self, text: str) -> list[int]:
         return array.array("I", self.encode_bytes(text)).tolist()
