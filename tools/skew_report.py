@@ -23,6 +23,7 @@ def main():
     from trailmark.functions.time import epoch_micros
     from trailmark.operators.durations import duration_micros
     from trailmark.operators.ordered import block_size, floor_to
+    from trailmark.operators.patterns import FOLLOWED_FACTOR
     from trailmark.session import get_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
@@ -40,8 +41,7 @@ def main():
 
     print(f"rows {total}; hot key share {share(hot, ['user_id']):.3f}")
     for name, within, factor in [("strict-next (1 h)", "1 hour", 4),
-                                 ("followed-by (24 h)", "24 hours", 4),
-                                 ("followed-by (24 h), factor .25", "24 hours", 0.25)]:
+                                 ("followed-by (24 h)", "24 hours", FOLLOWED_FACTOR)]:
         b = block_size(duration_micros(within), factor)
         df = hot.withColumn("_blk", floor_to(t, b))
         print(f"{name:28s} by key {share(hot, ['user_id']):.3f}  "
