@@ -48,7 +48,7 @@ LEAST_DOCUMENTS = 3
 DIMENSIONS, FILTERS, WIDTHS = 16, 12, (1, 2, 3)
 EPOCHS = 3
 WORDS_AT_ONCE = 1 << 14
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 # Common function words by language
 FUNCTION_WORDS = {
