@@ -1,6 +1,7 @@
 """Links and components against brute force, recall on deeper trees."""
 
 import numpy as np
+import pyarrow as pa
 
 from trailmark.llm import embedding_dedup
 
@@ -70,3 +71,38 @@ def test_large_leaves_are_cut_further(vectors_of, monkeypatch):
     got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(vectors_of(rows), leaf=16, trees=12).collect()}
     assert all(got[i] <= n for i, n in want.items())
     assert sum(got.values()) >= 0.8 * sum(want.values())
+
+
+def test_group_larger_than_a_leaf_is_compared_whole(vectors_of):
+    rng = np.random.default_rng(4)
+    copies = rng.normal(size=64) + rng.normal(size=(1500, 64)) * 0.14  # cosines of about 0.98
+    vectors = np.concatenate([copies, rng.normal(size=(900, 64))])[rng.permutation(2400)]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    unit = vectors.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    want = near.sum(axis=1) - 1
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(vectors_of(rows), leaf=64).collect()}
+    assert want.sum() > 2_000_000 and all(got[i].n_links <= n for i, n in enumerate(want))
+    assert sum(r.n_links for r in got.values()) >= 0.99 * want.sum()
+    group = np.nonzero(want)[0]
+    assert all(got[i].component_id == group.min() for i in group.tolist())
+
+
+def test_blocks_of_a_leaf_count_each_pair_once():
+    rng = np.random.default_rng(5)
+    n = 1400
+    vectors, block = rng.normal(size=8) + rng.normal(size=(n, 8)) * 0.3, rng.integers(0, 2, n)
+    leaves = [sorted({5, *rng.choice([1, 2, 9], rng.integers(0, 3)).tolist()}) for _ in range(n)]
+    links = np.zeros(n, dtype=int)
+    for low, high in ((0, 0), (0, 1), (1, 1)):
+        at = np.nonzero((block == low) | (block == high))[0]
+        table = pa.table({"leaf_dim": [8] * len(at), "leaf": [5] * len(at), "low": [low] * len(at), "high": [high] * len(at),
+                          "block": block[at], "node": at, "copies": at % 3 + 1, "vector": vectors[at].tolist(),
+                          "leaves": [leaves[i] for i in at]})
+        found = embedding_dedup._compare(0.95)(table)
+        np.add.at(links, found.column("node").to_numpy(), found.column("links").to_numpy())
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    held = np.array([[x in y for x in (1, 2)] for y in leaves])
+    new = (unit @ unit.T >= 0.95) & ~(held[:, None] & held[None]).any(axis=2) & ~np.eye(n, dtype=bool)
+    assert new.sum() > 4 * embedding_dedup.PAIRS_AT_ONCE and (links == new @ (np.arange(n) % 3 + 1)).all()
