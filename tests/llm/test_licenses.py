@@ -75,3 +75,14 @@ def test_repeats_and_empty_table(docs_of):
 def test_no_python_in_the_plan(docs_of):
     plan = licenses.scan(docs_of([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "MapIn" not in plan
+
+
+def test_wrapped_notices(docs_of):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files (the \"Software\"), to deal\n")
+    bsd = ("Redistribution and use in source and binary forms, with or without\n"
+           "modification, are permitted provided that the following conditions are met:\n")
+    texts = ["Copyright\n\n" + mit, bsd, "word " * 100 + "\n" + bsd + "word\n" * 100, "released under\n" + "x " * 70 + "mit"]
+    got = {r.doc_id: r.labels for r in licenses.scan(docs_of(list(enumerate(texts))), across_lines=True).collect()}
+    assert got == {0: "mit", 1: "bsd", 2: "bsd", 3: ""}
+    assert {r.labels for r in licenses.scan(docs_of([(0, texts[3])])).collect()} == {""}

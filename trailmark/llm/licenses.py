@@ -5,7 +5,9 @@ Two things are found in every whole text:
 * base labels, where the words of a phrase stand consecutively;
 * labels of the templates below: a text block (a line, or a window of
   ``WINDOW`` words of a longer line, overlapping by half) has a template's
-  label if it contains at least ``CONTAINMENT`` of the template's words.
+  label if it contains at least ``CONTAINMENT`` of the template's words;
+  with ``across_lines`` such windows over the words of the whole text are
+  blocks as well, so a notice may be wrapped.
 
 The join of blocks and templates is exact.  Template words are put in
 ascending order of the number of documents that hold them, counted over the
@@ -83,11 +85,11 @@ def _needed(template: str, containment: float) -> int:
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] | None = None,
-         templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+         templates: dict[str, str] | None = None, containment: float = CONTAINMENT, across_lines: bool = False) -> DataFrame:
     """Columns ``id_col``, ``n_words``, ``n_base``, ``first_word``,
     ``last_word``, ``base_labels``, ``labels`` and ``score``."""
     phrases, templates = phrases or PHRASES, templates or TEMPLATES
-    rows = materialize(_rows(docs, id_col, text_col, phrases, templates, containment))
+    rows = materialize(_rows(docs, id_col, text_col, phrases, templates, containment, across_lines))
     found = _matches(rows, templates, containment)
     joined = rows.join(found, "row", "left")
     every = F.array_union("base", F.coalesce("found", F.array().cast("array<string>")))
@@ -98,7 +100,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", phr
         F.greatest(F.coalesce("score", F.lit(0.0)), F.when(F.col("n_base") > 0, 1.0).otherwise(0.0)).alias("score"))
 
 
-def _rows(docs, id_col, text_col, phrases, templates, containment) -> DataFrame:
+def _rows(docs, id_col, text_col, phrases, templates, containment, across_lines) -> DataFrame:
     """One row per document with all that is needed of its text.
 
     ``lower`` also folds letters outside ASCII, but none of them becomes a
@@ -124,14 +126,17 @@ def _rows(docs, id_col, text_col, phrases, templates, containment) -> DataFrame:
         F.least(*first, none, none).cast("long").alias("first_word"),
         F.greatest(*last, none, none).cast("long").alias("last_word"),
         F.array_distinct(F.array_compact(F.array(*(F.when(has[p], F.lit(x)) for p, x in phrases.items())))).alias("base"),
-        "words", _blocks(F.col("low"), F.col("words"), vocabulary, templates, containment, least).alias("blocks"))
+        "words", _blocks(F.col("low"), F.col("spaced"), F.col("words"), vocabulary, templates, containment, least, across_lines)
+        .alias("blocks"))
 
 
-def _blocks(low, words, vocabulary, templates, containment, least) -> Column:
+def _blocks(low, spaced, words, vocabulary, templates, containment, least, across_lines) -> Column:
     """The template words of each block of the text that has enough of them
     for some template; a text that has too few altogether has no such block."""
     enough = [F.size(F.array_intersect(_literal({*t.split()}), words)) >= _needed(t, containment) for t in templates]
     lines = F.transform(F.split(low, "\n"), lambda line: F.split(_spaced(line), " "))
+    if across_lines:
+        lines = F.concat(lines, F.array(F.split(spaced, " ")))
     windows = F.flatten(F.transform(lines, lambda w: F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(w) - WINDOW // 2 - 1, F.lit(0)), F.lit(WINDOW // 2)),
         lambda at: F.array_intersect(F.slice(w, at + 1, F.lit(WINDOW)), _literal(vocabulary)))))

@@ -57,7 +57,7 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), across_lines=True)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
