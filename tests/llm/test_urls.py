@@ -68,3 +68,29 @@ def test_given_redirects_repeats_and_empty_tables(spark):
 def test_many_pages_of_one_target(spark):
     rows = [(i, f"http://p{i}.net/", '<link rel="canonical" href="http://x.com/de/hub">') for i in range(400)]
     assert {v[3] for v in _judge(spark, rows).values()} == {"block"}
+
+
+def test_targets_are_decoded_and_resolved(spark):
+    canonical = lambda u: f'<link rel="canonical" href="{u}">'
+    refresh = lambda u: f'<meta http-equiv="refresh" content="0; url={u}">'
+    both = lambda a, b: a + "<p>" + b
+    rows = [
+        (1, "http://a.net/1", canonical("http://x.com/k/a?b=1&amp;c=2")),     # entities
+        (2, "http://x.com/k/a?b=1&c=2", canonical("http://x.com/de/z")),
+        (3, "http://x.com/k/b", refresh("../de/new.html")),                   # relative paths
+        (4, "http://x.com/de/", None),
+        (5, "http://x.com/k/c/d", refresh("./e/../q.html")),
+        (6, "http://x.com/k/c/q.html", canonical("/k/./../de/x")),
+        (7, "http://x.com/k/f", canonical("?id=2")),                          # query only
+        (8, "http://x.com/k/f?id=2", canonical("http://x.com/de/y")),
+        (9, "http://a.net/9", both(canonical("http://b.net/"), canonical("http://x.com/de/a"))),  # the second tag
+        (10, "http://a.net/10", both(refresh("b"), refresh("//x.com/de/a"))),
+        (11, "http://a.net", refresh("eleven")),                              # no path
+        (12, "http://a.net/eleven", canonical("http://x.com/de/e")),
+        (13, "http://a.net/13", canonical("/go?to=http://x.com/de/a")),       # no scheme of its own
+        (14, "http://a.net/14", canonical("mailto:de")),
+        (15, "http://a.net/15", both(canonical("#top"), refresh(""))),
+        (16, "http://a.net/16", refresh("&#39;http://x.com/de/a&#x27;")),
+    ]
+    got = {i: v[3] for i, v in _judge(spark, rows).items()}
+    assert got == {i: "allow" if i in (13, 14, 15) else "block" for i in range(1, 17)}

@@ -6,15 +6,17 @@ and the longest fitting rule wins.
 
 Pages that are the same resource share a decision.  Nodes are urls without
 scheme and fragment (host, path and query); edges go from a page to the
-target of its canonical link, of its refresh redirect, and of any redirects
-given as a table.  Distributed connected components over these edges carry
+targets of all its canonical links and refresh redirects, and of any
+redirects given as a table.  Distributed connected components over these edges carry
 a block to every alias: a page without a rule of its own is blocked if any
 url of its component is blocked by a rule, and else allowed.  An explicit
 allow takes precedence for the page it fits.
 
 Defined cases: a null url, or one without ``://``, has an empty host and
-path, fits no rule and is allowed; null html has no links; relative targets
-are resolved against the page's host, others are ignored; repeated rows
+path, fits no rule and is allowed; null html has no links; the common
+character references of targets are decoded and relative targets (of host,
+path or query) resolved against the page's url, targets of schemes without
+``://`` are ignored; repeated rows
 each give a row; other columns are not carried.
 """
 
@@ -78,14 +80,41 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return answer
 
 
-def targets(url: Column, html: Column) -> list[Column]:
-    """The urls that a page's canonical link and refresh redirect name."""
-    found = [F.regexp_extract(F.regexp_extract(html, tag, 0), link, 1)
-             for tag, link in ((CANONICAL_TAG, HREF), (REFRESH_TAG, REFRESH_URL))]
+def _decoded(target: Column) -> Column:
+    """Without the character references and quotes that may stand in a target."""
+    for reference, char in (("lt|#0*60|#x0*3c", "<"), ("gt|#0*62|#x0*3e", ">"), ("quot|#0*34|#x0*22", '"'),
+                            ("apos|#0*39|#x0*27", "'"), ("#0*47|#x0*2f|sol", "/"), ("amp|#0*38|#x0*26", "&")):
+        target = F.regexp_replace(target, f"(?i)&({reference});", char)
+    return F.regexp_replace(target, "^[\"']+|[\"']+$", "")
+
+
+def _without_dots(path: Column) -> Column:
+    """The path with its ``.`` and ``..`` parts carried out."""
+    ended = F.when(path.rlike(r"/\.\.?$"), F.concat(path, F.lit("/"))).otherwise(path)
+    parts = F.aggregate(F.split(F.substring(ended, F.lit(2), F.length(ended)), "/"), F.array().cast("array<string>"), lambda up, x: (
+        F.when(x == ".", up).when(x == "..", F.slice(up, F.lit(1), F.greatest(F.size(up) - 1, F.lit(0))))
+        .otherwise(F.concat(up, F.array(x)))))
+    return F.concat(F.lit("/"), F.array_join(parts, "/"))
+
+
+def targets(url: Column, html: Column) -> Column:
+    """Array of the urls that a page's canonical links and refresh redirects name."""
     base = F.regexp_extract(url, r"^[^:/?#]*://[^/?#]*", 0)
     scheme = F.regexp_extract(url, r"^[^:/?#]*:", 0)
-    return [F.when(t.contains("://"), t).when(t.startswith("//"), F.concat(scheme, t))
-            .when(t.startswith("/"), F.concat(base, t)) for t in found]
+    folder = F.concat(F.lit("/"), F.regexp_extract(path_of(url), r"^/(.*/)?", 1))
+
+    def resolved(t: Column) -> Column:
+        path, rest = F.regexp_extract(t, r"^[^?#]*", 0), F.regexp_extract(t, r"[?#].*$", 0)
+        return (F.when((t == "") | t.startswith("#"), F.lit(None)).when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), t)
+                .when(t.startswith("//"), F.concat(scheme, t)).when(t.startswith("?"), F.concat(base, path_of(url), t))
+                .when(t.startswith("/"), F.concat(base, _without_dots(path), rest))
+                .when(~t.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.concat(base, _without_dots(F.concat(folder, path)), rest)))
+
+    def named(tag: str, link: str) -> Column:
+        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)),
+                           lambda t: resolved(_decoded(F.regexp_extract(t, link, 1))))
+
+    return F.array_compact(F.concat(named(CANONICAL_TAG, HREF), named(REFRESH_TAG, REFRESH_URL)))
 
 
 def judge(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id", url_col: str = "url",
@@ -97,7 +126,7 @@ def judge(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id", url_c
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"))
     links = rows.where(html.rlike(r"(?i)canonical|refresh")).select(
-        url.alias("source"), F.explode(F.array_compact(F.array(*targets(url, html)))).alias("target"))
+        url.alias("source"), F.explode(targets(url, html)).alias("target"))
     if redirects is not None:
         links = links.unionByName(redirects.select("source", "target"))
     ends = (links.where("instr(source, '://') > 0 and instr(target, '://') > 0")
