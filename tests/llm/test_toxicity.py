@@ -74,3 +74,23 @@ def test_languages():
                            ("les chats et des chiens", "fr"), ("el perro y los gatos", "es")):
         assert toxicity.LANGUAGES[toxicity.guess_language(scorer.rows(text))] == language
     assert toxicity.guess_language(scorer.rows("xyzzy")) == len(toxicity.LANGUAGES)
+
+
+def test_thresholds_follow_all_labelled_rows(spark, docs_of):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(1500):  # every toxic row has the word, and a quarter of the many clean ones
+        toxic = i % 30 == 0
+        words = rng.choice(["stone", "river", "house", "tree"], 8).tolist() + ["zap"] * (toxic or rng.random() < 0.25)
+        rows.append((i, " ".join(words), int(toxic)))
+    labels = spark.createDataFrame([(i, 1, x) for i, _, x in rows], "doc_id long, quality int, toxic int")
+    docs = docs_of([(i, t) for i, t, _ in rows])
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.fit(docs, labels, sample=30)).collect()}
+    assert np.mean([found[i] == x for i, _, x in rows]) > 0.95
+
+
+def test_thresholds_of_counts():
+    counts = [(0, 0, -64, 50), (0, 1, 64, 50), (1, 0, 0, 9), (1, 1, 10, 1), (2, 0, 200, 40), (2, 1, 300, 10)]
+    found = toxicity._thresholds(counts)
+    assert -63 / 64 <= found[0] <= 1 and found[1] == found[3] == found[4] and 201 / 64 <= found[2] <= 300 / 64
+    assert (toxicity._thresholds([]) == 0).all()

@@ -9,9 +9,11 @@ numpy on the driver from a bounded sample of labelled rows
 every row and the whole of its text.
 
 Labels are learnt only from rows whose crc32(id as text) mod ``FOLDS`` is
-not 0.  Of those, a fifth (remainder 1) is kept out of the training to
-calibrate one threshold per language, chosen for the most correct answers;
-the language is guessed from the function words of the text itself, so
+not 0, and a fifth of the sample is kept out of the training.  One threshold
+per language is chosen for the most correct answers on all labelled rows
+outside of fold 0 and of the training: each is scored, and counts by
+language, label and bin of the score (``BINS`` to a unit, up to
+``BIN_LIMIT``) go to the driver; the language is guessed from the function words of the text itself, so
 labels, lang, source and ids are no inputs of a score.  Scores are shifted
 so that the threshold of the guessed language is 0.5.
 
@@ -49,6 +51,8 @@ DIMENSIONS, FILTERS, WIDTHS = 16, 12, (1, 2, 3)
 EPOCHS = 3
 WORDS_AT_ONCE = 1 << 14
 CACHE_WORDS = 200_000
+BINS, BIN_LIMIT = 64, 32
+LEAST_CALIBRATION = 30
 
 # Common function words by language
 FUNCTION_WORDS = {
@@ -117,7 +121,8 @@ class Scorer:
                     found[i] = cache[words[i]] = self.row_of.get(bucket(words[i]), 0)
         return np.array(found or [0], dtype=np.int64)
 
-    def score(self, text: str) -> float:
+    def logit(self, text: str) -> tuple[float, int]:
+        """The answer before the threshold, and the language guessed."""
         net, rows = self.network, self.rows(text)
         widest = max(WIDTHS)
         pooled = np.full(len(net.filter_bias), -np.inf)
@@ -127,8 +132,11 @@ class Scorer:
             n = len(part) - widest + 1
             best = [sum(t[part[k:k + n]] for k, t in enumerate(tables)).max(axis=0) for tables in self.tables]
             np.maximum(pooled, np.concatenate(best), out=pooled)
-        logit = np.maximum(pooled + net.filter_bias, 0) @ net.out + net.bias
-        logit -= net.thresholds[guess_language(rows)]
+        return float(np.maximum(pooled + net.filter_bias, 0) @ net.out + net.bias), guess_language(rows)
+
+    def score(self, text: str) -> float:
+        logit, language = self.logit(text)
+        logit -= self.network.thresholds[language]
         return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
 
 
@@ -147,7 +155,7 @@ def scorer(shared, number: int) -> Scorer:
 
 def train(samples: list[tuple[int, np.ndarray]], seed: int = 7) -> Network | None:
     """A network from (label, buckets of the words) pairs in a fixed order,
-    every fifth of which is kept for calibration; None without both labels."""
+    every fifth of which is kept out, with thresholds of 0; None without both labels."""
     fit = [s for i, s in enumerate(samples) if i % FOLDS]
     if len({label for label, _ in fit}) < 2:
         return None
@@ -173,7 +181,6 @@ def train(samples: list[tuple[int, np.ndarray]], seed: int = 7) -> Network | Non
     rows = [(label, np.array([row_of.get(w, 0) for w in words.tolist()] or [0], dtype=np.int64))
             for label, words in samples]
     _descend(net, [r for i, r in enumerate(rows) if i % FOLDS], rng)
-    net.thresholds = _calibrate(net, [r for i, r in enumerate(rows) if i % FOLDS == 0])
     net.embedding = net.embedding.astype(np.float32)
     return net
 
@@ -226,24 +233,25 @@ def _descend(net: Network, rows: list, rng, rate: float = 0.1) -> None:
             net.bias -= rate * error / np.sqrt(bias_square)
 
 
-def _calibrate(net: Network, rows: list, least: int = 30) -> np.ndarray:
+def _thresholds(counts: list[tuple[int, int, int, int]]) -> np.ndarray:
     """The threshold with most correct answers by language, and over all for
-    languages with few rows; of equals, the one nearest to that over all."""
-    logits = np.array([_forward(net, words)[4] for _, words in rows])
-    labels = np.array([label for label, _ in rows], dtype=bool)
-    languages = np.array([guess_language(words) for _, words in rows])
+    languages with few rows; of equals, the one nearest to that over all.
+    ``counts`` has (language, label, bin, rows)."""
+    language, label, bins, n = np.array(counts, dtype=np.int64).reshape(-1, 4).T
 
-    def best(logit, label, near):
-        if not len(logit):
+    def best(here, near):
+        if not here.any():
             return near
-        ordered = np.unique(logit)
-        cuts = np.concatenate([[ordered[0] - 1], (ordered[1:] + ordered[:-1]) / 2, [ordered[-1] + 1, near]])
-        right = [((logit >= c) == label).sum() for c in cuts]
-        return min(cuts[np.array(right) == max(right)], key=lambda c: abs(c - near))
+        places, at = np.unique(bins[here], return_inverse=True)
+        toxic, clean = (np.bincount(at, n[here] * (label[here] == x), len(places)) for x in (1, 0))
+        edges = np.concatenate([[places[0] - BINS], (places[1:] + places[:-1] + 1) / 2, [places[-1] + 1 + BINS], [near * BINS]])
+        below = np.searchsorted(places, edges)  # bins under the threshold
+        right = np.append(0, clean.cumsum())[below] + toxic.sum() - np.append(0, toxic.cumsum())[below]
+        return min(edges[right == right.max()] / BINS, key=lambda c: abs(c - near))
 
-    over_all = best(logits, labels, 0.0)
-    return np.array([best(logits[languages == x], labels[languages == x], over_all)
-                     if (languages == x).sum() >= least else over_all for x in range(len(LANGUAGES) + 1)])
+    over_all = best(n > 0, 0.0)
+    return np.array([best(language == x, over_all) if n[language == x].sum() >= LEAST_CALIBRATION else over_all
+                     for x in range(len(LANGUAGES) + 1)])
 
 
 # -- operators ----------------------------------------------------------------
@@ -262,19 +270,47 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     # at most ``sample`` ids of each class, so small enough to broadcast
     chosen = known.where("label = 1").orderBy("at", "id").limit(sample).unionByName(
         known.where("label = 0").orderBy("at", "id").limit(sample))
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    texts = texts.where(F.length("text") <= SAMPLE_CHARS)
+    every = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = every.where(F.length("text") <= SAMPLE_CHARS)
     texts = (texts.join(F.broadcast(chosen), "id").orderBy("at", "id", "text").limit(2 * sample)
-             .select("label", "text"))
+             .select("label", "text", "id"))
 
     def run(batches):
         for batch in batches:
             words = [np.array([bucket(w) for w in _WORDS(t.lower())], dtype=np.int32).tobytes()
                      for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], names=["label", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary()), batch.column(2)],
+                                             names=["label", "words", "id"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = texts.mapInArrow(run, f"label int, words binary, id {kind}").collect()
+    network = train([(r["label"], np.frombuffer(r["words"], dtype=np.int32)) for r in rows])
+    if network is not None:
+        fitted = docs.sparkSession.createDataFrame([(r["id"],) for i, r in enumerate(rows) if i % FOLDS], f"id {kind}")
+        network.thresholds = _thresholds(_counts(every, known, fitted, network))
+    return network
+
+
+def _counts(texts: DataFrame, known: DataFrame, fitted: DataFrame, network: Network) -> list:
+    """(language, label, bin, rows) of all labelled texts but those of the
+    ``fitted`` ids.  Scored before the join, so no text is shuffled."""
+    shared = texts.sparkSession.sparkContext.broadcast(network)  # bounded by the sample
+    number = shared._jbroadcast.id()
 
-    rows = texts.mapInArrow(run, "label int, words binary").collect()
-    return train([(r["label"], np.frombuffer(r["words"], dtype=np.int32)) for r in rows])
+    def run(batches):
+        logit = scorer(shared, number).logit
+        for batch in batches:
+            found = [logit(t) for t in batch.column(1).to_pylist()]
+            bins = [int(np.clip(np.floor(x * BINS), -BIN_LIMIT * BINS, BIN_LIMIT * BINS - 1)) for x, _ in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([y for _, y in found], pa.int32()),
+                                              pa.array(bins, pa.int32())], names=["id", "language", "bin"])
+
+    asked = texts.where("id is not null").where(fold("id") != 0).join(F.broadcast(fitted), "id", "left_anti")
+    kind = texts.schema["id"].dataType.simpleString()
+    scored = asked.select("id", "text").mapInArrow(run, f"id {kind}, language int, bin int")
+    # at most one row for each language, label and bin
+    counts = scored.join(known.select("id", "label"), "id").groupBy("language", "label", "bin").count()
+    return [tuple(r) for r in counts.collect()]
 
 
 def score_column(docs: DataFrame, network: Network | None, text_col: str = "text") -> Column:
