@@ -16,6 +16,7 @@ COLUMNS = {
     "op8_licenses": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op9_token_counts": "doc_id n_bytes n_tokens over_limit",
     "op10_embedding_dedup": "vec_id n_links component_id kept",
+    "op11_importance": "doc_id n_features weight score rank",
 }
 ROWS_OF = {"op6_topk": None, "op7_urls": "pages", "op10_embedding_dedup": "embeddings", "op2_packing": None}
 

@@ -6,7 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, licenses, packing, pii, simhash, token_counts, topk, toxicity, urls
+from . import (
+    bpe,
+    embedding_dedup,
+    importance,
+    licenses,
+    packing,
+    pii,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    urls,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,9 +80,14 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_packing, op3_simhash, op4_toxicity, op5_pii, op6_topk, op7_urls, op8_licenses,
-    op9_token_counts, op10_embedding_dedup)}
+    op9_token_counts, op10_embedding_dedup, op11_importance)}
+
 # -- DuckDB SQL -----------------------------------------------------------------
 
 _VECTORS = """
