@@ -6,7 +6,6 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-DATA = os.path.join(ROOT, "tests", "data")
 
 
 @pytest.fixture(scope="session")
@@ -22,13 +21,10 @@ def spark():
 
 @pytest.fixture(scope="session")
 def logs(spark):
+    from log_data import DATA
     from trailmark.sources.logs import read_log
     return {
         "order": read_log(spark, "order", os.path.join(DATA, "order_log.csv")).cache(),
         "receipt": read_log(spark, "receipt", os.path.join(DATA, "receipt_log.csv")).cache(),
         "login": read_log(spark, "login", os.path.join(DATA, "login_log.csv")).cache(),
     }
-
-
-def lines_df(spark, lines):
-    return spark.createDataFrame([(x,) for x in lines], "value string")

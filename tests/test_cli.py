@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DATA
+from log_data import DATA
 from trailmark import cli
 
 

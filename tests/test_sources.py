@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DATA, lines_df
+from log_data import DATA, lines_df
 from trailmark.sources import logs
 
 

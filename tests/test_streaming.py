@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import DATA
+from log_data import DATA
 from trailmark.sources import logs, sinks
 from trailmark.streaming import matching as sm
 from trailmark.streaming import patterns as sp

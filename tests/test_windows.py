@@ -140,7 +140,7 @@ def test_arithmetic_hash_equals_text_hash(spark):
 
 
 def test_hot_urls_job_report(spark):
-    from conftest import lines_df
+    from log_data import lines_df
     from trailmark.plans import jobs
     from trailmark.sources import logs
     rows = ["1.1.1.1 - - 17/05/2015:10:05:01 +0000 GET /a",
