@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    conversations,
     embedding_dedup,
     importance,
     licenses,
@@ -84,9 +85,18 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(conversations.rows_of(
+        table(spark, sf_dir, "conversations"), code=conversations.damage_code()))
+    found = conversations.with_digest(rows, conversations.analyse(rows))
+    return found.select(F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost",
+                        "audit", "repaired_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_packing, op3_simhash, op4_toxicity, op5_pii, op6_topk, op7_urls, op8_licenses,
-    op9_token_counts, op10_embedding_dedup, op11_importance)}
+    op9_token_counts, op10_embedding_dedup, op11_importance,
+    op13_conversations)}
 
 # -- DuckDB SQL -----------------------------------------------------------------
 
