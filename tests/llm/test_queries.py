@@ -17,10 +17,11 @@ COLUMNS = {
     "op9_token_counts": "doc_id n_bytes n_tokens over_limit",
     "op10_embedding_dedup": "vec_id n_links component_id kept",
     "op11_importance": "doc_id n_features weight score rank",
+    "op12_neighbours": "query_id rank vec_id score",
     "op13_conversations": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
 }
 ROWS_OF = {"op6_topk": None, "op7_urls": "pages", "op10_embedding_dedup": "embeddings", "op2_packing": None,
-           "op13_conversations": None}
+           "op12_neighbours": None, "op13_conversations": None}
 
 
 @pytest.mark.parametrize("name", list(COLUMNS))

@@ -12,6 +12,7 @@ from . import (
     embedding_dedup,
     importance,
     licenses,
+    neighbours,
     packing,
     pii,
     simhash,
@@ -85,6 +86,12 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = neighbours.usable_vectors(table(spark, sf_dir, "embeddings"))
+    found = neighbours.nearest(vectors, vectors.where("id % 20 = 0"), k=20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversations.damaged(conversations.rows_of(
         table(spark, sf_dir, "conversations"), code=conversations.damage_code()))
@@ -96,7 +103,7 @@ def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_packing, op3_simhash, op4_toxicity, op5_pii, op6_topk, op7_urls, op8_licenses,
     op9_token_counts, op10_embedding_dedup, op11_importance,
-    op13_conversations)}
+    op12_neighbours, op13_conversations)}
 
 # -- DuckDB SQL -----------------------------------------------------------------
 
