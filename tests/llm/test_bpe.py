@@ -3,6 +3,7 @@
 import random
 import struct
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -27,7 +28,7 @@ def test_random_texts(library):
     for text in texts + ["a" * 3000, "ha" * 900 + "!" * 300, "x" * 64, "x" * 65, "th" * 33]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert coder.encode(text) == ids, text
-        assert coder.round_trip(text)[1] == library.decode(ids, skip_special_tokens=False), text
+        assert coder.round_trips(pa.array([text]))[0][1] == library.decode(ids, skip_special_tokens=False), text
 
 
 def test_full_cache_changes_nothing(library, monkeypatch):
@@ -37,6 +38,18 @@ def test_full_cache_changes_nothing(library, monkeypatch):
     assert coder.encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_together(library, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abcdefgéß'.,!1", k=rng.randint(1, 30))) for _ in range(rng.randint(0, 40)))
+             for _ in range(300)] + ["", "Σ", "a\x1cb", "a\xa0b's\u3000c\u2003", "The, end. <|endoftext|>now", "x" * 70 + " y"]
+    want = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    coder = bpe.WordBpe(bpe.default_tokenizer())
+    assert coder.encode_many(pa.array(texts)) == want == coder.encode_many(pa.array(texts))
+    for name, value in (("WORDS_AT_ONCE", 3), ("CACHE_WORDS", 20), ("SHORT_WORD", 6)):
+        monkeypatch.setattr(bpe, name, value)
+        assert bpe.WordBpe(bpe.default_tokenizer()).encode_many(pa.array(texts)) == want
+
+
 def test_operator(docs_of, library):
     texts = {1: "Hello, world", 2: None, 3: "", 4: "Hello, world", 5: "long word " * 3000}
     got = {r.doc_id: r for r in bpe.encode_decode(docs_of([*texts.items(), (1, "Hello, world")])).collect()}

@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .bpe import default_tokenizer, word_bpe
-from .rows import slices, text_rows
+from .bpe import BYTES_AT_ONCE, default_tokenizer, word_bpe
+from .rows import sized_slices, text_rows
 
 CAPACITY = 4096
 #: pieces of one length that are ranked together, about
@@ -52,11 +52,11 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
               ("ids_crc32", pa.int64(), "long")] + [("ids", pa.binary(), "binary")] * with_ids
 
     def run(batches):
-        encode = word_bpe(path).encode_bytes
-        for batch in slices(batches):
+        encode = word_bpe(path).encode_many
+        for batch in sized_slices(batches, BYTES_AT_ONCE):
             source, found = [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                ids = encode(text) + end
+            for row, ids in enumerate(encode(batch.column(1))):
+                ids += end
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     source.append(row)
@@ -173,11 +173,13 @@ class Plan:
 def assign(found: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     """``found`` (a table that reads the same each time, with ``length`` from
     1 to ``capacity``) with ``sequence_id`` and ``offset``."""
-    count = found.count()
-    salts = 8 + count // RANKED_TOGETHER
-    salted = found.withColumn("salt__", F.pmod(F.xxhash64(*found.columns), F.lit(salts)).cast("int"))
+    lengths = {r["length"]: r["n__"] for r in found.groupBy("length").agg(F.count("*").alias("n__")).collect()}
+    salts = found.sparkSession.createDataFrame(
+        [(n, -(-c // RANKED_TOGETHER)) for n, c in lengths.items()], "length long, salts__ long")
+    # equal rows part as well: the table reads the same each time, so a row keeps its place in it
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("salts__")).cast("int")
+    salted = found.join(F.broadcast(salts), "length").select(*found.columns, dealt.alias("salt__"))
     sizes = materialize(salted.groupBy("length", "salt__").agg(F.count("*").alias("n__")))
-    lengths = {r["length"]: r["n__"] for r in sizes.groupBy("length").agg(F.sum("n__").alias("n__")).collect()}
     plan = Plan(lengths, capacity)  # at most ``capacity`` lengths
     before = Window.partitionBy("length").orderBy("salt__")
     starts = sizes.select("length", "salt__", (F.sum("n__").over(before) - F.col("n__")).alias("first__"))

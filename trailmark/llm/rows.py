@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +29,25 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
             yield batch.slice(at, rows)
 
 
+def sized_slices(batches: Iterator[pa.RecordBatch], size: int, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """The given batches cut into pieces whose texts (in ``column``) have at
+    most ``size`` bytes together; a larger text is a piece alone."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable, fields: list[tuple[str, pa.DataType, str]],
-              ) -> DataFrame:
+              together: int = 0) -> DataFrame:
     """One result row per input row: ``make()`` is called once per task and
     returns a function from a text to the tuple of result values; ``fields``
-    are (name, Arrow type, Spark type)."""
+    are (name, Arrow type, Spark type).  With ``together`` the function takes
+    an Arrow array of texts of about so many bytes and returns a list of tuples."""
     rows = text_rows(df, id_col, text_col)
     names = [id_col, *(f[0] for f in fields)]
     id_type = rows.schema["id"].dataType.simpleString()
@@ -39,8 +55,8 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable, fields:
 
     def run(batches):
         each = make()
-        for batch in slices(batches):
-            values = [each(t) for t in batch.column(1).to_pylist()]
+        for batch in sized_slices(batches, together) if together else slices(batches):
+            values = each(batch.column(1)) if together else [each(t) for t in batch.column(1).to_pylist()]
             columns = list(zip(*values)) or [[] for _ in fields]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(v, t) for v, (_, t, _) in zip(columns, fields))], names=names)
