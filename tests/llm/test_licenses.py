@@ -18,7 +18,7 @@ def plain(text):
         places += hits
         base |= {label} if hits else set()
     labels, score = set(base), 1.0 if places else 0.0
-    for line in (text or "").lower().split("\n"):
+    for line in re.sub("[A-Z]", lambda m: m[0].lower(), text or "").split("\n"):
         line = plain_words(line)
         for at in range(0, max(1, len(line) - licenses.WINDOW // 2), licenses.WINDOW // 2):
             block = {*line[at:at + licenses.WINDOW]}

@@ -48,6 +48,9 @@ def test_base_spans_of_random_texts():
     ("visa card 4222222222222 ok", "card13:10:23"),
     ("number 4222222222222 ok", ""),
     ("her ssn is 123-45-6789.", "id:11:22"),
+    ("123-45-6789 is my SSN", "id:0:11"),
+    ("4222222222222 is my Visa card", "card13:0:13"),
+    ("123-45-6789" + " " * 41 + "SSN", ""),
     ("part 123-45-6789.", ""),
     ("call 555-123-4567 today", "local_phone:5:17"),
     ("codes 555-123-4567 today", ""),

@@ -93,6 +93,14 @@ def test_keep_one(docs_of):
         (0, "one two three four"), (3, "one two three four"), (7, ""), (9, "other words here now")]
 
 
+def test_keep_one_of_repeated_ids(docs_of):
+    rows = [(7, "one two three four"), (7, "five six seven eight"), (7, "five six seven eight"), (2, "one two three four"),
+            (9, "five six seven eight"), (4, None), (4, "nine ten eleven twelve")]
+    kept = simhash.keep_one(docs_of(rows)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [
+        (2, "one two three four"), (4, ""), (4, "nine ten eleven twelve"), (7, "five six seven eight")]
+
+
 def test_components_of_shapes(spark):
     rng = random.Random(8)
     chain = [(i, i + 1) for i in range(300)]

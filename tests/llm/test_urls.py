@@ -94,3 +94,24 @@ def test_targets_are_decoded_and_resolved(spark):
     ]
     got = {i: v[3] for i, v in _judge(spark, rows).items()}
     assert got == {i: "allow" if i in (13, 14, 15) else "block" for i in range(1, 17)}
+
+
+def test_forms_of_tags(spark):
+    to = "http://x.com/de/a"
+    forms = {
+        1: f"<link rel='alternate canonical' href='{to}'>", 2: f'<link rel="canonical nofollow" href={to}>',
+        3: f"<link href={to} rel=canonical>", 4: f"<link rel=canonical href={to} />",
+        5: f"<meta content='0;url={to}' http-equiv=refresh>", 6: f'<META HTTP-EQUIV=" Refresh " CONTENT="5; URL={to}">',
+        7: f"<!-- <link rel='canonical' href='{to}'> --><p>", 8: f"<!-- open <link rel='canonical' href='{to}'>",
+        9: f"<link rel='canonicals' href='{to}'>", 10: f"<link data-rel='x' title='canonical' href='{to}'>",
+        11: f"<!-- a --><link rel='canonical' href='{to}'><!-- b -->",
+    }
+    got = _judge(spark, [(i, f"http://p{i}.net/", h) for i, h in forms.items()])
+    assert {i: v[3] for i, v in got.items()} == {i: "allow" if i in (7, 8, 9, 10) else "block" for i in forms}
+
+
+def test_urls_without_a_host_are_no_nodes(spark):
+    blocked = '<link rel="canonical" href="http://x.com/de/a">'
+    rows = [(1, "http://", blocked), (2, None, blocked), (3, "no scheme", blocked), (4, None, None), (5, "http://#a", blocked),
+            (6, "http://y.net/", '<link rel="canonical" href="http://">')]
+    assert {v[3] for v in _judge(spark, rows).values()} == {"allow"}

@@ -63,6 +63,7 @@ TEMPLATES = {
     "dedicated to the public domain under cc0 1 0 universal": "cc0",
 }
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: all but ASCII letters, digits and characters outside ASCII, in lower-cased text
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -101,14 +102,11 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", phr
 
 
 def _rows(docs, id_col, text_col, phrases, templates, containment, across_lines) -> DataFrame:
-    """One row per document with all that is needed of its text.
-
-    ``lower`` also folds letters outside ASCII, but none of them becomes a
-    letter of a phrase on its own, and words stay words, so counts and places
-    are those of folding A-Z alone."""
+    """One row per document with all that is needed of its text."""
     vocabulary = sorted({w for t in templates for w in t.split()})
     least = min(_needed(t, containment) for t in templates)
-    text = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("low"))
+    text = docs.select(F.col(id_col).alias("id"), F.translate(
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _UPPER.lower()).alias("low"))
     text = text.withColumn("spaced", _spaced(F.col("low")))
     text = text.withColumn("n_words", F.when(F.col("spaced") == "", 0).otherwise(_spaces(F.col("spaced")) + 1).cast("long"))
     text = text.withColumn("norm", F.concat(F.lit(" "), "spaced", F.lit(" ")))

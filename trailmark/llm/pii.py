@@ -12,7 +12,7 @@ rejects is dropped and not tried again:
 
 Base spans always stay.  The method adds further kinds, whose score starts
 from the proposal, grows with a validator and with context words within
-``CONTEXT`` characters before the span, and must reach ``LEAST_SCORE``:
+``CONTEXT`` characters before or behind the span, and must reach ``LEAST_SCORE``:
 
 * ``iban``: country, check digits and account, confirmed by mod 97;
 * ``card13``: 13 digits that pass Luhn next to a card word;
@@ -112,21 +112,22 @@ def base_spans(text: str) -> list[Span]:
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans of the added kinds, disjoint from ``base`` and each other."""
-    def near(words, start: int) -> float:
-        return 0.4 if words.search(text, max(0, start - CONTEXT), start) else 0.0
+    def near(words, m) -> float:
+        before = words.search(text, max(0, m.start() - CONTEXT), m.start())
+        return 0.4 if before or words.search(text, m.end(), m.end() + CONTEXT) else 0.0
 
     scored = []
     for m in _IBAN.finditer(text):
         if len(bare := m[0].replace(" ", "")) <= 34 and mod97(bare):
-            scored.append((0.8 + near(_ACCOUNT_WORDS, m.start()) / 2, m.start(), "iban", m.end()))
+            scored.append((0.8 + near(_ACCOUNT_WORDS, m) / 2, m.start(), "iban", m.end()))
     for m in _THIRTEEN.finditer(text):
         if luhn(m[0]):
-            scored.append((0.4 + near(_CARD_WORDS, m.start()), m.start(), "card13", m.end()))
+            scored.append((0.4 + near(_CARD_WORDS, m), m.start(), "card13", m.end()))
     for m in _IDENTITY.finditer(text):
-        scored.append((0.3 + near(_IDENTITY_WORDS, m.start()), m.start(), "id", m.end()))
+        scored.append((0.3 + near(_IDENTITY_WORDS, m), m.start(), "id", m.end()))
     for m in _LOCAL_PHONE.finditer(text):
         if 7 <= len(_digits(m[0])) <= 12:
-            scored.append((0.3 + near(_PHONE_WORDS, m.start()), m.start(), "local_phone", m.end()))
+            scored.append((0.3 + near(_PHONE_WORDS, m), m.start(), "local_phone", m.end()))
     scored = sorted((s for s in scored if s[0] >= LEAST_SCORE), key=lambda s: (-s[0], s[1], KINDS.index(s[2])))
     kept: list[Span] = []
     if scored:

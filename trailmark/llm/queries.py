@@ -141,7 +141,7 @@ def _embedding_dedup_sql() -> str:
 def _urls_sql() -> str:
     rules = ", ".join(f"('{r.text}', '{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
     quoted = lambda pattern: pattern.replace("'", "''")
-    tag = lambda t, u: f"regexp_extract(regexp_extract(html, '{quoted(t)}'), '{quoted(u)}', 1)"
+    tag = lambda t, u: f"regexp_extract(regexp_extract(shown, '{quoted(t)}'), '{quoted(u)}', 1)"
     rest = "CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
     host = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     parts = f"""{host} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
@@ -149,7 +149,9 @@ def _urls_sql() -> str:
     return f"""
         WITH RECURSIVE rules AS (SELECT * FROM (VALUES {rules}) AS t(rule, verdict, h, p)),
         found AS (SELECT url AS source, unnest([{tag(urls.CANONICAL_TAG, urls.HREF)},
-                         {tag(urls.REFRESH_TAG, urls.REFRESH_URL)}]) AS t FROM pages WHERE url LIKE '%://%'),
+                         {tag(urls.REFRESH_TAG, urls.REFRESH_URL)}]) AS t
+                  FROM (SELECT url, regexp_replace(html, '{quoted(urls.COMMENT)}', '', 'g') AS shown FROM pages)
+                  WHERE url LIKE '%://%'),
         links AS (SELECT source, CASE WHEN t LIKE '%://%' THEN t
                          WHEN t LIKE '//%' THEN regexp_extract(source, '^[^:/?#]*:') || t
                          WHEN t LIKE '/%' THEN regexp_extract(source, '^[^:/?#]*://[^/?#]*') || t END AS target FROM found),
@@ -161,7 +163,9 @@ def _urls_sql() -> str:
                    FROM nodes LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
                    GROUP BY url),
         edges AS (SELECT a.key AS a, b.key AS b FROM links JOIN judged a ON a.url = source JOIN judged b ON b.url = target
-                  UNION SELECT b.key, a.key FROM links JOIN judged a ON a.url = source JOIN judged b ON b.url = target),
+                  WHERE a.key <> '' AND b.key <> ''
+                  UNION SELECT b.key, a.key FROM links JOIN judged a ON a.url = source JOIN judged b ON b.url = target
+                  WHERE a.key <> '' AND b.key <> ''),
         hit AS (SELECT DISTINCT key FROM judged JOIN edges ON key = a WHERE verdict = 'block'
                 UNION SELECT b FROM hit JOIN edges ON key = a)
         SELECT page_id, host, path, rule,
@@ -175,7 +179,8 @@ def _licenses_sql() -> str:
     templates = ", ".join(f"({sorted({*t.split()})}, '{x}')" for t, x in licenses.TEMPLATES.items())
     half = licenses.WINDOW // 2
     return f"""
-        WITH d AS (SELECT doc_id, row_number() OVER () AS row, lower(coalesce(text, '')) AS low FROM documents),
+        WITH d AS (SELECT doc_id, row_number() OVER () AS row,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
         w AS (SELECT doc_id, row, low, {words.format('low')} AS words FROM d),
         p AS (SELECT * FROM (VALUES {phrases}) AS t(phrase, label)),
         hits AS (SELECT row, label, unnest(list_filter(range(len(words)),

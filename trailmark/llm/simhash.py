@@ -123,12 +123,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents with one of each component, all columns unchanged: the
-    smallest id stays; of rows repeating that id the least in column order
-    stays.  Rows without an id cannot be named and stay."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("kept_id")).distinct()
-    named = docs.select(F.struct("*").alias("doc")).withColumn("kept_id", F.col("doc")[id_col])
+    smallest id stays.  An id names the rows that share its text: of rows
+    that repeat both, the least in column order stays, and rows of one id
+    with other texts stay or go with their own components.  Rows without an
+    id cannot be named and stay."""
+    digest = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    # rows without an id come last, so that they name no component with others in it
+    name = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), digest.alias("digest"))
+    found = near_duplicates(docs.select(name.alias("name"), F.col(text_col).alias("text")), id_col="name", text_col="text", **how)
+    kept = found.where((F.col("name") == F.col("component_id")) & ~F.col("name.unnamed")).select("name").distinct()
+    named = docs.select(F.struct("*").alias("doc"), name.alias("name"))
     ordered = [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant", "struct", "array")]
-    one = (named.join(kept, "kept_id", "left_semi").groupBy("kept_id")
+    one = (named.join(kept, "name", "left_semi").groupBy("name")
            .agg(F.min_by("doc", F.struct(*(F.col("doc")[c] for c in ordered))).alias("doc")).select("doc.*"))
     return one.unionByName(docs.where(F.col(id_col).isNull()))

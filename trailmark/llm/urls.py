@@ -13,7 +13,9 @@ url of its component is blocked by a rule, and else allowed.  An explicit
 allow takes precedence for the page it fits.
 
 Defined cases: a null url, or one without ``://``, has an empty host and
-path, fits no rule and is allowed; null html has no links; the common
+path, fits no rule and is allowed, and so is one with nothing behind it: they
+are no nodes; null html has no links, tags in comments are none; ``rel`` may
+hold several names; the common
 character references of targets are decoded and relative targets (of host,
 path or query) resolved against the page's url, targets of schemes without
 ``://`` are ignored; repeated rows
@@ -33,8 +35,10 @@ from .components import connected_components
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Where a page names its canonical url or redirects at once
-CANONICAL_TAG = r"(?i)<link\s[^>]*rel\s*=\s*[\"']?canonical[\"'\s/>][^>]*>|<link\s[^>]*rel\s*=\s*[\"']?canonical>"
-REFRESH_TAG = r"(?i)<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh[\"'\s][^>]*>"
+CANONICAL_TAG = (r"""(?i)<link\s(?:[^>]*\s)?rel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"[^>]*>"""
+                 r"""|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'[^>]*>|canonical(?:[\s/][^>]*)?>)""")
+REFRESH_TAG = r"""(?i)<meta\s(?:[^>]*\s)?http-equiv\s*=\s*(?:["']\s*refresh\s*["'][^>]*>|refresh(?:[\s/][^>]*)?>)"""
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 HREF = r"(?i)\shref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH_URL = r"(?i)url\s*=\s*[\"']?([^\"'\s>]+)"
 
@@ -110,8 +114,10 @@ def targets(url: Column, html: Column) -> Column:
                 .when(t.startswith("/"), F.concat(base, _without_dots(path), rest))
                 .when(~t.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.concat(base, _without_dots(F.concat(folder, path)), rest)))
 
+    shown = F.regexp_replace(html, COMMENT, "")
+
     def named(tag: str, link: str) -> Column:
-        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)),
+        return F.transform(F.regexp_extract_all(shown, F.lit(tag), F.lit(0)),
                            lambda t: resolved(_decoded(F.regexp_extract(t, link, 1))))
 
     return F.array_compact(F.concat(named(CANONICAL_TAG, HREF), named(REFRESH_TAG, REFRESH_URL)))
@@ -130,7 +136,8 @@ def judge(pages: DataFrame, rules: list[Rule], *, id_col: str = "page_id", url_c
     if redirects is not None:
         links = links.unionByName(redirects.select("source", "target"))
     ends = (links.where("instr(source, '://') > 0 and instr(target, '://') > 0")
-            .select(resource(F.col("source")).alias("a"), resource(F.col("target")).alias("b")).distinct())
+            .select(resource(F.col("source")).alias("a"), resource(F.col("target")).alias("b"))
+            .where("a != '' and b != ''").distinct())
     parts = materialize(connected_components(ends))
     node_host = F.regexp_extract("node", r"^[^/?]*", 0)
     node_path = F.regexp_extract("node", r"^[^/?]*([^?]*)", 1)
