@@ -33,16 +33,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group."""
+    """The document with the smallest id of each group; rows that repeat an
+    id with another text stay or go with their own group."""
     return simhash.keep_one(docs, shingle=3, max_bits=2)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without personal data; the lengths of changed texts are counted anew."""
-    clean = docs.withColumn("clean", pii.redacted("text"))
-    length = F.when(F.col("clean") == F.col("text"), F.col("n_chars")).otherwise(F.length("clean"))
-    return (clean.withColumn("n_chars", F.coalesce(length, "n_chars").cast("long"))
-            .withColumn("text", F.col("clean")).select(*docs.columns))
+    clean = pii.redacted("text")
+    length = F.when(clean == F.col("text"), F.col("n_chars")).otherwise(F.length(clean))
+    new = {"text": clean.alias("text"), "n_chars": F.coalesce(length, "n_chars").cast("long").alias("n_chars")}
+    return docs.select(*(new.get(c, F.col(f"`{c}`")) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,8 +79,21 @@ def test_every_streamed_row_is_written(spark, tmp_path, job, kind, more, waiting
 def test_rows_are_printed_by_the_executors(spark, tmp_path, monkeypatch):
     from trailmark.sources import sinks
     seen = []
-    monkeypatch.setattr(sinks, "print_rows", lambda df, label: seen.append((label, df.count())))
+    # all outputs in one pass, each row under its own label
+    monkeypatch.setattr(sinks, "print_rows", lambda df, label_col: seen.append(
+        {r[label_col]: r["count"] for r in df.groupBy(label_col).count().collect()}))
     logs = _logs(tmp_path)
     cli.main(["tx-match", "--input", logs["order"], "--receipts", logs["receipt"]])
-    assert [s[0] for s in seen] == ["matched ", "pay unmatched", "receipt unmatched"]
-    assert sum(s[1] for s in seen) > 1000
+    assert [{*s} for s in seen] == [{"matched ", "pay unmatched", "receipt unmatched"}]
+    assert sum(seen[0].values()) > 1000
+
+
+def test_bound_and_one_to_one_options(spark, tmp_path):
+    argv = ["tx-match", "--input", os.path.join(DATA, "order_log.csv"), "--receipts", os.path.join(DATA, "receipt_log.csv"),
+            "--out"]
+    wide = cli.main([*argv, str(tmp_path / "w"), "--bound", "1 hour", "--one-to-one"])
+    narrow = cli.main([*argv, str(tmp_path / "n"), "--one-to-one"])
+    count = lambda df: df.where("status = 'matched'").count()
+    assert (count(wide), count(narrow)) == (38, 5)
+    with pytest.raises(SystemExit):
+        cli.main(["page-views", "--input", "x", "--bound", "1 second"])

@@ -1,6 +1,10 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from trailmark.operators import matching
+from trailmark.operators.one_to_one import reconcile_one_to_one
 from trailmark.plans import jobs
 
 
@@ -79,3 +83,55 @@ def test_reconcile_with_null_keys_and_times(spark):
              + matching.unmatched(pays, receipts, side="left", **args).count()
              + matching.unmatched(pays, receipts, side="right", **args).count())
     assert whole == got.count() == 7
+
+
+def _two_pointers(pays, receipts, bound):
+    out, i, j = [], 0, 0
+    while i < len(pays) or j < len(receipts):
+        if i < len(pays) and j < len(receipts) and abs(pays[i][0] - receipts[j][0]) <= bound:
+            out.append((pays[i][1], receipts[j][1], "matched"))
+            i, j = i + 1, j + 1
+        elif j >= len(receipts) or (i < len(pays) and pays[i][0] < receipts[j][0]):
+            out.append((pays[i][1], None, "unmatched_pay"))
+            i += 1
+        else:
+            out.append((None, receipts[j][1], "unmatched_receipt"))
+            j += 1
+    return out
+
+
+_ONE = dict(left_key="k", right_key="k", left_ts="t", right_ts="t", left_seq="id", right_seq="id",
+            left_carry=["id"], right_carry=["id"])
+
+
+@pytest.mark.parametrize("bound, factor", [(5, 1), (5, 4), (0, 4), (60, 2)])
+def test_one_to_one_against_a_walk_of_each_key(spark, bound, factor):
+    rng = random.Random(bound + factor)
+    # keys from sparse to dense, one with many pays per receipt, one with equal times
+    sides = {0: [], 1: []}
+    for key, span, counts in ((1, 900, (60, 60)), (2, 300, (200, 200)), (3, 2000, (400, 20)), (4, 40, (90, 90)), (5, 90000, (30, 30)),
+                              (6, 10, (0, 9)), (7, 3000, (700, 690))):
+        for side, n in enumerate(counts):
+            sides[side] += [(key, rng.randrange(-span, span), f"{key}-{side}-{i:04d}") for i in range(n)]
+    left, right = (spark.createDataFrame(rows, "k long, t long, id string").repartition(5) for rows in sides.values())
+    got = reconcile_one_to_one(left, right, bound=f"{bound} seconds", block_factor=factor, **_ONE)
+    want = [x for key in range(1, 8) for x in _two_pointers(
+        *(sorted((t, i) for k, t, i in sides[s] if k == key) for s in (0, 1)), bound)]
+    assert sorted(map(repr, ((r.pay_id, r.receipt_id, r.status) for r in got.collect()))) == sorted(map(repr, want))
+
+
+def test_one_to_one_golden_and_nulls(spark, logs):
+    rec = jobs.tx_match(logs["order"], logs["receipt"], one_to_one=True)
+    assert {r["status"]: r["count"] for r in rec.groupBy("status").count().collect()} == {
+        "matched": 5, "unmatched_pay": 35, "unmatched_receipt": 35}
+    assert rec.columns == jobs.tx_match(logs["order"], logs["receipt"]).columns
+    schema = "k string, t long, id long"
+    pays = spark.createDataFrame([("a", 10, 1), ("a", 11, 2), (None, 10, 3), ("b", None, 4), ("a", 99, 5)], schema)
+    receipts = spark.createDataFrame([("a", 12, 6), (None, 10, 7), ("c", 1, 8)], schema)
+    got = reconcile_one_to_one(pays, receipts, **_ONE)
+    assert sorted((r.status, r.pay_id or 0, r.receipt_id or 0) for r in got.collect()) == [
+        ("matched", 1, 6), ("unmatched_pay", 2, 0), ("unmatched_pay", 3, 0), ("unmatched_pay", 4, 0), ("unmatched_pay", 5, 0),
+        ("unmatched_receipt", 0, 7), ("unmatched_receipt", 0, 8)]
+    assert reconcile_one_to_one(pays.limit(0), receipts.limit(0), **_ONE).count() == 0
+    with pytest.raises(ValueError):
+        jobs.tx_match(logs["order"], logs["receipt"], upper="6 seconds", one_to_one=True)

@@ -340,6 +340,53 @@ def test_stream_running_unique_per_event_equals_batch(spark):
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def test_stream_running_unique_drops_rows_of_closed_windows(spark):
+    """All rows drive the watermark, also those that do not count; a row of a
+    closed window gives no row and no count, a replayed batch counts once."""
+    seen = tempfile.mkdtemp(prefix="tm-seen-") + "/seen"
+    got = []
+    run = sw.running_unique_each_batch(seen_table=seen, user="user_id", ts="ts_s", seq="seq", keep=["seq"], forget="1 day",
+                                       only=F.col("behavior") == "pv", sink=lambda df, i: got.append(
+                                           sorted((r.seq, r.uv_count) for r in df.collect())))
+    batch = lambda rows: spark.createDataFrame(rows, "user_id long, ts_s long, behavior string, seq long")
+    hour = 3600
+    batches = [
+        [(1, 10, "pv", 1), (2, 20, "pv", 2), (1, 30, "pv", 3)],
+        [(3, 40, "pv", 4), (4, hour, "buy", 5)],             # the second closes nothing: 1 ms too early
+        [(5, 50, "pv", 6), (9, 2 * hour, "buy", 7)],         # now the watermark is at 2 h less 1 ms
+        [(6, 60, "pv", 8), (6, hour + 5, "pv", 9), (6, 2 * hour + 1, "pv", 10)],  # the first hour is closed
+        [(7, 70, "pv", 11), (7, 60 * hour, "pv", 12)],
+        [(8, 80, "pv", 13), (8, 3 * hour, "pv", 14)],
+        [(None, None, "pv", 15)],
+    ]
+    for i, rows in enumerate(batches):
+        run(batch(rows), i)
+        if i == 1:
+            run(batch(rows), i)
+    assert got[:6] == [[(1, 1), (2, 2), (3, 2)], [(4, 3)], [(4, 3)], [(6, 4)], [(9, 1), (10, 1)], [(12, 1)]]
+    assert got[6:] in ([], [[]])  # two days back: all closed
+
+
+def test_one_timer_a_key(spark):
+    """Open starts of one key time out at their own deadlines, over triggers."""
+    d, name = tempfile.mkdtemp(prefix="tm-timer-"), "timer" + uuid.uuid4().hex[:6]
+    src = wm.ascending(logs.read_log_stream(spark, "order", d, seq="seq", maxFilesPerTrigger=1), "ts_s")
+    found = sp.stream_followed_by(src, key="order_id", seq="seq", first=F.col("event_type") == "create",
+                                  second=F.col("event_type") == "pay", within="10 seconds")
+    q = sinks.write_stream(found.select("order_id", "status", "first_t", "second_t"), name, fmt="memory",
+                           checkpoint=tempfile.mkdtemp(prefix="tm-ck-"))
+    try:
+        for i, chunk in enumerate([["1,create,,100", "1,create,,104", "1,other,,105"], ["1,create,,109", "2,other,,111"],
+                                   ["1,pay,x,112", "2,create,,113"], ["9,other,,130"], ["9,other,,131"]]):
+            with open(os.path.join(d, f"{i:03d}"), "w") as f:
+                f.write("\n".join(chunk) + "\n")
+            q.processAllAvailable()
+        got = sorted((r.order_id, r.status, r.first_t // 1000, r.second_t and r.second_t // 1000) for r in spark.table(name).collect())
+    finally:
+        q.stop()
+    assert got == [(1, "matched", 104, 112), (1, "matched", 109, 112), (1, "timeout", 100, None), (2, "timeout", 113, None)]
+
+
 def test_stream_job_plans(spark):
     from trailmark.plans import streams
     d = _folder(("login", _read("login_log.csv") + ["1,0.0.0.0,success,1558500000"]))

@@ -6,7 +6,7 @@
     python -m trailmark.cli unique-visitors [--bitmap] --input behavior.csv
     python -m trailmark.cli login-fail  --input logins.csv [--within "2 seconds"]
     python -m trailmark.cli order-timeout --input orders.csv [--within "15 minutes"]
-    python -m trailmark.cli tx-match    --input orders.csv --receipts receipts.csv
+    python -m trailmark.cli tx-match    --input orders.csv --receipts receipts.csv [--bound "5 seconds"] [--one-to-one]
     python -m trailmark.cli tx-join     --input orders.csv --receipts receipts.csv
 
 Batch mode reads the files whole; ``--stream`` treats ``--input`` (and
@@ -61,8 +61,12 @@ def _batch(spark, args):
     if job == "order-timeout":
         return jobs.order_timeout(read("order", args.input), within=args.within or "15 minutes")
     if job == "tx-match":
-        return jobs.tx_match(read("order", args.input), read("receipt", args.receipts))
-    return jobs.tx_interval_join(read("order", args.input), read("receipt", args.receipts))
+        return jobs.tx_match(read("order", args.input), read("receipt", args.receipts), one_to_one=args.one_to_one, **_band(args))
+    return jobs.tx_interval_join(read("order", args.input), read("receipt", args.receipts), **_band(args))
+
+
+def _band(args) -> dict:
+    return {"lower": f"-{args.bound}", "upper": args.bound} if args.bound else {}
 
 
 def _stream(spark, args, sink, state):
@@ -84,8 +88,8 @@ def _stream(spark, args, sink, state):
     if job == "order-timeout":
         return *streams.order_timeout(spark, args.input, within=args.within or "15 minutes"), "append"
     if job == "tx-match":
-        return *streams.tx_match(spark, args.input, args.receipts), "append"
-    return *streams.tx_interval_join(spark, args.input, args.receipts), "append"
+        return *streams.tx_match(spark, args.input, args.receipts, bound=args.bound or "5 seconds"), "append"
+    return *streams.tx_interval_join(spark, args.input, args.receipts, **_band(args)), "append"
 
 
 def _labelled(df: DataFrame, job: str) -> DataFrame:
@@ -101,8 +105,7 @@ def _show(df: DataFrame, args, label: str) -> None:
     if args.preview:
         df.show(args.preview, truncate=False)
     elif args.job in OUTPUTS:
-        for name in OUTPUTS[args.job][1].values():
-            sinks.print_rows(df.where(F.col("output") == name).drop("output"), name)
+        sinks.print_rows(df, label_col="output")
     else:
         sinks.print_rows(df, label)
 
@@ -119,6 +122,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--receipts")
     ap.add_argument("--n", type=int)
     ap.add_argument("--within")
+    ap.add_argument("--bound", help="how far a pay and a receipt may be apart")
+    ap.add_argument("--one-to-one", action="store_true", help="use every row at most once (always so with --stream)")
     ap.add_argument("--bitmap", action="store_true")
     ap.add_argument("--stream", action="store_true")
     ap.add_argument("--available-now", action="store_true", help="with --stream: stop when all files there are read")
@@ -132,7 +137,8 @@ def _checked(argv):
     ap = parser()
     args = ap.parse_args(argv)
     for given, jobs_of in ((args.within, ("login-fail", "order-timeout")), (args.bitmap, ("unique-visitors",)),
-                           (args.n, ("hot-items", "hot-urls")), (args.receipts, ("tx-match", "tx-join"))):
+                           (args.n, ("hot-items", "hot-urls")), (args.receipts, ("tx-match", "tx-join")), (args.bound, ("tx-match", "tx-join")),
+                           (args.one_to_one, ("tx-match",))):
         if given and args.job not in jobs_of:
             ap.error(f"an option of {', '.join(jobs_of)} does not apply to {args.job}")
     if args.job in ("tx-match", "tx-join") and not args.receipts:

@@ -30,6 +30,22 @@ def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
+TRIGGERS = 3
+
+
+def _source_in_parts(spark: SparkSession, sf_dir: str, place: str) -> DataFrame:
+    """``events`` cut at two times into files, one for each trigger."""
+    rows = events(spark, sf_dir)
+    us = epoch_micros(rows, "ts")
+    low, high = rows.select(F.min(us), F.max(us)).first()
+    step = ((high or 0) - (low or 0)) // TRIGGERS + 1
+    for i in range(TRIGGERS):
+        own = rows.where((us >= (low or 0) + i * step) & (us < (low or 0) + (i + 1) * step))
+        own.coalesce(1).write.mode("append").parquet(f"{place}/in")
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false")
+            .parquet(f"{place}/in"))
+
+
 def _of_type(stream: DataFrame, kind: str) -> DataFrame:
     """Events of one type; all events drive the watermark."""
     return wm.where_behind(wm.ascending(stream, "ts"), F.col("event_type") == kind)
@@ -76,8 +92,8 @@ def stream_unique_visitors(spark, sf_dir):
 def stream_running_unique(spark, sf_dir):
     """A5 on a stream: one row per view with the bitmap count so far."""
     place = _place(spark, "running")
-    views = _of_type(_source(spark, sf_dir), "view")
-    each = sw.running_unique_each_batch(seen_table=f"{place}/seen", user="user_id", ts="ts", seq=F.col("event_id"),
+    views = wm.ascending(_source_in_parts(spark, sf_dir, place), "ts")
+    each = sw.running_unique_each_batch(only=F.col("event_type") == "view", seen_table=f"{place}/seen", user="user_id", ts="ts", seq=F.col("event_id"),
                                         keep=["event_id"], sink=sinks.append_batches(f"{place}/out"))
     _run(views, place, each_batch=each)
     return _result(spark, place, "window_end long, event_id long, uv_count long")
@@ -108,7 +124,7 @@ def stream_late_counts(spark, sf_dir):
 def stream_login_fail(spark, sf_dir):
     """C1, ST1 to ST3 on a stream: error directly followed by error, < 1 h."""
     place = _place(spark, "login")
-    source = wm.bounded_out_of_order(_source(spark, sf_dir), "ts", "5 seconds")
+    source = wm.bounded_out_of_order(_source_in_parts(spark, sf_dir, place), "ts", "5 seconds")
     is_error = F.col("event_type") == "error"
     pairs = sp.stream_strict_next(source, key="user_id", seq="event_id", first=is_error, second=is_error,
                                   within="1 hour")
@@ -119,7 +135,7 @@ def stream_login_fail(spark, sf_dir):
 def stream_order_results(spark, sf_dir):
     """C3 to C6, ST1 to ST3 on a stream: signup followed by purchase, < 24 h."""
     place = _place(spark, "order")
-    source = wm.ascending(_source(spark, sf_dir), "ts")
+    source = wm.ascending(_source_in_parts(spark, sf_dir, place), "ts")
     found = sp.stream_followed_by(source, key="user_id", seq="event_id", first=F.col("event_type") == "signup",
                                   second=F.col("event_type") == "purchase", within="24 hours")
     _run(sp.stream_order_results(found).select("user_id", "first_t", "second_t", "result_msg"), place)
@@ -149,9 +165,23 @@ def stream_tx_reconcile(spark, sf_dir):
     return _result(spark, place, "pay_event_id long, receipt_event_id long, status string")
 
 
+def stream_tx_match(spark, sf_dir):
+    """J3 on a stream with its own form of state (ST2): click and purchase of
+    a user within 60 min, each row used at most once."""
+    place = _place(spark, "match")
+    source = _source_in_parts(spark, sf_dir, place)
+    pays, receipts = _of_type(source, "click"), _of_type(source, "purchase")
+    found = sp.stream_reconcile_one_to_one(pays, receipts, key="user_id", seq="event_id", bound="60 minutes",
+                                           pay_carry=["event_id"], receipt_carry=["event_id"])
+    number = lambda c: F.get_json_object(c, "$.event_id").cast("long")
+    _run(found.select(number("pay_payload").alias("pay_event_id"), number("receipt_payload").alias("receipt_event_id"),
+                      "status"), place)
+    return _result(spark, place, "pay_event_id long, receipt_event_id long, status string")
+
+
 QUERIES = {f.__name__: f for f in (
     stream_hot_items_topn, stream_unique_visitors, stream_running_unique, stream_late_counts, stream_login_fail,
-    stream_order_results, stream_tx_interval_join, stream_tx_reconcile)}
+    stream_order_results, stream_tx_interval_join, stream_tx_reconcile, stream_tx_match)}
 
 # Watermarks are in milliseconds: the newest event's, less the delay.
 _MS = "(epoch_us(ts::timestamp) // 1000)"
@@ -198,6 +228,11 @@ ORACLE_SQL = {
         SELECT user_id, first_t, second_t,
                CASE WHEN second_t IS NULL THEN 'timeout' ELSE 'payed successfully' END AS result_msg
         FROM r WHERE coalesce(second_t, first_t + 86400000) <= {_watermark(1)}""",
+    # a row stays alone once the watermark has passed all it could meet
+    "stream_tx_match": f"""
+        SELECT pay_event_id, receipt_event_id, status FROM ({BATCH_SQL["tx_match_one_to_one"]})
+        WHERE status = 'matched' AND greatest(pay_ts_us, receipt_ts_us) // 1000 <= {_watermark(1)}
+           OR status <> 'matched' AND coalesce(pay_ts_us, receipt_ts_us) // 1000 + 3600000 <= {_watermark(1)}""",
     "stream_running_unique": BATCH_SQL["running_unique_visitors"],
     # rows without partner are final when the watermark has passed all they could meet
     "stream_tx_reconcile": f"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions import time as tf
 from trailmark.functions.time import epoch_micros
-from trailmark.operators import filters, matching, patterns, topn, uniques, windows
+from trailmark.operators import filters, matching, one_to_one, patterns, topn, uniques, windows
 from trailmark.sources import logs
 
 VIEW = "view"
@@ -182,8 +182,13 @@ def tx_reconcile(spark, sf_dir):
     return matching.reconcile(pays, receipts, **_TX)
 
 
-# Each single output of the reconciliation has its own one-join plan; the full
-# result (all three at once) is one full outer join in tx_reconcile.
+def tx_match_one_to_one(spark, sf_dir):
+    pays, receipts = _tx_sides(spark, sf_dir)
+    how = {k: v for k, v in _TX.items() if k not in ("lower", "upper")}
+    return one_to_one.reconcile_one_to_one(pays, receipts, bound="60 minutes", left_seq="event_id", right_seq="event_id", **how)
+
+
+# Each single output of the reconciliation has its own one-join plan.
 
 def tx_matched(spark, sf_dir):
     pays, receipts = _tx_sides(spark, sf_dir)
@@ -305,6 +310,7 @@ QUERIES = {
     "order_results": order_results,
     "tx_interval_join": tx_interval_join,
     "tx_reconcile": tx_reconcile,
+    "tx_match_one_to_one": tx_match_one_to_one,
     "tx_matched": tx_matched,
     "tx_unmatched_pays": tx_unmatched_pays,
     "tx_unmatched_receipts": tx_unmatched_receipts,

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.operators import filters, matching, patterns, topn, uniques, windows
+from trailmark.operators.durations import duration_micros
+from trailmark.operators.one_to_one import reconcile_one_to_one
 
 
 def hot_items(behavior: DataFrame, *, n: int = 3, size="1 hour", slide="5 minutes",
@@ -86,10 +88,17 @@ def _tx_kwargs(lower, upper):
 
 
 def tx_match(orders: DataFrame, receipts: DataFrame, *, lower="-5 seconds",
-             upper="5 seconds") -> DataFrame:
+             upper="5 seconds", one_to_one: bool = False) -> DataFrame:
     """J-H: pays reconciled with receipts: ``status`` matched /
-    unmatched_pay / unmatched_receipt."""
+    unmatched_pay / unmatched_receipt.  With ``one_to_one`` (and the same
+    bound on both sides) every row is used at most once, as the reference's
+    keyed state does; both take a ``seq`` column for equal seconds."""
     pays = filters.filter_nonempty_key(orders, "tx_id")
+    if one_to_one:
+        how = _tx_kwargs(lower, upper)
+        if duration_micros(how.pop("lower")) != -duration_micros(how.pop("upper")):
+            raise ValueError("one_to_one needs the same bound on both sides")
+        return reconcile_one_to_one(pays, receipts, bound=upper, left_seq="seq", right_seq="seq", **how)
     return matching.reconcile(pays, receipts, **_tx_kwargs(lower, upper))
 
 

@@ -83,6 +83,26 @@ _TX_RECONCILE = f"""
   SELECT r.user_id, NULL::BIGINT, NULL::BIGINT, r.event_id, r.t, 'unmatched_receipt'
   FROM {_RECEIPTS} r WHERE NOT EXISTS (SELECT 1 FROM {_PAYS} p WHERE {_BAND})"""
 
+# two pointers a key: the rows under them match, else the earlier one stays alone
+_ONE_TO_ONE = f"""
+  WITH RECURSIVE p AS (SELECT user_id, list(event_id ORDER BY t, event_id) AS pid, list(t ORDER BY t, event_id) AS pt
+                       FROM {_PAYS} p GROUP BY user_id),
+  r AS (SELECT user_id, list(event_id ORDER BY t, event_id) AS rid, list(t ORDER BY t, event_id) AS rt
+        FROM {_RECEIPTS} r GROUP BY user_id),
+  k AS (SELECT user_id, coalesce(pid, []) AS pid, coalesce(pt, []) AS pt, coalesce(rid, []) AS rid, coalesce(rt, []) AS rt
+        FROM p FULL JOIN r USING (user_id)),
+  w AS (
+    SELECT user_id, 0::BIGINT AS i, 0::BIGINT AS j, 0::BIGINT AS di, 0::BIGINT AS dj FROM k
+    UNION ALL
+    SELECT user_id, i + CASE WHEN i < len(pt) AND (j >= len(rt) OR pt[i + 1] <= rt[j + 1] + 3600000000) THEN 1 ELSE 0 END,
+           j + CASE WHEN j < len(rt) AND (i >= len(pt) OR rt[j + 1] <= pt[i + 1] + 3600000000) THEN 1 ELSE 0 END, i, j
+    FROM w JOIN k USING (user_id) WHERE i < len(pt) OR j < len(rt)),
+  o AS (SELECT user_id, CASE WHEN i > di THEN pid[i] END AS pay_event_id, CASE WHEN i > di THEN pt[i] END AS pay_ts_us,
+               CASE WHEN j > dj THEN rid[j] END AS receipt_event_id, CASE WHEN j > dj THEN rt[j] END AS receipt_ts_us
+        FROM w JOIN k USING (user_id) WHERE i + j > 0)
+  SELECT *, CASE WHEN receipt_event_id IS NULL THEN 'unmatched_pay' WHEN pay_event_id IS NULL THEN 'unmatched_receipt'
+            ELSE 'matched' END AS status FROM o"""
+
 _TX_IDS = "CASE WHEN event_type = 'purchase' THEN 'tx' || event_id ELSE '' END"
 
 ORACLE_SQL = {
@@ -126,6 +146,7 @@ ORACLE_SQL = {
     "order_timeout": f"SELECT * FROM ({_ORDER_OUTCOMES}) WHERE result_msg = 'timeout'",
     "tx_interval_join": _TX_JOIN,
     "tx_reconcile": _TX_RECONCILE,
+    "tx_match_one_to_one": _ONE_TO_ONE,
     "tx_matched": f"SELECT * FROM ({_TX_RECONCILE}) WHERE status = 'matched'",
     "tx_unmatched_pays": f"SELECT * FROM ({_TX_RECONCILE}) WHERE status = 'unmatched_pay'",
     "tx_unmatched_receipts":

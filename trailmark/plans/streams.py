@@ -75,9 +75,10 @@ def unique_visitors(spark, path, *, bitmap: bool = False):
 
 def running_unique_visitors(spark, path, *, table: str, sink: Sink):
     """J-E: one row per view with the bitmap count so far.  ``table`` is the
-    path of the offsets seen; windows older than a day leave it."""
-    return _views(spark, path), sw.running_unique_each_batch(
-        seen_table=table, user="user_id", ts="ts_s", seq=F.col("seq"), keep=["user_id", "ts_s", "seq"],
+    path of the offsets seen; windows older than a day leave it.  All rows
+    drive the watermark, rows of closed windows are dropped."""
+    return wm.ascending(_read(spark, "behavior", path), "ts_s"), sw.running_unique_each_batch(
+        seen_table=table, only=F.col("behavior") == "pv", user="user_id", ts="ts_s", seq=F.col("seq"), keep=["user_id", "ts_s", "seq"],
         forget="1 day", sink=sink)
 
 

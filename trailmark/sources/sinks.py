@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def print_rows(df: DataFrame, label: str) -> None:
-    """Print every row as ``label> {json}``.  The rows are printed where they
+def print_rows(df: DataFrame, label: str | None = None, *, label_col: str | None = None) -> None:
+    """Print every row as ``label> {json}``, all under one label or each
+    under that of its column ``label_col``, in one pass.  The rows are printed where they
     are, by the executors (their standard error, as Spark's Python workers
     keep it); nothing is collected and nothing is left out."""
     def show(rows) -> None:
         for row in rows:
-            print(f"{label}> {row[0]}", file=sys.stderr, flush=True)
-    df.select(F.to_json(F.struct("*"))).foreachPartition(show)
+            print(f"{row[0]}> {row[1]}", file=sys.stderr, flush=True)
+    name = F.lit(label) if label_col is None else F.col(label_col)
+    df.select(name, F.to_json(F.struct(*[F.col(c) for c in df.columns if c != label_col]))).foreachPartition(show)
 
 
 def write_stream(df: DataFrame, label: str, *, fmt: str = "print", output_mode: str = "append",

@@ -10,10 +10,11 @@ One processor per key holds two list states:
   arrival are late and dropped (E6).
 * ``pend`` - open partial matches waiting for a partner or their deadline.
 
-Timers (event time) are registered on input, at the row's time and at its
-deadline, so that the key is visited when the watermark passes either; a
-visit feeds every buffered row up to the watermark and then expires what
-waits longer than the bound.
+A key has one timer (event time): at its earliest buffered row or, when
+that comes first, at its earliest deadline.  When the watermark passes it the
+key is visited once: the visit feeds every buffered row up to the watermark,
+expires what waits longer than the bound and sets the next timer, which then
+lies behind the watermark.
 
 Rows enter as (t ms, seq, tag, payload) where ``payload`` is JSON of the
 carried columns; outputs carry the payloads of both sides.
@@ -35,9 +36,9 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from trailmark.functions.text import ORDER_PAID_MESSAGE, ORDER_TIMEOUT_MESSAGE
 from trailmark.operators.durations import duration_micros
-from trailmark.streaming.watermarks import EVENT_TIME
+from trailmark.streaming.watermarks import EVENT_TIME, where_behind
 
-MARK_SCHEMA = StructType([StructField("wm", LongType())])
+DUE_SCHEMA = StructType([StructField("at", LongType())])
 ROW_SCHEMA = StructType([StructField("t", LongType()), StructField("seq", StringType()),
                          StructField("tag", IntegerType()), StructField("payload", StringType())])
 
@@ -57,9 +58,7 @@ class _OrderedPattern(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buf", ROW_SCHEMA)
         self.pend = handle.getListState("pend", ROW_SCHEMA)
-        # watermark up to which the key was already fed: the other timers of
-        # the key expiring in the same batch return at once (no re-read)
-        self.mark = handle.getValueState("mark", MARK_SCHEMA)
+        self.due = handle.getValueState("due", DUE_SCHEMA)  # when the key's timer expires
 
     # --- subclass hooks ---------------------------------------------------------
     def feed(self, key, row, pend: list, out: list) -> None:
@@ -80,20 +79,23 @@ class _OrderedPattern(StatefulProcessor):
             if wm >= 0 and t <= wm:
                 continue  # late
             fresh.append((t, r["seq"], int(r["tag"]), r["payload"]))
-            self.handle.registerTimer(t)
-            d = self.deadline(fresh[-1])
-            if d is not None:
-                self.handle.registerTimer(d)
         if fresh:
             self.buf.appendList(fresh)
+            first = min(r[0] for r in fresh)
+            due = self.due.get()[0] if self.due.exists() else None
+            if due is None or first < due:
+                self._set_timer(first, due)
         return iter([])
 
+    def _set_timer(self, at: int, before: int | None) -> None:
+        if before is not None:
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(at)
+        self.due.update((at,))
+
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
-        if self.mark.exists() and self.mark.get()[0] >= wm:
-            return iter([])
-        self.mark.update((wm,))
         buf = list(self.buf.get()) if self.buf.exists() else []
         pend = list(self.pend.get()) if self.pend.exists() else []
         ready = sorted((r for r in buf if r[0] <= wm), key=lambda r: (r[0], r[1]))
@@ -108,8 +110,11 @@ class _OrderedPattern(StatefulProcessor):
         self.pend.clear()
         if pend:
             self.pend.put(pend)
-        if not keep and not pend:
-            self.mark.clear()  # nothing waits: the key leaves no state behind
+        times = [r[0] for r in keep] + [d for p in pend if (d := self.deadline(p)) is not None]
+        if times:
+            self._set_timer(min(times), None)
+        else:
+            self.due.clear()  # nothing waits: the key leaves no state behind
         return iter(out)
 
     def close(self) -> None:
@@ -263,6 +268,8 @@ def stream_followed_by(events: DataFrame, *, key, seq=None, first, second, withi
     keys = [key] if isinstance(key, str) else list(key)
     tag = (F.when(first, TAG_FIRST).otherwise(0) + F.when(second, TAG_SECOND).otherwise(0))
     tagged = _tagged(events, key=keys, seq=seq, tag=tag, carry=list(carry), event_time=event_time)
+    # other events are skipped by followed-by: they drive the watermark, but reach no key's state
+    tagged = where_behind(tagged, F.col("tag") != 0, event_time=event_time)
     return _run(tagged, keys, FollowedByProcessor(within),
                 [StructField("status", StringType()), StructField("first_t", LongType()),
                  StructField("first_payload", StringType()), StructField("second_t", LongType()),

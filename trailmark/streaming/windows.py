@@ -11,14 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import gcd
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions.hashing import DEFAULT_CAP, DEFAULT_SEED
+from trailmark.functions.time import epoch_micros
 from trailmark.operators import topn
 from trailmark.operators.durations import duration_micros, spark_interval
 from trailmark.operators.uniques import user_offset
 from trailmark.session import child_names, delete_path, path_exists, written_once
+from trailmark.sources.sinks import append_batches
 from trailmark.streaming.watermarks import EVENT_TIME, window_end_millis
 
 
@@ -157,11 +159,23 @@ def _expire(spark, table: str, window_col: str, before: int) -> None:
             delete_path(spark, f"{table}/{name}")
 
 
+def _newest_before(spark, path: str, batch_id: int) -> int | None:
+    if not path_exists(spark, path):
+        return None
+    return (spark.read.schema("newest long, batch_id long").parquet(path).where(F.col("batch_id") < batch_id)
+            .agg(F.max("newest")).first()[0])
+
+
+def _keep_newest(spark, path: str, batch_id: int, newest: int) -> None:
+    append_batches(path)(spark.createDataFrame([(newest,)], "newest long"), batch_id)
+    _expire(spark, path, "batch_id", batch_id - 1)
+
+
 def running_unique_each_batch(*, seen_table: str, user: str, ts: str, size="1 hour",
                               seq=None, unit: str = "s", seed: int = DEFAULT_SEED,
                               cap: int = DEFAULT_CAP, keep=(), out: str = "uv_count",
                               sink: Callable[[DataFrame, int], None],
-                              forget=None) -> Callable[[DataFrame, int], None]:
+                              forget=None, only: Column | None = None, delay="1 ms") -> Callable[[DataFrame, int], None]:
     """A5 on a stream, one row per event (the bitmap job's output), as a
     ``foreachBatch`` function over the raw events.
 
@@ -177,6 +191,11 @@ def running_unique_each_batch(*, seen_table: str, user: str, ts: str, size="1 ho
     earlier batches (arrival order across batches, as the reference).
     Windows that end more than ``forget`` before the newest one leave the
     table.
+
+    ``only`` picks the events that count while all rows drive the watermark,
+    which stands ``delay`` behind the newest time of the earlier batches:
+    events whose window it has closed are late and give no row (E6).  The
+    newest time is kept beside the table, for the last batches only.
     """
     from trailmark.operators.uniques import event_offsets, running_with_prior
 
@@ -185,8 +204,17 @@ def running_unique_each_batch(*, seen_table: str, user: str, ts: str, size="1 ho
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         order = seq if seq is not None else F.monotonically_increasing_id()
+        times = f"{seen_table}.newest"
+        before = _newest_before(spark, times, batch_id)
+        here = batch.select(F.max(epoch_micros(batch, ts, unit))).first()[0]
+        if here is None and before is None:
+            return
+        closed = (before - duration_micros(delay)) // 1000 if before is not None else None
+        batch = batch if only is None else batch.where(only)
+        _keep_newest(spark, times, batch_id, max(x for x in (before, here) if x is not None))
         with written_once(event_offsets(batch, user=user, ts=ts, size_us=size_us, seq=order,
-                                        unit=unit, seed=seed, cap=cap, keep=keep)) as rows:
+                                        unit=unit, seed=seed, cap=cap, keep=keep)
+                          .where(F.lit(True) if closed is None else F.col("window_end") > closed)) as rows:
             first, newest = rows.select(F.min("window_end"), F.max("window_end")).first()
             if newest is None:
                 return
@@ -200,6 +228,7 @@ def running_unique_each_batch(*, seen_table: str, user: str, ts: str, size="1 ho
             result, new = running_with_prior(rows, seen, size_us=size_us, keep=keep, out=out)
             sink(result, batch_id)
             (new.select("_h", F.lit(batch_id).cast("long").alias("batch_id"), "window_end")
+             .repartition("window_end")  # one file for a window and batch
              .write.mode("append").partitionBy("window_end").parquet(seen_table))
         if forget is not None:
             _expire(spark, seen_table, "window_end", newest - duration_micros(forget) // 1000)
