@@ -134,6 +134,8 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     kept = found.where((F.col("name") == F.col("component_id")) & ~F.col("name.unnamed")).select("name").distinct()
     named = docs.select(F.struct("*").alias("doc"), name.alias("name"))
     ordered = [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant", "struct", "array")]
-    one = (named.join(kept, "name", "left_semi").groupBy("name")
-           .agg(F.min_by("doc", F.struct(*(F.col("doc")[c] for c in ordered))).alias("doc")).select("doc.*"))
+    # grouped first: the join then finds the documents dealt by name already
+    one = (named.where(~F.col("name.unnamed")).groupBy("name")
+           .agg(F.min_by("doc", F.struct(*(F.col("doc")[c] for c in ordered))).alias("doc"))
+           .join(kept, "name", "left_semi").select("doc.*"))
     return one.unionByName(docs.where(F.col(id_col).isNull()))
