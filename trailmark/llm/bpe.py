@@ -46,10 +46,10 @@ from pyspark.sql import functions as F
 from .rows import map_texts, slices
 
 SHORT_WORD = 64
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 CACHE_CHARS = 64
 #: bytes of texts and words that are handled together
-BYTES_AT_ONCE, WORDS_AT_ONCE = 1 << 22, 1 << 13
+BYTES_AT_ONCE, WORDS_AT_ONCE = 1 << 21, 1 << 13
 
 # The Unicode white space that the vocabulary file's \s stands for
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
