@@ -41,6 +41,35 @@ def test_chunk_maps_compose(library, ranks, chunk, monkeypatch):
         assert machine.count(text) == len(library.encode(text)), text
 
 
+@pytest.mark.parametrize("mark, back", [(1, 0), (3, 2), (1024, 256)])
+def test_scan_of_chunks(library, ranks, mark, back, monkeypatch):
+    """Every prefix of the scan, also for texts without any space and where
+    the characters in front give another state than the real one."""
+    for name, value in (("CHUNK", 7), ("MARK", mark), ("LOOK_BACK", back)):
+        monkeypatch.setattr(token_counts, name, value)
+    machine = token_counts.Transducer(ranks)
+    rng = random.Random(back)
+    solid = ["".join(rng.choices("aeinrst=-0é中", k=rng.randint(8, 90))) for _ in range(300)]
+    for text in solid + ["=" * 60, "a" * 50, "   " * 20, "in   " * 12] + _texts(300, mark):
+        normal = token_counts.SPACE + text.replace(" ", token_counts.SPACE)
+        ends = [min(at + 7, len(normal)) for at in range(0, len(normal), 7)]
+        wanted = [len(library.encode(normal[1:end])) for end in ends]
+        if text:
+            assert machine.counts(normal)[1:] == wanted[1:], text
+
+
+def test_a_map_is_extended_by_the_state_it_lacks(ranks, monkeypatch):
+    monkeypatch.setattr(token_counts, "LOOK_BACK", 0)
+    machine = token_counts.Transducer(ranks)
+    text = "internationalization" * 3
+    plain = machine.chunk_map(text, 25, 60)
+    assert [*plain.known] == [token_counts.START]
+    state, before = machine.follow(token_counts.START, text[:25])
+    leave, behind = plain(state)
+    assert len(plain.known) == 2
+    assert (leave, before + behind) == machine.follow(token_counts.START, text)
+
+
 def test_few_states(library, ranks, monkeypatch):
     for name, value in (("STATES", 40), ("CACHE_PAIRS", 50), ("CACHE_UNITS", 10)):
         monkeypatch.setattr(token_counts, name, value)

@@ -14,10 +14,16 @@ A piece never holds a space behind another character, so the transducer is
 back in its first state wherever a space begins: such units are counted on
 their own, and the units met last are kept with their counts.
 
-A long text is cut into chunks.  The map of a chunk from states to (state,
-count) is held as its stretch before the first unit, the count of the whole
-units inside and the unfinished unit behind; maps compose associatively and
-are folded by a balanced tree, the scan of the chunks.
+A long text is cut into chunks of ``CHUNK`` characters, wherever that falls.
+Each chunk gets its map from entry states to (exit state, count) without
+knowing what the chunks before it come to: it is worked out for the state
+that the ``LOOK_BACK`` characters in front lead to, which is the real one if
+a unit starts there and nearly always otherwise.  Behind the first unit's
+start all entries share one path, and paths of different entries are joined
+again as soon as they meet at one of the marks of a chunk.  The maps are
+composed by a prefix scan; where a composition enters a map by a state that
+it lacks, the map is extended by that state, so the counts are exact for
+any text, one without spaces included.
 
 Defined cases: a null text is an empty one and has no tokens; characters
 outside the vocabulary count one token per UTF-8 byte; special strings in a
@@ -28,7 +34,9 @@ not carried.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .rows import map_texts
 
-CHUNK = 1 << 16
+CHUNK, MARK, LOOK_BACK = 1 << 16, 1 << 10, 1 << 8
 STATES = 250_000
 CACHE_PAIRS = 300_000
 CACHE_UNITS = 300_000
@@ -62,8 +70,15 @@ def pieces_of(path: str) -> dict[str, int]:
     return {model.id_to_piece(i): rank for rank, i in enumerate(ordered)}
 
 
+# a state: the characters read last that a longer piece may start with, then
+# for every position among them, the last token up to it and the count there,
+# relative to the count now
+State = tuple[str, tuple, tuple]
+START: State = ("", ("",), (0,))
+
+
 class Transducer:
-    """States are numbers; state 0 is the start of a unit."""
+    """Compiled states are numbers; state 0 is the start of a unit."""
 
     def __init__(self, ranks: dict[str, int]):
         self.ranks = ranks
@@ -76,10 +91,7 @@ class Transducer:
         self.reset()
 
     def reset(self) -> None:
-        # a state: the characters read last that a longer piece may start
-        # with, then for every position among them, the last token up to it
-        # and the count there, relative to the count now
-        self.states: list[tuple[str, tuple, tuple]] = [("", ("",), (0,))]
+        self.states: list[State] = [START]
         self.number = {self.states[0]: 0}
         self.moves: list[dict[str, tuple[int, int]]] = [{}]
         self.walked = 0
@@ -109,10 +121,10 @@ class Transducer:
             found = self.fits[key] = self.merge(left + right) == ([left, right] if left else [right])
         return found
 
-    def move(self, state: int, char: str) -> tuple[int, int]:
+    def next(self, state: State, char: str) -> tuple[State, int]:
         """The transition of ``state`` by ``char``: next state and the number
         of tokens by which the count changes."""
-        recent, last, counts = self.states[state]
+        recent, last, counts = state
         recent += char
         for at in range(len(recent)):  # longest first
             token = recent[at:]
@@ -131,6 +143,11 @@ class Transducer:
         live = [at == len(recent) or recent[at:] in self.starts for at in range(len(recent) + 1)]
         reached = (recent, tuple(x if on else "" for x, on in zip(last, live)),
                    tuple(x if on else 0 for x, on in zip(counts, live)))
+        return reached, change
+
+    def move(self, state: int, char: str) -> tuple[int, int]:
+        """The same between compiled states, kept."""
+        reached, change = self.next(self.states[state], char)
         number = self.number.get(reached)
         if number is None:
             number = self.number[reached] = len(self.states)
@@ -186,41 +203,116 @@ class Transducer:
         return count
 
     # -- chunks ----------------------------------------------------------------
-    def chunk_map(self, chunk: str) -> tuple[str, int | None, str]:
-        """(before, count, behind): the stretch that still belongs to an
-        earlier unit, the tokens of the whole units, the unit not yet ended.
-        Without a unit's start inside, all is ``before`` and count None."""
-        starts = _STARTS.search(chunk)
-        if not starts:
-            return chunk, None, ""
-        first = starts.start()
-        units = _UNITS(chunk, first)
-        known = self.units
-        total = 0
-        for u in units[:-1]:
-            count = known.get(u)
-            total += self.unit(u) if count is None else count
-        return chunk[:first], total, units[-1]
+    def follow(self, state: State, stretch: str) -> tuple[State, int]:
+        """Exit state and tokens of a stretch of one unit, entered by ``state``."""
+        if self.walked > STATES:
+            self.reset()
+        number, total = self.number.get(state), 0
+        for char in stretch:
+            step = None if number is None else self.moves[number].get(char)
+            if step is None and number is not None and len(self.states) < STATES:
+                step = self.move(number, char)
+            if step is None:  # from or to a state that is not compiled
+                self.walked += 1
+                state, change = self.next(state if number is None else self.states[number], char)
+                number = self.number.get(state)
+            else:
+                number, change = step
+            total += change
+        return (state if number is None else self.states[number]), total
 
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        """The map of two adjacent stretches."""
-        (a_before, a_count, a_behind), (b_before, b_count, b_behind) = a, b
-        if a_count is None:
-            return a_before + b_before, b_count, b_behind
-        if b_count is None:
-            return a_before, a_count, a_behind + b_before
-        return a_before, a_count + self.unit(a_behind + b_before) + b_count, b_behind
+    def chunk_map(self, text: str, at: int, end: int) -> ChunkMap:
+        """The map of ``text[at:end]``."""
+        starts = _STARTS.search(text, at, end)
+        path = Path(self, text[at:starts.start() if starts else end])
+        if not starts:
+            return ChunkMap(path.follow, self.entries(text, at))
+        *units, behind = _UNITS(text, starts.start(), end)
+        leave, inside = self.follow(START, behind)
+        inside += sum(map(self.unit, units))
+        return ChunkMap(lambda entry: (leave, path.follow(entry)[1] + inside), self.entries(text, at))
+
+    def entries(self, text: str, at: int) -> list[State]:
+        """The states by which a chunk is likely entered at ``at``."""
+        begin = max(0, at - LOOK_BACK)
+        for start in _STARTS.finditer(text, begin, at):
+            begin = start.start()
+        return [self.follow(START, text[begin:at])[0]]
+
+    def counts(self, text: str) -> list[int]:
+        """Tokens of a normalized text up to the end of each of its chunks."""
+        maps = [self.chunk_map(text, at, min(at + CHUNK, len(text))) for at in range(0, len(text), CHUNK)]
+        return [prefix(START)[1] for prefix in scan(maps)]
 
     def count(self, text: str) -> int:
         """Tokens of a whole text."""
         if not text:
             return 0
         text = SPACE + text.replace(" ", SPACE)
-        maps = [self.chunk_map(c) for c in _chunks(text)]
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i:i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        before, count, behind = maps[0]
-        return (self.unit(before) if before else 0) + (count or 0) + (self.unit(behind) if behind else 0)
+        if len(text) > CHUNK:
+            return self.counts(text)[-1]
+        known, total = self.units, 0
+        for u in _UNITS(text):
+            count = known.get(u)
+            total += self.unit(u) if count is None else count
+        return total
+
+
+class Path:
+    """The runs of one stretch from several entry states.  The states at its
+    marks are kept with what follows, so a run ends where it meets another."""
+
+    def __init__(self, machine: Transducer, stretch: str):
+        self.machine, self.stretch = machine, stretch
+        self.met: dict[tuple[int, State], tuple[State, int]] = {}
+
+    def follow(self, state: State) -> tuple[State, int]:
+        passed, rest = [], None
+        for mark in range(0, len(self.stretch), MARK):
+            rest = self.met.get((mark, state))
+            if rest:
+                break
+            reached, count = self.machine.follow(state, self.stretch[mark:mark + MARK])
+            passed.append((mark, state, count))
+            state = reached
+        leave, total = rest or (state, 0)
+        for mark, state, count in reversed(passed):
+            total += count
+            self.met[mark, state] = leave, total
+        return leave, total
+
+
+class ChunkMap:
+    """The map of a stretch from entry states to (exit state, tokens), known
+    for the entries met; ``follow`` extends it by another one."""
+
+    def __init__(self, follow: Callable[[State], tuple[State, int]], entries: Iterable[State]):
+        self.follow = follow
+        self.known = {entry: follow(entry) for entry in entries}
+
+    def __call__(self, entry: State) -> tuple[State, int]:
+        found = self.known.get(entry)
+        if found is None:
+            found = self.known[entry] = self.follow(entry)
+        return found
+
+    def then(self, behind: ChunkMap) -> ChunkMap:
+        """The map of this stretch and the one behind it together."""
+        def follow(entry: State) -> tuple[State, int]:
+            state, count = self(entry)
+            leave, more = behind(state)
+            return leave, count + more
+        return ChunkMap(follow, self.known)
+
+
+def scan(maps: list[ChunkMap]) -> list[ChunkMap]:
+    """The composition of the maps up to each one: neighbours are composed,
+    the pairs are scanned, and every second prefix takes one map more."""
+    if len(maps) < 2:
+        return maps
+    even = scan([a.then(b) for a, b in zip(maps[::2], maps[1::2])])
+    odd = [prefix.then(one) for prefix, one in zip(even, maps[2::2])]
+    return [maps[0], *chain.from_iterable(zip(even, odd)), *even[len(odd):]]
 
 
 # a unit starts at a space that is the first of its run
@@ -228,18 +320,6 @@ _STARTS = re.compile(f"(?<!{SPACE}){SPACE}")
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
 
 
-def _chunks(text: str) -> list[str]:
-    """Stretches of about ``CHUNK`` characters, none cut inside a run of spaces."""
-    found, at = [], 0
-    while at < len(text):
-        end = min(at + CHUNK, len(text))
-        while end < len(text) and text[end] == SPACE and text[end - 1] == SPACE:
-            end += 1
-        found.append(text[at:end])
-        at = end
-    return found
-
-
 @lru_cache(maxsize=2)
 def transducer(path: str) -> Transducer:
     """The transducer of ``path``, one per Python worker."""
