@@ -99,6 +99,8 @@ def test_keep_one_of_repeated_ids(docs_of):
     kept = simhash.keep_one(docs_of(rows)).collect()
     assert sorted((r.doc_id, r.text or "") for r in kept) == [
         (2, "one two three four"), (4, ""), (4, "nine ten eleven twelve"), (7, "five six seven eight")]
+    for rows in ([(4, ""), (4, None)], [(4, None), (4, "")]):  # one name: the null text is the least row
+        assert [tuple(r) for r in simhash.keep_one(docs_of(rows)).select("doc_id", "text").collect()] == [(4, None)]
 
 
 def test_components_of_shapes(spark):

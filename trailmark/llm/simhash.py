@@ -133,9 +133,11 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     found = near_duplicates(docs.select(name.alias("name"), F.col(text_col).alias("text")), id_col="name", text_col="text", **how)
     kept = found.where((F.col("name") == F.col("component_id")) & ~F.col("name.unnamed")).select("name").distinct()
     named = docs.select(F.struct("*").alias("doc"), name.alias("name"))
-    ordered = [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant", "struct", "array")]
+    # rows of one name have one text (or null and empty ones): ordering by it would only carry it twice
+    ordered = [F.col("doc")[f.name].isNotNull() if f.name == text_col else F.col("doc")[f.name] for f in docs.schema.fields
+               if f.dataType.typeName() not in ("map", "variant", "struct", "array")]
     # grouped first: the join then finds the documents dealt by name already
     one = (named.where(~F.col("name.unnamed")).groupBy("name")
-           .agg(F.min_by("doc", F.struct(*(F.col("doc")[c] for c in ordered))).alias("doc"))
+           .agg(F.min_by("doc", F.struct(*ordered)).alias("doc"))
            .join(kept, "name", "left_semi").select("doc.*"))
     return one.unionByName(docs.where(F.col(id_col).isNull()))
