@@ -131,13 +131,14 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     # rows without an id come last, so that they name no component with others in it
     name = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), digest.alias("digest"))
     found = near_duplicates(docs.select(name.alias("name"), F.col(text_col).alias("text")), id_col="name", text_col="text", **how)
-    kept = found.where((F.col("name") == F.col("component_id")) & ~F.col("name.unnamed")).select("name").distinct()
-    named = docs.select(F.struct("*").alias("doc"), name.alias("name"))
+    kept = found.where((F.col("name") == F.col("component_id")) & ~F.col("name.unnamed")).select("name.id", "name.digest").distinct()
+    # by plain columns: structs that differ in nullability would be cast, and the documents dealt again
+    named = docs.where(F.col(id_col).isNotNull()).select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), digest.alias("digest"))
     # rows of one name have one text (or null and empty ones): ordering by it would only carry it twice
     ordered = [F.col("doc")[f.name].isNotNull() if f.name == text_col else F.col("doc")[f.name] for f in docs.schema.fields
                if f.dataType.typeName() not in ("map", "variant", "struct", "array")]
     # grouped first: the join then finds the documents dealt by name already
-    one = (named.where(~F.col("name.unnamed")).groupBy("name")
+    one = (named.groupBy("id", "digest")
            .agg(F.min_by("doc", F.struct(*ordered)).alias("doc"))
-           .join(kept, "name", "left_semi").select("doc.*"))
+           .join(kept, ["id", "digest"], "left_semi").select("doc.*"))
     return one.unionByName(docs.where(F.col(id_col).isNull()))
