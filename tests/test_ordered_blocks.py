@@ -69,6 +69,34 @@ def test_followed_by_blocks(spark, block_factor, within):
     assert got == _model_followed(rows, within)
 
 
+@pytest.mark.parametrize("stretch", [1, 2, 5, 16])
+@pytest.mark.parametrize("block_factor", [0.25, 0.5, 2])
+def test_followed_by_over_stretches_of_blocks(spark, monkeypatch, stretch, block_factor):
+    """Sparse events: starts whose event lies several empty blocks and a
+    stretch further on."""
+    monkeypatch.setattr(patterns, "STRETCH", stretch)
+    rows = _events(n=150, keys=2, span=900, seed=5) + [(0, "a", 2000, 900), (0, "b", 2011, 901), (1, "a", -30, 902), (1, "b", -19, 903)]
+    df = spark.createDataFrame(rows, "k long, kind string, t long, seq long")
+    out = patterns.followed_by(df, key="k", ts="t", seq="seq", first=F.col("kind") == "a",
+                               second=F.col("kind") == "b", within="12 seconds",
+                               carry=["seq"], block_factor=block_factor)
+    got = sorted(((r.k, r.first_seq, r.second_seq) for r in out.collect()), key=lambda x: (x[0], x[1]))
+    assert got == _model_followed(rows, 12)
+
+
+def test_followed_by_keeps_a_keys_blocks_apart(spark):
+    """A minute's bound over a year of one key: no group of the summary holds
+    more than a stretch and its look-ahead."""
+    df = spark.range(0, 365 * 24 * 3600, 600).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("t"), "id")
+    out = patterns.followed_by(df, key="k", ts="t", seq="id", first=F.lit(True), second=F.lit(True), within="1 minute",
+                               carry=["id"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # no window over a key alone: both windows are within a (key, block or stretch)
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and all("_blk" in line.rsplit("], [", 2)[1] for line in windows)
+    assert out.where("status = 'timeout'").count() == out.count() == 365 * 24 * 6
+
+
 @pytest.mark.parametrize("sub_blocks", [1, 7, 60])
 def test_running_unique_slices(spark, sub_blocks):
     rnd = random.Random(3)

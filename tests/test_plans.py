@@ -39,9 +39,12 @@ def test_strict_next_partitions_by_key_and_block(spark):
 
 def test_followed_by_shuffles_events_once(spark):
     plan = _plan(spark, "order_results")
-    # the events with the told rows, the partial summary, and the summary by key
-    assert "Generate" not in plan and _shuffles(plan) == 3
-    assert len(re.findall(r"Exchange hashpartitioning\(user_id#\d+L, _blk#\d+L", plan)) == 2
+    # the events with the told rows, the partial summary, and the summary by key and stretch
+    assert _shuffles(plan) == 3
+    # only summary rows are copied ahead, never events
+    copied = [line for line in plan.splitlines() if "Generate" in line]
+    assert len(copied) == 1 and "_cand" in copied[0] and "event_id" not in copied[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(user_id#\d+L, _blk#\d+L", plan)) == 3
 
 
 def test_running_count_shuffles_events_once(spark):
@@ -68,3 +71,13 @@ def test_reconcile_is_an_outer_and_an_anti_join(spark):
 def test_distinct_count_shuffles_on_window_and_user_first(spark):
     plan = _plan(spark, "unique_visitors")
     assert re.search(r"Exchange hashpartitioning\(window_end#\d+L, _u#\d+L", plan)
+
+
+def test_dense_aggregate_shuffles_pane_states_only(spark):
+    """120 windows overlap a row: rows are aggregated in their pane before
+    anything is expanded, two copies of a state reach the blocks."""
+    plan = _plan(spark, "window_aggregate_dense")
+    scan = plan.index("FileScan")
+    below = plan[plan.rindex("Generate", 0, scan):scan]
+    assert below.count("HashAggregate") >= 2 and _shuffles(plan) == 2
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in plan

@@ -29,6 +29,7 @@ from trailmark.operators.durations import duration_micros
 from trailmark.operators.ordered import BLOCK_FACTOR, block_size, floor_to, with_lookahead
 
 FOLLOWED_FACTOR = 0.25
+STRETCH = 64  # blocks of a key that are looked up together
 MATCHED = "matched"
 TIMEOUT = "timeout"
 
@@ -92,8 +93,11 @@ def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
     Partitioned by (key, time block), with blocks shorter than the bound.  A
     partial aggregate finds the first ``second`` event of every block; over
     that small summary each block is told the first one of the next block
-    that has any.  A start searches its own block and then that one: nothing
-    is copied ahead, however long the bound is.  The search is one ordered
+    that has any.  The summary is looked up in stretches of ``STRETCH``
+    blocks, with the blocks that start within the bound behind a stretch
+    copied into it (no later one can matter), so a key's blocks are never in
+    one group either.  A start searches its own block and then the told
+    event: no event is copied ahead, however long the bound is.  The search is one ordered
     pass: in *descending* order, the nearest later ``second`` event is the
     last non-null value of a growing frame ending one row before the current
     one, which Spark evaluates incrementally (a following-unbounded frame
@@ -111,13 +115,18 @@ def followed_by(df: DataFrame, *, key, ts: str, seq: str, first: Column, second:
         .where(F.col("_t").isNotNull())
     # other events are skipped by followed-by: they never reach the shuffle
     rows = rows.where(F.col("_is1") | F.col("_is2"))
-    rows = rows.withColumn("_blk", floor_to(F.col("_t"), block_size(within_us, block_factor)))
+    block_us = block_size(within_us, block_factor)
+    rows = rows.withColumn("_blk", floor_to(F.col("_t"), block_us))
     found = F.struct(F.col("_t").alias("_t"), *[F.col(c).alias(c) for c in carry])
     earliest = F.min_by(F.when(F.col("_is2"), found), F.when(F.col("_is2"), F.struct("_t", "_seq")))
-    later = Window.partitionBy(*keys).orderBy(F.col("_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = (rows.groupBy(*keys, "_blk").agg(earliest.alias("_cand"))
-             .withColumn("_cand", F.last("_cand", ignorenulls=True).over(later))
-             .where(F.col("_cand").isNotNull()))
+    summary = (rows.groupBy(*keys, F.col("_blk").alias("_at"))
+               .agg(earliest.alias("_cand"), F.max(F.coalesce("_is1", F.lit(False))).alias("_starts")))
+    summary = with_lookahead(summary, t="_at", horizon_us=within_us, block_us=STRETCH * block_us)
+    later = (Window.partitionBy(*keys, "_blk").orderBy(F.col("_at").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    ahead = (summary.withColumn("_cand", F.last("_cand", ignorenulls=True).over(later))
+             .where(F.col("_own") & F.col("_starts") & F.col("_cand").isNotNull())
+             .select(*keys, F.col("_at").alias("_blk"), "_cand"))
     # the told event stands behind all of its block: its row sorts first
     rows = (rows.withColumn("_cand", F.when(F.col("_is2"), found)).withColumn("_told", F.lit(False))
             .unionByName(ahead.withColumn("_told", F.lit(True)), allowMissingColumns=True)

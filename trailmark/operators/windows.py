@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions.time import epoch_micros
 from trailmark.operators.durations import duration_micros
+from trailmark.operators.panes import Mergeable, pane_aggregate
 
 WINDOW_END = "window_end"
 
@@ -191,17 +192,25 @@ def keyed_window_sum(df: DataFrame, *, ts: str, size, value: Column | None = Non
 def window_aggregate(df: DataFrame, *, keys, ts: str, size, slide=None, aggs: dict,
                      unit: str = "s") -> DataFrame:
     """The reference's generic ``aggregate(AggregateFunction, WindowFunction)``:
-    any built-in aggregate expressions per key and window.
-
-    ``aggs`` maps output names to aggregate Columns over the input columns
-    (e.g. ``{"avg_ts": F.avg("ts_s")}``).  Each row is assigned to every
-    window containing it (``size / slide`` copies) and the aggregates run
-    partial / final per (key, window); use :func:`window_counts` for counts,
-    which avoids the copies.
+    any aggregates per key and window.
+
+    ``aggs`` maps output names to aggregates over the input columns.  With
+    mergeable states of :mod:`trailmark.operators.panes` (``{"low":
+    panes.min_of("value")}``) every row is aggregated once, in its pane, and
+    the windows are put together from pane states.  Where any of them is an
+    aggregate Column instead (``F.median("value")``, a grouped pandas UDF), of
+    which Spark offers no mergeable state, each row is assigned to every
+    window that holds it (``size / slide`` copies).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     size_us, slide_us = _check_sizes(size, slide)
     t = epoch_micros(df, ts, unit)
+    if all(isinstance(a, Mergeable) for a in aggs.values()):
+        found = pane_aggregate(df.withColumn("_t", t), keys=keys, t="_t", size_us=size_us, slide_us=slide_us,
+                               aggs=aggs, end="_end")
+        return found.select(*keys, micros_to_millis(F.col("_end")).alias(WINDOW_END), *aggs)
+    if any(isinstance(a, Mergeable) for a in aggs.values()):
+        raise ValueError("mergeable states and aggregate columns cannot be mixed")
     first_end = _floor_to(t, slide_us) + F.lit(slide_us)
     # ends e with e - size <= t < e, on the slide grid offset by size
     lo = t + F.lit(1)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from trailmark.functions import time as tf
 from trailmark.functions.time import epoch_micros
-from trailmark.operators import filters, matching, one_to_one, patterns, topn, uniques, windows
+from trailmark.operators import filters, matching, one_to_one, panes, patterns, topn, uniques, windows
 from trailmark.sources import logs
 
 VIEW = "view"
@@ -105,7 +105,7 @@ def truncated_average(spark, sf_dir):
 
 
 def _spread(spark, sf_dir, size, slide):
-    aggs = {"n": F.count(F.lit(1)), "first_event_id": F.min("event_id"), "last_event_id": F.max("event_id")}
+    aggs = {"n": panes.count_of(), "first_event_id": panes.min_of("event_id"), "last_event_id": panes.max_of("event_id")}
     return windows.window_aggregate(events(spark, sf_dir), keys="event_type", ts="ts", size=size, slide=slide,
                                     aggs=aggs)
 
@@ -120,6 +120,15 @@ def window_aggregate_gaps(spark, sf_dir):
     return _spread(spark, sf_dir, "10 minutes", "30 minutes")
 
 
+def window_aggregate_dense(spark, sf_dir):
+    """Sum, minimum, maximum and mean per event type, 10 min every 5 s: 120 windows
+    overlap a row, which is aggregated once."""
+    aggs = {"n": panes.count_of(), "id_sum": panes.sum_of("event_id"), "least": panes.min_of("value"),
+            "most": panes.max_of("value"), "id_mean": panes.avg_of("event_id")}
+    return windows.window_aggregate(events(spark, sf_dir), keys="event_type", ts="ts", size=HOT_URLS["size"],
+                                    slide=HOT_URLS["slide"], aggs=aggs)
+
+
 # --- J-F login failures: error followed directly by error, < 1 h -------------------
 
 def login_fail_pairs(spark, sf_dir):
@@ -304,6 +313,7 @@ QUERIES = {
     "truncated_average": truncated_average,
     "window_aggregate_sliding": window_aggregate_sliding,
     "window_aggregate_gaps": window_aggregate_gaps,
+    "window_aggregate_dense": window_aggregate_dense,
     "login_fail_pairs": login_fail_pairs,
     "order_paid": order_paid,
     "order_timeout": order_timeout,

@@ -191,4 +191,11 @@ ORACLE_SQL = {
                           epoch_us(ts::timestamp) // 1800000000 * 1800000000 AS s FROM events)
         SELECT event_type, s // 1000 + 600000 AS window_end, count(*) AS n, min(event_id) AS first_event_id,
                max(event_id) AS last_event_id FROM w WHERE t < s + 600000000 GROUP BY ALL""",
+    "window_aggregate_dense": """
+        WITH w AS (SELECT event_type, event_id, value, unnest(generate_series(
+                epoch_us(ts::timestamp) // 5000000 * 5000 + 5000,
+                epoch_us(ts::timestamp) // 5000000 * 5000 + 600000, 5000)) AS window_end FROM events)
+        SELECT event_type, window_end, count(*) AS n, sum(event_id)::BIGINT AS id_sum, min(value) AS least,
+               max(value) AS most, sum(event_id)::DOUBLE / count(*) AS id_mean
+        FROM w GROUP BY ALL""",
 }
