@@ -19,6 +19,10 @@ windows overlap it:
 Every pane state goes to two blocks, its own and the one before; a (key,
 block) holds at most ``2 x size / g`` states whatever the number of rows, so a
 hot key is spread over its blocks.
+
+Where at most ``FEW`` windows overlap a row, the pane states (never the rows)
+are expanded into their windows and merged there instead: less sorting for
+such windows.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+FEW = 8
+
+
 @dataclass(frozen=True)
 class Field:
     """One value of a state.  ``add`` aggregates rows, ``merge`` aggregates a
@@ -108,6 +115,16 @@ def pane_aggregate(rows: DataFrame, *, keys: list, t: str, size_us: int, slide_u
     states = (rows.where(covered).withColumn("_pane", pane).groupBy(*keys, "_pane")
               .agg(*[f.add.alias(n) for n, f in fields.items()]))
 
+    results = lambda of: [a.result(*[of[f"_f{i}_{j}"] for j in range(len(a.fields))]).alias(name)
+                          for i, (name, a) in enumerate(aggs.items())]
+    if size_us <= FEW * slide_us:
+        first_end = F.col("_pane") + F.lit(g - size_us)
+        first_end = first_end + F.pmod(-first_end, F.lit(slide_us)) + F.lit(size_us)
+        last_end = floor(F.col("_pane"), slide_us) + F.lit(size_us)
+        return (states.withColumn(end, F.explode(F.sequence(first_end, last_end, F.lit(slide_us))))
+                .groupBy(*keys, end).agg(*[f.merge(F.col(n)).alias(n) for n, f in fields.items()])
+                .select(*keys, end, *results({n: F.col(n) for n in fields})))
+
     # every state in its own block (0) and, as a part of the prefix, in the one before (1)
     own = floor(F.col("_pane"), size_us)
     placed = (states.select("*", F.posexplode(F.array(own, own - F.lit(size_us))).alias("_next", "_blk"))
@@ -142,8 +159,6 @@ def pane_aggregate(rows: DataFrame, *, keys: list, t: str, size_us: int, slide_u
     runs = runs.where((F.coalesce(F.col("_own._any"), F.lit(False)) | F.col("_ahead").isNotNull())
                       & (first < F.col("_until")))
     joined = {n: f.join(F.col(f"_own._state.{n}"), F.col(f"_ahead.{n}")) for n, f in fields.items()}
-    results = [a.result(*[joined[f"_f{i}_{j}"] for j in range(len(a.fields))]).alias(name)
-               for i, (name, a) in enumerate(aggs.items())]
     windows = F.sequence(first + F.lit(size_us), F.col("_until") - F.lit(1) + F.lit(size_us), F.lit(slide_us))
-    return runs.select(*keys, windows.alias("_ends"), *results).select(
+    return runs.select(*keys, windows.alias("_ends"), *results(joined)).select(
         *keys, F.explode("_ends").alias(end), *aggs)
