@@ -97,13 +97,36 @@ def test_followed_by_keeps_a_keys_blocks_apart(spark):
     assert out.where("status = 'timeout'").count() == out.count() == 365 * 24 * 6
 
 
+def _burst(rnd, n=300):
+    """Two thirds of the rows in one second."""
+    return [(rnd.randrange(60), 4000 if i % 3 else rnd.randrange(7200), i) for i in range(n)]
+
+
+def test_a_burst_is_cut_by_rank(spark):
+    """Half of all events in one second of one window: no (window, place) holds
+    above 5 % of them."""
+    rows = spark.range(0, 60000).select((F.col("id") % 997).alias("u"), F.col("id").alias("seq"), F.when(
+        F.col("id") < 30000, F.lit(4000)).otherwise(F.col("id") % 36000).cast("long").alias("t"))
+    offsets = uniques.event_offsets(rows, user="u", ts="t", size_us=3_600_000_000, seq="seq")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        placed, extra = uniques._with_places(offsets, 3_600_000_000, 60, 100)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    shares = placed.groupBy("window_end", "_place").count().agg(F.max("count"), F.sum("count")).first()
+    assert shares[1] == 60000 and shares[0] <= 0.05 * 60000
+    assert extra.count() <= 2 * 128
+
+
+@pytest.mark.parametrize("rows_per_range", [1, 4, 40, 100_000])
+@pytest.mark.parametrize("shape", ["even", "burst"])
 @pytest.mark.parametrize("sub_blocks", [1, 7, 60])
-def test_running_unique_slices(spark, sub_blocks):
+def test_running_unique_slices(spark, sub_blocks, shape, rows_per_range):
     rnd = random.Random(3)
-    rows = [(rnd.randrange(12), rnd.randrange(7200), i) for i in range(300)]
+    rows = [(rnd.randrange(12), rnd.randrange(7200), i) for i in range(300)] if shape == "even" else _burst(rnd)
     df = spark.createDataFrame(rows, "u long, t long, seq long")
     out = uniques.running_unique_count(df, user="u", ts="t", size="1 hour", seq="seq",
-                                       keep=["seq"], sub_blocks=sub_blocks)
+                                       keep=["seq"], sub_blocks=sub_blocks, rows_per_range=rows_per_range)
     got = sorted((r.seq, r.uv_count) for r in out.collect())
     want, seen = [], {}
     for u, t, s in sorted(rows, key=lambda r: (r[1], r[2])):

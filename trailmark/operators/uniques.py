@@ -17,7 +17,8 @@ from trailmark.functions.time import epoch_micros
 from trailmark.operators.durations import duration_micros
 from trailmark.operators.windows import WINDOW_END, micros_to_millis, tumbling_end_micros
 
-ROWS_PER_SLICE, LEAST_SLICES = 1_000_000, 60
+SLICES, ROWS_PER_RANGE, RANGES_PER_PARTITION = 60, 100_000, 8
+_SUB = 1 << 32  # a place is slice * _SUB + range inside the slice
 _MARK, _CARRY, _EVENT = 0, 1, 2  # in this order inside a slice
 
 
@@ -62,7 +63,8 @@ def bitmap_unique_count(df: DataFrame, *, user: str, ts: str, size, unit: str =
 
 def running_unique_count(df: DataFrame, *, user: str, ts: str, size, seq: str,
                          unit: str = "s", seed: int = DEFAULT_SEED, cap: int = DEFAULT_CAP,
-                         keep=(), out: str = "uv_count", sub_blocks: int | None = None) -> DataFrame:
+                         keep=(), out: str = "uv_count", sub_blocks: int = SLICES,
+                         rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """A5: one row per event with the window's distinct count so far.
 
     Events are taken in (time, ``seq``) order inside their window; an event
@@ -71,20 +73,30 @@ def running_unique_count(df: DataFrame, *, user: str, ts: str, size, seq: str,
     ``window_end, keep..., uv_count``.
 
     Plan, free of hot groups: every window is cut into ``sub_blocks`` time
-    slices (default: so many that the fullest window has about
-    ``ROWS_PER_SLICE`` events in each, by a count of the windows).  A partial
-    ``min`` gives the first slice of each (window, offset); the events, one
-    mark row per (window, offset) in its first slice and one carry row per
-    slice (the offsets first seen in earlier slices) are shuffled together
-    once, on (window, slice).  There the event behind a mark is the first of
-    its offset, and a running sum from the carry is the count.  Nothing is
+    slices, and slices are cut further into ranges of (time, ``seq``) at
+    bounds drawn from the events themselves: those whose hash falls below a
+    limit, so that about ``RANGES_PER_PARTITION`` times the session's shuffle
+    partitions are drawn from all events, and none closer than about
+    ``rows_per_range``.  A burst is thereby cut by rank however short it is,
+    down to events of equal time and ``seq``.  The drawing is part of the
+    plan and the same in every reading.  The bounds are few whatever the
+    input (their number is the one above, give or take its square root) and
+    broadcast for that reason.
+
+    A partial ``min`` gives the first place (slice and range) of each
+    (window, offset); the events, one mark row per (window, offset) in its
+    first place and one carry row per place (the offsets first seen in
+    earlier places: a prefix sum over the small table of places) are shuffled
+    together once, on (window, place).  There the event behind a mark is the
+    first of its offset, and a running sum from the carry is the count.  Nothing is
     joined back to the events, so nothing depends on row ids being the same
     in two readings.
     """
     size_us = duration_micros(size)
     rows = event_offsets(df, user=user, ts=ts, size_us=size_us, seq=seq, unit=unit, seed=seed,
                          cap=cap, keep=keep)
-    return running_with_prior(rows, None, size_us=size_us, keep=keep, out=out, sub_blocks=sub_blocks)[0]
+    return running_with_prior(rows, None, size_us=size_us, keep=keep, out=out, sub_blocks=sub_blocks,
+                              rows_per_range=rows_per_range)[0]
 
 
 def event_offsets(df: DataFrame, *, user: str, ts: str, size_us: int, seq, unit: str = "s",
@@ -98,43 +110,69 @@ def event_offsets(df: DataFrame, *, user: str, ts: str, size_us: int, seq, unit:
                      user_offset(df, user, seed, cap).alias("_h"), *keep)
 
 
-def running_with_prior(rows: DataFrame, seen: DataFrame | None, *, size_us: int, keep=(),
-                       out: str = "uv_count", sub_blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
+def _with_places(rows: DataFrame, size_us: int, sub_blocks: int, rows_per_range: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with their ``_place``, and the places (``window_end, _place``)
+    that ranges add to the slices."""
+    width = max(size_us // sub_blocks, 1)
+    since = F.col("_t") - (F.col(WINDOW_END) * F.lit(1000) - F.lit(size_us))
+    rows = rows.withColumn("_slice", (since - F.pmod(since, F.lit(width))) / F.lit(width))
+    rows = rows.withColumn("_slice", F.col("_slice").cast("long"))
+    ranges = RANGES_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = F.least(F.lit(1.0 / rows_per_range), F.lit(float(ranges)) / F.greatest(number, F.lit(1)))
+    # 52 bits of the hash as a fraction
+    drawn = F.shiftrightunsigned(F.xxhash64(WINDOW_END, "_t", "_seq"), 12) / F.lit(float(1 << 52)) < share
+    at = F.struct("_t", "_seq")
+    bounds = (rows.where(drawn).groupBy(WINDOW_END, "_slice").agg(F.sort_array(F.collect_set(at)).alias("_bounds"))
+              .withColumn("_step", F.ceil(F.sqrt(F.size("_bounds"))).cast("int")))
+    extra = bounds.select(WINDOW_END, F.posexplode("_bounds").alias("_i", "_b"), "_slice").select(
+        WINDOW_END, (F.col("_slice") * F.lit(_SUB) + F.col("_i") + F.lit(1)).alias("_place"))
+    # looked up in two steps: among every _step-th bound, then between two of those
+    heads = F.transform(F.sequence(F.lit(1), F.size("_bounds"), F.col("_step")), lambda i: F.element_at("_bounds", i))
+    bounds = bounds.withColumn("_heads", heads)
+    below = lambda found: F.size(F.filter(found, lambda b: b <= at))
+    head = F.greatest(below(F.col("_heads")) - F.lit(1), F.lit(0)) * F.col("_step")
+    sub = head + below(F.slice("_bounds", head + F.lit(1), F.col("_step")))
+    placed = rows.join(F.broadcast(bounds), [WINDOW_END, "_slice"], "left").select(
+        *rows.columns, (F.col("_slice") * F.lit(_SUB) + F.coalesce(sub, F.lit(0))).alias("_place")).drop("_slice")
+    return placed, extra
+
+
+def running_with_prior(rows: DataFrame, seen: DataFrame | None, *, size_us: int, keep=(), out: str = "uv_count",
+                       sub_blocks: int = SLICES,
+                       rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, DataFrame]:
     """The running counts of ``rows`` (as :func:`event_offsets` makes them)
     on top of the offsets ``seen`` before (``window_end, _h``, distinct), and
     the offsets (``window_end, _h``) that are new."""
     keep = [keep] if isinstance(keep, str) else list(keep)
-    if sub_blocks is None:
-        fullest = rows.groupBy(WINDOW_END).count().agg(F.max("count")).first()[0] or 0
-        sub_blocks = max(LEAST_SLICES, -(-fullest // ROWS_PER_SLICE))
-    width = max(size_us // sub_blocks, 1)
-    slice_of = lambda c: c - F.pmod(c, F.lit(width))
-    events = rows.withColumn("_slice", slice_of(F.col("_t")))
-    firsts = events.groupBy(WINDOW_END, "_h").agg(F.min("_slice").alias("_slice"))
-    # windows with events, their slices, and the offsets first seen in each
-    end = F.col(WINDOW_END) * F.lit(1000)
-    every = (firsts.select(WINDOW_END).distinct().select(WINDOW_END, F.explode(F.sequence(
-        slice_of(end - F.lit(size_us)), slice_of(end - F.lit(1)), F.lit(width))).alias("_slice"), F.lit(0).alias("_n")))
+    events, extra = _with_places(rows, size_us, sub_blocks, rows_per_range)
+    firsts = events.groupBy(WINDOW_END, "_h").agg(F.min("_place").alias("_place"))
+    # windows with events, their places, and the offsets first seen in each
+    last = (size_us - 1) // max(size_us // sub_blocks, 1)
+    every = (firsts.select(WINDOW_END).distinct()
+             .select(WINDOW_END, (F.explode(F.sequence(F.lit(0), F.lit(last).cast("long")))).alias("_place"))
+             .select(WINDOW_END, (F.col("_place") * F.lit(_SUB)).alias("_place"))
+             .unionByName(extra).withColumn("_n", F.lit(0).cast("long")))
     if seen is not None:
         firsts = firsts.join(seen.select(WINDOW_END, "_h"), [WINDOW_END, "_h"], "left_anti")
         prior = (seen.groupBy(WINDOW_END).agg(F.count(F.lit(1)).alias("_n"))
-                 .select(WINDOW_END, F.lit(-(1 << 62)).alias("_slice"), "_n"))  # before any slice
+                 .select(WINDOW_END, F.lit(-1).cast("long").alias("_place"), "_n"))  # before any place
         every = every.unionByName(prior)
-    counts = firsts.groupBy(WINDOW_END, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(WINDOW_END).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (every.unionByName(counts).groupBy(WINDOW_END, "_slice").agg(F.sum("_n").alias("_n"))
-             .select(WINDOW_END, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_add")))
-    marks = firsts.select(WINDOW_END, "_slice", "_h", F.lit(_MARK).alias("_kind"))
-    carries = carry.select(WINDOW_END, "_slice", F.lit(_CARRY).alias("_kind"), "_add")
+    counts = firsts.groupBy(WINDOW_END, "_place").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(WINDOW_END).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (every.unionByName(counts).groupBy(WINDOW_END, "_place").agg(F.sum("_n").alias("_n"))
+             .select(WINDOW_END, "_place", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_add")))
+    marks = firsts.select(WINDOW_END, "_place", "_h", F.lit(_MARK).alias("_kind"))
+    carries = carry.select(WINDOW_END, "_place", F.lit(_CARRY).alias("_kind"), "_add")
     together = (events.withColumn("_kind", F.lit(_EVENT))
                 .unionByName(marks, allowMissingColumns=True)
                 .unionByName(carries, allowMissingColumns=True)
-                .repartition(WINDOW_END, "_slice"))
-    same = Window.partitionBy(WINDOW_END, "_slice", "_h").orderBy("_kind", "_t", "_seq")
+                .repartition(WINDOW_END, "_place"))
+    same = Window.partitionBy(WINDOW_END, "_place", "_h").orderBy("_kind", "_t", "_seq")
     new = (F.col("_kind") == _EVENT) & (F.lag("_kind").over(same) == _MARK)
     flagged = (together.withColumn("_add", F.when(new, F.lit(1)).otherwise(F.coalesce("_add", F.lit(0))).cast("long"))
                .where(F.col("_kind") != _MARK))
-    running = (Window.partitionBy(WINDOW_END, "_slice").orderBy("_kind", "_t", "_seq")
+    running = (Window.partitionBy(WINDOW_END, "_place").orderBy("_kind", "_t", "_seq")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     result = (flagged.withColumn(out, F.sum("_add").over(running)).where(F.col("_kind") == _EVENT)
               .select(WINDOW_END, *keep, F.col(out).cast("long").alias(out)))
