@@ -1,6 +1,8 @@
 """BPE encoding and decoding against the tokenizers library."""
 
+import json
 import random
+import re
 import struct
 
 import pyarrow as pa
@@ -50,6 +52,35 @@ def test_texts_together(library, monkeypatch):
         assert bpe.WordBpe(bpe.default_tokenizer()).encode_many(pa.array(texts)) == want
 
 
+def test_plain_words_are_not_taken_apart_one_by_one(library, monkeypatch):
+    texts = ["The End. Où, été ÉTÉ! Straße; Łódź: Привет? plain Words", "don't x2 (a) Σ e\u0301a İz <|endoftext|>The a.b a,, ."]
+    coder, apart, one = bpe.WordBpe(bpe.default_tokenizer()), [], bpe.WordBpe.parts_of
+    monkeypatch.setattr(bpe.WordBpe, "parts_of", lambda self, chunk: apart.append(chunk) or one(self, chunk))
+    want = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert coder.encode_many(pa.array(texts)) == want
+    assert {*apart} == {*texts[1].split()}
+
+
+def test_every_plain_letter(library):
+    letters = [chr(c) for c in range(0x41, 0x460) if re.fullmatch(f"[{bpe._LETTERS}]", chr(c))]
+    assert len(letters) > 250
+    texts = [*letters, *(c + d + m for c in letters for d in "aZ\u00e9\u0436" for m in ("", ",", "\u0301"))]
+    coder = bpe.WordBpe(bpe.default_tokenizer())
+    want = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert coder.encode_many(pa.array(texts)) == want
+
+
+def test_special_strings_of_letters(library, tmp_path):
+    with open(bpe.default_tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"][0]["content"] = "Pad"
+    path = tmp_path / "pad.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    coder = bpe.WordBpe(str(path))
+    assert coder.encode("Pad a Padded pad") == [i for t in ("Pad", "a", "Pad", "ded", "pad") for i in (
+        [coder.special["Pad"]] if t == "Pad" else library.encode(t, add_special_tokens=False).ids)]
+
+
 def test_operator(docs_of, library):
     texts = {1: "Hello, world", 2: None, 3: "", 4: "Hello, world", 5: "long word " * 3000}
     got = {r.doc_id: r for r in bpe.encode_decode(docs_of([*texts.items(), (1, "Hello, world")])).collect()}

@@ -15,7 +15,9 @@ so that a text without any space costs n log n, not n squared.
 
 Texts are narrow work: one pass, no shuffle.  Texts are taken together up
 to ``BYTES_AT_ONCE`` bytes (a longer one alone), and each distinct
-stretch between spaces is looked up once.  Each Python worker keeps the
+stretch between spaces is looked up once.  Stretches of plain letters, with
+or without a mark behind them, are folded and cut by Arrow all together,
+only the others by Python one by one.  Each Python worker keeps the
 encodings of the words it has met last, about twice ``CACHE_WORDS`` at most.
 
 Defined cases: a null text is an empty one; an empty text has no ids and
@@ -54,7 +56,13 @@ BYTES_AT_ONCE, WORDS_AT_ONCE = 1 << 21, 1 << 13
 # The Unicode white space that the vocabulary file's \s stands for
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 # each of these is a word of its own behind letters
-_ENDS = frozenset(",.;:!?")
+_MARKS = ",.;:!?"
+_ENDS = frozenset(_MARKS)
+# Letters that NFC leaves alone, whichever of them follow, and whose lower case is one character: those of
+# Latin-1, Latin Extended-A without the dotted I, and basic Cyrillic.  Plain chunks are some of them with at
+# most one mark behind.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0400-\u045f"
+_PLAIN, _INSIDE_PLAIN = f"^[{_LETTERS}]+[{_MARKS}]?$", re.compile(f"[{_LETTERS}]*[{_MARKS}]?")
 _BITS, _LOW = 16, (1 << 16) - 1  # ids fit in so many bits
 _NO_RANK = 1 << 40
 _SLOTS, _SLOT_SHIFT, _HASHED = 6, 31, (1 << 48) - 1  # 2^17 rows
@@ -125,8 +133,11 @@ class WordBpe:
         self.words_of = regex.compile(split).findall
         self.opening = os.path.commonprefix([*self.special])
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
+        # no chunk goes the plain way if a special string could be part of one
+        self.plain = "^$" if any(map(_INSIDE_PLAIN.fullmatch, self.special)) else _PLAIN
         self.special_ids = {t: struct.pack("<I", i) for t, i in self.special.items()}
-        self.young: dict[str, bytes] = {}
+        # special strings stay in the younger cache
+        self.young: dict[str, bytes] = {**self.special_ids}
         self.old: dict[str, bytes] = {}
 
     # -- merging -----------------------------------------------------------
@@ -216,15 +227,15 @@ class WordBpe:
             return [folded[:-1], folded[-1]]
         return self.words_of(folded)
 
-    def word_ids(self, words: list[str]) -> dict[str, bytes]:
-        """Packed ids of distinct words.  Unknown ones are merged together;
-        what was last in use in the older cache moves up to the younger."""
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word.  Unknown ones are merged together; what
+        was last in use in the older cache moves up to the younger."""
         if len(self.young) >= CACHE_WORDS:
-            self.young, self.old = {}, self.young
-        found = dict(zip(words, map(self.young.get, words)))
-        lost = [w for w, ids in found.items() if ids is None]
+            self.young, self.old = {**self.special_ids}, self.young
+        found = list(map(self.young.get, words))
+        lost = [w for w, ids in zip(words, found) if ids is None]
         fresh = {w: ids for w, ids in zip(lost, map(self.old.get, lost)) if ids is not None}
-        unknown = sorted((w for w in lost if w not in fresh), key=len)
+        unknown = sorted({w for w in lost if w not in fresh}, key=len)
         for start in range(0, len(unknown), WORDS_AT_ONCE):
             some = unknown[start:start + WORDS_AT_ONCE]
             coded = [w.encode() for w in some]
@@ -233,25 +244,36 @@ class WordBpe:
             else:
                 fresh.update((w, self.merge_long(b) if len(b) > SHORT_WORD else self.merge_short([b])[0])
                              for w, b in zip(some, coded))
-        found.update(fresh)
         self.young.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHE_CHARS)
-        return found
-
-    def chunk_ids(self, chunks: list[str]) -> list[bytes]:
-        """Packed ids of distinct chunks."""
-        # lower-case letters alone are one word, the others are taken apart
-        words = [c for c in chunks if c.isascii() and c.islower() and c.isalpha()]
-        plain = {*words}
-        parts = {c: self.parts_of(c) for c in chunks if c not in plain}
-        found = self.word_ids([*dict.fromkeys(chain(words, chain.from_iterable(parts.values())))])
-        found.update(self.special_ids)
-        return [found[c] if c in plain else b"".join([found[w] for w in parts[c]]) for c in chunks]
+        return [fresh[w] if ids is None else ids for w, ids in zip(words, found)]
+
+    def chunk_ids(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Packed ids of distinct chunks: an array of them, and the place of
+        each chunk in it.  Plain words, with or without one mark behind them,
+        are folded and cut by Arrow all at once; the others are taken apart
+        one by one."""
+        is_plain = pc.match_substring_regex(chunks, self.plain)
+        folded = pc.utf8_lower(chunks.filter(is_plain))
+        stems = pc.ascii_rtrim(folded, _MARKS).dictionary_encode()
+        marks = pc.index_in(pc.utf8_slice_codeunits(folded, -1), pa.array([*_MARKS], folded.type))
+        words = stems.dictionary.to_numpy(zero_copy_only=False).tolist()
+        parts = [self.parts_of(c) for c in chunks.filter(pc.invert(is_plain)).to_numpy(zero_copy_only=False)]
+        ids = self.word_ids([*_MARKS, *words, *chain.from_iterable(parts)])
+        ends = np.cumsum([len(_MARKS), len(words), *map(len, parts)]).tolist()
+        mark_ids, stem_ids = (pa.array(some, pa.large_binary()) for some in (ids[:ends[0]], ids[ends[0]:ends[1]]))
+        plain_ids = pc.binary_join_element_wise(
+            stem_ids.take(stems.indices), pc.fill_null(mark_ids.take(marks), b""), pa.scalar(b"", pa.large_binary()))
+        other_ids = pa.array([b"".join(ids[a:b]) for a, b in zip(ends[1:], ends[2:])], pa.large_binary())
+        plain = is_plain.to_numpy(zero_copy_only=False)
+        place = np.where(plain, np.cumsum(plain), len(plain_ids) + np.cumsum(~plain)).astype(np.int32) - 1
+        return pa.concat_arrays([plain_ids, other_ids]), place
 
     def encode_many(self, texts: pa.StringArray) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
         split = pc.ascii_split_whitespace(texts)
         chunks = split.flatten().dictionary_encode()
-        ids = pa.array(self.chunk_ids(chunks.dictionary.to_pylist()), pa.large_binary()).take(chunks.indices)
+        ids, place = self.chunk_ids(chunks.dictionary)
+        ids = ids.take(pa.array(place[chunks.indices.to_numpy()]))
         ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset:ids.offset + len(ids) + 1]
         counts = np.cumsum(np.append(0, pc.list_value_length(split).to_numpy()))
         data, at = ids.buffers()[2], ends[counts].tolist()
@@ -296,8 +318,9 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            tokenizer: str | None = None) -> DataFrame:
     """Columns ``id_col`` and ``ids`` (array of int)."""
     path = tokenizer or default_tokenizer()
-    return map_texts(docs, id_col, text_col, lambda: lambda t, e=word_bpe(path).encode: (e(t),),
-                     [("ids", pa.list_(pa.int32()), "array<int>")])
+    return map_texts(docs, id_col, text_col,
+                     lambda: lambda texts, e=word_bpe(path).encode_many: [(np.frombuffer(i, "<i4"),) for i in e(texts)],
+                     [("ids", pa.list_(pa.int32()), "array<int>")], together=BYTES_AT_ONCE)
 
 
 def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids",
