@@ -35,7 +35,6 @@ import re
 import struct
 import sys
 import unicodedata
-from functools import lru_cache
 from itertools import chain, count
 
 import numpy as np
@@ -45,7 +44,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import map_texts, slices
+from .rows import held, map_texts, slices
 
 SHORT_WORD = 64
 CACHE_WORDS = 200_000
@@ -299,10 +298,9 @@ class WordBpe:
             return " ".join([names[i] for i in ids if i in names])
 
 
-@lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBpe:
-    """The encoder of ``path``, one per Python worker."""
-    return WordBpe(path)
+    """The encoder of ``path``, one per Python worker until it runs another operator."""
+    return held(("word_bpe", path), lambda: WordBpe(path))
 
 
 def encode_decode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

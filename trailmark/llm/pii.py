@@ -33,12 +33,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import map_texts
+from .rows import each_text, map_texts
 
 CONTEXT = 40
 LEAST_SCORE = 0.6
@@ -181,8 +180,7 @@ def redact_text(text: str) -> str:
 
 def redacted(text_col: str = "text") -> Column:
     """The column with personal data replaced; null stays null."""
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([None if t is None else redact_text(t) for t in texts], dtype=object)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return each_text(batches, lambda t: None if t is None else redact_text(t), pa.string())
 
-    return F.pandas_udf(run, "string")(F.col(text_col).cast("string"))
+    return F.arrow_udf(run, "string")(F.col(text_col).cast("string"))

@@ -12,6 +12,26 @@ from pyspark.sql import functions as F
 
 #: rows handled together inside a task; bounds the size of one output batch
 ROWS_AT_ONCE = 256
+#: bytes of texts that are Python strings at once
+TEXT_BYTES = 1 << 20
+
+_HELD: dict = {}  # of a Python worker
+
+
+def held(key, make: Callable):
+    """What ``make()`` has returned for ``key``.  A Python worker keeps it
+    from task to task, but only that of one key: workers outlive their stage,
+    and the tables and caches of several would add up in them."""
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Drop what an earlier task of this worker has left behind."""
+    _HELD.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def text_rows(df: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
@@ -33,13 +53,27 @@ def sized_slices(batches: Iterator[pa.RecordBatch], size: int, column: int = 1)
     """The given batches cut into pieces whose texts (in ``column``) have at
     most ``size`` bytes together; a larger text is a piece alone."""
     for batch in batches:
-        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
-        start = 0
-        while start < batch.num_rows:
-            before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        for start, stop in _bounds(batch.column(column), size):
             yield batch.slice(start, stop - start)
-            start = stop
+
+
+def _bounds(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Start and end of stretches of at most ``size`` bytes together, or of one larger text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield start, stop
+        start = stop
+
+
+def each_text(batches: Iterator[pa.Array], of: Callable, kind: pa.DataType) -> Iterator[pa.Array]:
+    """``of`` every text (null: None) in order, for an iterator UDF; only
+    ``TEXT_BYTES`` of the texts or one larger text are Python strings at once."""
+    for texts in batches:
+        for start, stop in _bounds(texts, TEXT_BYTES):
+            yield pa.array([of(t) for t in texts.slice(start, stop - start).to_pylist()], kind)
 
 
 def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable, fields: list[tuple[str, pa.DataType, str]],

@@ -37,11 +37,12 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rows import TEXT_BYTES, each_text, let_go, sized_slices
+
 SAMPLE_PER_CLASS = 3000
 SAMPLE_CHARS = 20_000
 FOLDS = 5
@@ -103,7 +104,7 @@ class Network:
 
 
 class Scorer:
-    """A network with the rows of the words met last, for one Python worker."""
+    """A network with the rows of the words met last, for one task."""
 
     def __init__(self, network: Network):
         self.network, self.tables = network, network.tables()
@@ -140,15 +141,11 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
 
 
-_SCORERS: dict[int, Scorer] = {}  # of a Python worker, by broadcast
-
-
-def scorer(shared, number: int) -> Scorer:
-    """The worker's scorer of broadcast ``number``."""
-    if number not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[number] = Scorer(shared.value)
-    return _SCORERS[number]
+def scorer(shared) -> Scorer:
+    """The scorer of a task, gone at its end; what tasks of other operators
+    have left in the worker goes now."""
+    let_go()
+    return Scorer(shared.value)
 
 
 # -- training on the driver ---------------------------------------------------
@@ -276,7 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
              .select("label", "text", "id"))
 
     def run(batches):
-        for batch in batches:
+        for batch in sized_slices(batches, TEXT_BYTES):
             words = [np.array([bucket(w) for w in _WORDS(t.lower())], dtype=np.int32).tobytes()
                      for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary()), batch.column(2)],
@@ -295,11 +292,10 @@ def _counts(texts: DataFrame, known: DataFrame, fitted: DataFrame, network: Netw
     """(language, label, bin, rows) of all labelled texts but those of the
     ``fitted`` ids.  Scored before the join, so no text is shuffled."""
     shared = texts.sparkSession.sparkContext.broadcast(network)  # bounded by the sample
-    number = shared._jbroadcast.id()
 
     def run(batches):
-        logit = scorer(shared, number).logit
-        for batch in batches:
+        logit = scorer(shared).logit
+        for batch in sized_slices(batches, TEXT_BYTES):
             found = [logit(t) for t in batch.column(1).to_pylist()]
             bins = [int(np.clip(np.floor(x * BINS), -BIN_LIMIT * BINS, BIN_LIMIT * BINS - 1)) for x, _ in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([y for _, y in found], pa.int32()),
@@ -309,8 +305,9 @@ def _counts(texts: DataFrame, known: DataFrame, fitted: DataFrame, network: Netw
     kind = texts.schema["id"].dataType.simpleString()
     scored = asked.select("id", "text").mapInArrow(run, f"id {kind}, language int, bin int")
     # at most one row for each language, label and bin
-    counts = scored.join(known.select("id", "label"), "id").groupBy("language", "label", "bin").count()
-    return [tuple(r) for r in counts.collect()]
+    counts = scored.join(known.select("id", "label"), "id").groupBy("language", "label", "bin").count().collect()
+    shared.unpersist()
+    return [tuple(r) for r in counts]
 
 
 def score_column(docs: DataFrame, network: Network | None, text_col: str = "text") -> Column:
@@ -318,14 +315,11 @@ def score_column(docs: DataFrame, network: Network | None, text_col: str = "text
     if network is None:
         return F.lit(0.0)
     shared = docs.sparkSession.sparkContext.broadcast(network)  # bounded by the sample
-    number = shared._jbroadcast.id()
 
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        score = scorer(shared, number).score
-        for texts in batches:
-            yield pd.Series([score(t) for t in texts], dtype="float64")
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return each_text(batches, scorer(shared).score, pa.float64())
 
-    return F.pandas_udf(scores, "double")(F.coalesce(F.col(text_col), F.lit("")))
+    return F.arrow_udf(scores, "double")(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def score(docs: DataFrame, network: Network | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
