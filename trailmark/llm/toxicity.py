@@ -29,6 +29,7 @@ score is 0; other columns are not carried.
 
 from __future__ import annotations
 
+import codecs
 import re
 import zlib
 from collections import Counter
@@ -64,6 +65,28 @@ FUNCTION_WORDS = {
 }
 LANGUAGES = list(FUNCTION_WORDS)
 _WORDS = re.compile(r"[^\W_]+").findall
+# every Latin-1 character in lower case, a space for those that no word has
+_FOLDED = bytes(ord(c) if _WORDS(c) else 32 for c in map(str.lower, map(chr, range(256))))
+
+
+def _blank(error: UnicodeError) -> tuple[str, int]:
+    """A space for characters beyond Latin-1, unless words have them."""
+    if _WORDS(error.object[error.start:error.end].lower()):
+        raise error
+    return " ", error.end
+
+
+codecs.register_error("trailmark.blank", _blank)
+
+
+def split_words(text: str) -> list[str]:
+    """The words of a text in lower case, runs of letters and digits.  Texts
+    without letters or digits beyond Latin-1 are folded and split as a whole,
+    others by the expression; both give the same words."""
+    try:
+        return text.encode("latin-1", "trailmark.blank").translate(_FOLDED).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORDS(text.lower())
 
 
 def bucket(word: str) -> int:
@@ -92,33 +115,43 @@ class Network:
 
     buckets: np.ndarray
     embedding: np.ndarray
-    filters: list[np.ndarray]  # width x dimensions x filters
+    filters: list[np.ndarray]  # width x dimensions x filters, by growing width
     filter_bias: np.ndarray
     out: np.ndarray
     bias: float
     thresholds: np.ndarray
 
-    def tables(self) -> list[list[np.ndarray]]:
-        """For every width and position, the answer of each filter to each word."""
-        return [[np.ascontiguousarray(self.embedding @ f[k]) for k in range(len(f))] for f in self.filters]
+    def table(self) -> tuple[np.ndarray, list[int]]:
+        """The answers of all filters to each word in one row: those of the
+        filters' first position, then of the second position of those that
+        have one, and so on; and how many answers each position has."""
+        parts = [f[k] for k in range(max(WIDTHS)) for f in self.filters if len(f) > k]
+        sizes = [sum(f.shape[2] for f in self.filters if len(f) > k) for k in range(max(WIDTHS))]
+        table, at = np.empty((len(self.embedding), sum(sizes))), 0
+        for part in parts:
+            table[:, at:at + part.shape[1]] = self.embedding @ part
+            at += part.shape[1]
+        return table, sizes
 
 
 class Scorer:
     """A network with the rows of the words met last, for one task."""
 
     def __init__(self, network: Network):
-        self.network, self.tables = network, network.tables()
+        self.network = network
+        self.table, self.sizes = network.table()
+        self.seen = np.empty((WORDS_AT_ONCE + max(WIDTHS) - 1, self.table.shape[1]))
         self.row_of = {int(b): i + 1 for i, b in enumerate(network.buckets)}
         self.cache: dict[str, int] = {}
 
     def rows(self, text: str) -> np.ndarray:
-        words, cache = _WORDS(text.lower()), self.cache
-        found = [cache.get(w, -1) for w in words]
-        if -1 in found:
+        words, cache = split_words(text), self.cache
+        found = list(map(cache.get, words))
+        if None in found:
             if len(cache) > CACHE_WORDS:
                 cache.clear()
             for i, row in enumerate(found):
-                if row < 0:
+                if row is None:
                     found[i] = cache[words[i]] = self.row_of.get(bucket(words[i]), 0)
         return np.array(found or [0], dtype=np.int64)
 
@@ -131,8 +164,13 @@ class Scorer:
         for at in range(0, len(rows), WORDS_AT_ONCE):
             part = padded[at:at + WORDS_AT_ONCE + widest - 1]
             n = len(part) - widest + 1
-            best = [sum(t[part[k:k + n]] for k, t in enumerate(tables)).max(axis=0) for tables in self.tables]
-            np.maximum(pooled, np.concatenate(best), out=pooled)
+            # every row is in the table; "clip" only spares numpy a second buffer
+            seen = np.take(self.table, part, axis=0, out=self.seen[:len(part)], mode="clip")
+            best, start = seen[:n, :len(pooled)], len(pooled)
+            for k, size in enumerate(self.sizes[1:], 1):
+                best[:, len(pooled) - size:] += seen[k:k + n, start:start + size]
+                start += size
+            np.maximum(pooled, best.max(axis=0), out=pooled)
         return float(np.maximum(pooled + net.filter_bias, 0) @ net.out + net.bias), guess_language(rows)
 
     def score(self, text: str) -> float:
@@ -274,7 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
     def run(batches):
         for batch in sized_slices(batches, TEXT_BYTES):
-            words = [np.array([bucket(w) for w in _WORDS(t.lower())], dtype=np.int32).tobytes()
+            words = [np.array([bucket(w) for w in split_words(t)], dtype=np.int32).tobytes()
                      for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary()), batch.column(2)],
                                              names=["label", "words", "id"])
